@@ -1,8 +1,17 @@
 """Column expressions for parsing one log line.
 
-Everything here returns a ``Column`` built from built-in functions, so parsing stays in
-the JVM inside whole-stage codegen. Constant patterns are compiled once per task by the
-regex expressions themselves.
+Everything here is built from built-in functions, so parsing stays in the JVM inside
+whole-stage codegen.
+
+Two ways to get the fields of a line:
+
+* ``combined_group`` / ``serde_group``: one ``regexp_extract`` per field. Exact, simple,
+  but every field (and the match test) runs the pattern again.
+* ``packed``: one ``regexp_replace`` that rewrites a matching line into
+  ``MARK f1 SEP f2 SEP ...`` - the pattern runs once per line, then cheap ``split``
+  yields the fields (``unpack_fields``). A line that itself contains ``SEP`` or
+  ``MARK`` would be ambiguous, so such lines fall back to the per-field form
+  (``is_plain`` tells them apart); results are identical either way.
 """
 
 from __future__ import annotations
@@ -12,6 +21,9 @@ from pyspark.sql import functions as F
 
 from . import patterns as P
 
+SEP = "\u0001"
+MARK = "\u0002"
+
 
 def combined_match(line: Column) -> Column:
     """True when the combined pattern occurs anywhere in the line."""
@@ -26,6 +38,10 @@ def combined_group(line: Column, group: int) -> Column:
     return F.regexp_extract(line, P.COMBINED, group)
 
 
+def serde_match(line: Column) -> Column:
+    return line.rlike(P.SERDE)
+
+
 def serde_group(line: Column, group: int) -> Column:
     """Group ``group`` of the whole-line SerDe match, NULL like the SerDe does.
 
@@ -37,7 +53,7 @@ def serde_group(line: Column, group: int) -> Column:
 
 
 def raw_fields(line: Column, dialect: str = "combined") -> list[Column]:
-    """The nine fields as strings, named as in :data:`patterns.FIELDS`."""
+    """The nine fields as strings (per-field form), named as in :data:`patterns.FIELDS`."""
     if dialect == "combined":
         extract = combined_group
     elif dialect == "regexserde":
@@ -47,6 +63,59 @@ def raw_fields(line: Column, dialect: str = "combined") -> list[Column]:
     return [extract(line, i + 1).alias(name) for i, name in enumerate(P.FIELDS)]
 
 
+def is_plain(line: Column) -> Column:
+    """True when the line contains neither separator character (packing is exact)."""
+    return ~(line.contains(SEP) | line.contains(MARK))
+
+
+def packed(line: Column, dialect: str = "combined") -> Column:
+    """The line rewritten as ``MARK`` + fields joined by ``SEP`` if it matches, else the
+    line unchanged. One pattern evaluation.
+
+    ``combined``: the first match is extended to the end of the line, so text before
+    the match stays in front of ``MARK`` and nothing follows the fields.
+    ``regexserde``: the whole line is replaced; field 8 is the optional tail.
+    """
+    if dialect == "combined":
+        pattern, groups = P.COMBINED + "(?s:.*)", range(1, 10)
+    elif dialect == "regexserde":
+        pattern, groups = P.SERDE_TAIL, range(1, 11)
+    else:
+        raise ValueError(f"unknown dialect {dialect!r}; expected one of {P.DIALECTS}")
+    return F.regexp_replace(line, pattern, MARK + SEP.join(f"${g}" for g in groups))
+
+
+def packed_match(pack: Column) -> Column:
+    """Whether a packed value came from a matching line (for plain lines)."""
+    return pack.contains(MARK)
+
+
+def unpack_fields(line: Column, pack: Column, dialect: str = "combined") -> tuple[Column, list[Column]]:
+    """``(matched, [nine string fields])`` from a line and its :func:`packed` value.
+
+    Plain lines use the packed value; other lines recompute with the per-field form.
+    For ``regexserde`` every field is NULL on a mismatch and referer/agent are NULL when
+    the optional pair is absent.
+    """
+    plain = is_plain(line)
+    split = F.split(F.substring_index(pack, MARK, -1), SEP)
+    parts = [F.get(split, i) for i in range(10)]  # NULL past the end, also under ANSI
+    if dialect == "combined":
+        matched = F.when(plain, packed_match(pack)).otherwise(combined_match(line))
+        fields = [
+            F.when(plain, parts[i]).otherwise(combined_group(line, i + 1)) for i in range(9)
+        ]
+        return matched, fields
+    matched = F.when(plain, packed_match(pack)).otherwise(serde_match(line))
+    has_tail = parts[7] != ""
+    fast = [parts[i] for i in range(7)] + [F.when(has_tail, parts[8]), F.when(has_tail, parts[9])]
+    fields = [
+        F.when(plain, F.when(matched, fast[i])).otherwise(serde_group(line, i + 1))
+        for i in range(9)
+    ]
+    return matched, fields
+
+
 def typed_bytes(raw: Column, policy: str = "drop") -> Column:
     """Byte count as ``bigint`` under a malformed-value policy.
 

@@ -10,8 +10,9 @@ Groups: 1 ip (optional dotted quad), 2 client, 3 user, 4 bracketed date,
 8 referer, 9 agent.
 
 ``SERDE`` is the Hive RegexSerDe input format. The SerDe matches the whole line, so it
-is anchored with ``^`` and ``$`` here (in the filter and in every extraction); quotes
-stay part of the values and the trailing referer/agent pair is optional.
+is anchored here, in the filter and in every extraction; quotes stay part of the values
+and the trailing referer/agent pair is optional. ``\\z`` (end of input) is used rather
+than ``$``, which in Java also matches before a final line terminator.
 """
 
 # --- fixed values: combined access-log format (searched, not anchored) ---
@@ -22,14 +23,20 @@ COMBINED = (
 # --- fixed values: regex SerDe format (whole line) ---
 SERDE = (
     r'^([^ ]*) ([^ ]*) ([^ ]*) (-|\[[^\]]*\]) ([^ "]*|"[^"]*") (-|[0-9]*) (-|[0-9]*)'
-    r'(?: ([^ "]*|"[^"]*") ([^ "]*|"[^"]*"))?$'
+    r'(?: ([^ "]*|"[^"]*") ([^ "]*|"[^"]*"))?\z'
 )
 # Same format with the referer/agent pair required. A line matching SERDE but not
 # SERDE9 has no groups 8/9, which the SerDe reports as NULL; regexp_extract alone
 # cannot tell an absent group from an empty one.
 SERDE9 = (
     r'^([^ ]*) ([^ ]*) ([^ ]*) (-|\[[^\]]*\]) ([^ "]*|"[^"]*") (-|[0-9]*) (-|[0-9]*)'
-    r' ([^ "]*|"[^"]*") ([^ "]*|"[^"]*")$'
+    r' ([^ "]*|"[^"]*") ([^ "]*|"[^"]*")\z'
+)
+# Same format again, the optional pair captured as a whole (group 8, referer 9,
+# agent 10): one match tells whether the pair is present (group 8 non-empty).
+SERDE_TAIL = (
+    r'^([^ ]*) ([^ ]*) ([^ ]*) (-|\[[^\]]*\]) ([^ "]*|"[^"]*") (-|[0-9]*) (-|[0-9]*)'
+    r'( ([^ "]*|"[^"]*") ([^ "]*|"[^"]*"))?\z'
 )
 
 # Output column names; position = regex group number - 1.

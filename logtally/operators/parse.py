@@ -8,8 +8,11 @@ Two dialects:
 * ``regexserde`` - the Hive RegexSerDe view: every line gives a row, nine strings, all
   NULL when the line does not match as a whole. Passing a policy types ``bytes``.
 
-All of it is a projection plus a filter over the line column, so it runs per partition
-with no shuffle, and Catalyst prunes the regex extractions of unused columns.
+Parsing is a narrow, per-partition step (no shuffle). The pattern is evaluated once per
+line: the packed form (see :mod:`logtally.functions.parse`) is produced by a one-row
+``inline`` generator, which Catalyst cannot merge into the filters and projections
+above it, so the match test and all nine fields read the same evaluated value instead
+of each re-running the regex.
 """
 
 from __future__ import annotations
@@ -33,6 +36,30 @@ def _line(lines: DataFrame, line_col: str | None) -> Column:
     raise ValueError(f"no line column in {lines.columns}")
 
 
+def split_fields(
+    lines: DataFrame,
+    dialect: str = "combined",
+    line_col: str | None = None,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """``(*keep, _line, _matched, ip .. agent)``: all nine fields as strings, one row per
+    line, the pattern evaluated once per line."""
+    if dialect not in P.DIALECTS:
+        raise ValueError(f"unknown dialect {dialect!r}; expected one of {P.DIALECTS}")
+    line = _line(lines, line_col)
+    evaluated = lines.select(
+        *[F.col(c) for c in keep],
+        F.inline(F.array(F.struct(line.alias("_line"), PF.packed(line, dialect).alias("_packed")))),
+    )
+    matched, fields = PF.unpack_fields(F.col("_line"), F.col("_packed"), dialect)
+    return evaluated.select(
+        *keep,
+        "_line",
+        matched.alias("_matched"),
+        *[f.alias(name) for f, name in zip(fields, P.FIELDS)],
+    )
+
+
 def parse(
     lines: DataFrame,
     dialect: str = "combined",
@@ -43,42 +70,32 @@ def parse(
     """Parse ``lines`` (a ``line`` or ``value`` string column) into the nine fields.
 
     ``on_bad_bytes`` defaults to ``drop`` for ``combined`` and to raw strings for
-    ``regexserde``. ``keep`` names input columns to carry along (e.g. the line itself).
+    ``regexserde``. ``keep`` names input columns to carry along.
     """
-    line = _line(lines, line_col)
+    fields = split_fields(lines, dialect, line_col, keep)
     carried = [F.col(c) for c in keep]
+    names = [F.col(c) for c in P.FIELDS]
+    policy = on_bad_bytes or ("drop" if dialect == "combined" else None)
     if dialect == "combined":
-        policy = on_bad_bytes or "drop"
-        fields = PF.raw_fields(line, "combined")
-        out = lines.where(PF.combined_match(line)).select(
+        out = fields.where(F.col("_matched")).select(
             *carried,
-            *fields[:5],
-            fields[5].cast("int").alias("status"),
-            PF.typed_bytes(PF.combined_group(line, 7), policy).alias("bytes"),
-            *fields[7:],
+            *names[:5],
+            F.col("status").cast("int").alias("status"),
+            PF.typed_bytes(F.col("bytes"), policy).alias("bytes"),
+            *names[7:],
         )
-        if policy == "drop":
-            out = out.where(F.col("bytes").isNotNull())
-        return out
-    if dialect == "regexserde":
-        out = lines.select(*carried, *PF.raw_fields(line, "regexserde"))
-        if on_bad_bytes:
-            out = out.withColumn("bytes", PF.typed_bytes(F.col("bytes"), on_bad_bytes))
-            if on_bad_bytes == "drop":
-                out = out.where(F.col("bytes").isNotNull())
-        return out
-    raise ValueError(f"unknown dialect {dialect!r}; expected one of {P.DIALECTS}")
-
-
-def _reason(line: Column, dialect: str) -> Column:
-    if dialect == "combined":
-        matched = PF.combined_match(line)
-        raw_bytes = PF.combined_group(line, 7)
     else:
-        matched = line.rlike(P.SERDE)
-        raw_bytes = F.regexp_extract(line, P.SERDE, 7)
-    return F.when(~matched, F.lit("no_match")).when(
-        raw_bytes.try_cast("bigint").isNull(), F.lit("bad_bytes")
+        out = fields.select(*carried, *names)
+        if policy:
+            out = out.withColumn("bytes", PF.typed_bytes(F.col("bytes"), policy))
+    if policy == "drop":
+        out = out.where(F.col("bytes").isNotNull())
+    return out
+
+
+def _reason() -> Column:
+    return F.when(~F.col("_matched"), F.lit("no_match")).when(
+        F.col("bytes").try_cast("bigint").isNull(), F.lit("bad_bytes")
     )
 
 
@@ -90,9 +107,9 @@ def rejects(
     ``reason`` is ``no_match`` (the pattern does not match) or ``bad_bytes`` (it matches
     but the byte count is not an integer).
     """
-    line = _line(lines, line_col)
     return (
-        lines.select(line.alias("line"), _reason(line, dialect).alias("reason"))
+        split_fields(lines, dialect, line_col)
+        .select(F.col("_line").alias("line"), _reason().alias("reason"))
         .where(F.col("reason").isNotNull())
     )
 
@@ -101,14 +118,18 @@ def clean_lines(
     lines: DataFrame, dialect: str = "combined", line_col: str | None = None
 ) -> DataFrame:
     """The lines :func:`rejects` does not return: they all parse under any policy."""
-    return lines.where(_reason(_line(lines, line_col), dialect).isNull())
+    return (
+        split_fields(lines, dialect, line_col)
+        .where(_reason().isNull())
+        .select(F.col("_line").alias("line"))
+    )
 
 
-def _count_exprs(line: Column, dialect: str) -> list[Column]:
-    reason = _reason(line, dialect)
+def _count_exprs() -> list[Column]:
+    reason = _reason()
     return [
         F.count(F.lit(1)).alias("lines"),
-        F.count_if(reason.isNull() | (reason == "bad_bytes")).alias("matched"),
+        F.count_if(F.col("_matched")).alias("matched"),
         F.count_if(reason == "bad_bytes").alias("bad_bytes"),
         F.count_if(reason.isNull()).alias("usable"),
     ]
@@ -119,17 +140,18 @@ def parse_counts(
 ) -> DataFrame:
     """One row ``(lines, matched, bad_bytes, usable)``: a global aggregate, partial per
     task and merged from one small row per task."""
-    return lines.agg(*_count_exprs(_line(lines, line_col), dialect))
+    return split_fields(lines, dialect, line_col).agg(*_count_exprs())
 
 
 def observe_counts(
     lines: DataFrame, dialect: str = "combined", line_col: str | None = None
 ) -> tuple[DataFrame, Observation]:
-    """Attach the counters of :func:`parse_counts` to ``lines`` as an ``Observation``.
+    """Parse with the counters of :func:`parse_counts` attached as an ``Observation``.
 
-    The counters are filled as a side effect of whatever action later runs on the
-    returned DataFrame, so the input is read once for both the report and the counts.
+    Returns the split lines (see :func:`split_fields`) and the observation; the counters
+    are filled by whatever action later runs on them, so the input is read once for
+    both the report and the counts.
     """
     observation = Observation("logtally_parse")
-    observed = lines.observe(observation, *_count_exprs(_line(lines, line_col), dialect))
+    observed = split_fields(lines, dialect, line_col).observe(observation, *_count_exprs())
     return observed, observation

@@ -3,17 +3,19 @@
 Every report is a grouped aggregate: Spark computes a partial aggregate in each task
 (the map-side combine), shuffles one row per group and task, and merges. A hot IP or a
 dominant status (one status often carries most of the traffic) therefore never sends its
-raw rows through one task. Results that need a grand total join it as a one-row
-aggregate: a global ``agg`` without grouping always returns exactly one row, so it is
-safe to broadcast; the grouped input of both sides is the same shuffle, which Spark
-reuses instead of computing twice.
+raw rows through one task.
+
+Shares of a grand total are computed on the *grouped* status rows with an unpartitioned
+window (``sum(bytes) over ()``). Status codes have three digits, so at most 1000 rows
+reach that single task whatever the input size; the raw records are scanned once, and
+the final sort runs in the same task without a sampling pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.parse import percent
@@ -38,10 +40,9 @@ def status_bytes(parsed: DataFrame) -> DataFrame:
 
 
 def _with_share(rows: DataFrame, part: str, whole: str) -> DataFrame:
-    total = rows.agg(F.sum(whole).alias("_total"))  # exactly one row
-    return rows.crossJoin(F.broadcast(total)).select(
-        "status", F.col(part).alias("bytes"), percent(F.col(part), F.col("_total")).alias("pct")
-    )
+    """Add ``pct`` = share of ``part`` in the sum of ``whole`` over all (status) rows."""
+    total = F.sum(whole).over(Window.partitionBy())
+    return rows.select("status", F.col(part).alias("bytes"), percent(F.col(part), total).alias("pct"))
 
 
 def status_breakdown(
@@ -67,18 +68,14 @@ def status_breakdown(
         source = parsed if selection is None else parsed.where(selection)
         out = _with_share(status_bytes(source), "bytes", "bytes")
     else:
-        rows = (
-            parsed.groupBy("status")
-            .agg(
-                F.sum(F.when(selection, F.col("bytes"))).alias("_sel_bytes"),
-                F.sum("bytes").alias("_all_bytes"),
-                F.count_if(selection).alias("_hits"),
-            )
+        rows = parsed.groupBy("status").agg(
+            F.sum(F.when(selection, F.col("bytes"))).alias("_sel_bytes"),
+            F.sum("bytes").alias("_all_bytes"),
+            F.count_if(selection).alias("_hits"),
         )
-        total = rows.agg(F.sum("_all_bytes").alias("_total"))
         out = (
-            rows.where(F.col("_hits") > 0)
-            .crossJoin(F.broadcast(total))
+            rows.select("*", F.sum("_all_bytes").over(Window.partitionBy()).alias("_total"))
+            .where(F.col("_hits") > 0)
             .select(
                 "status",
                 F.col("_sel_bytes").alias("bytes"),
