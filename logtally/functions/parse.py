@@ -9,7 +9,8 @@ Two ways to get the fields of a line:
   but every field (and the match test) runs the pattern again.
 * ``packed``: one ``regexp_replace`` that rewrites a matching line into
   ``MARK f1 SEP f2 SEP ...`` - the pattern runs once per line, then cheap ``split``
-  yields the fields (``unpack_fields``). A line that itself contains ``SEP`` or
+  yields the fields (``unpack_sql``). These are built as SQL text, one expression
+  string per field, so building a query costs one call into the JVM. A line that itself contains ``SEP`` or
   ``MARK`` would be ambiguous, so such lines fall back to the per-field form
   (``is_plain`` tells them apart); results are identical either way.
 """
@@ -63,56 +64,80 @@ def raw_fields(line: Column, dialect: str = "combined") -> list[Column]:
     return [extract(line, i + 1).alias(name) for i, name in enumerate(P.FIELDS)]
 
 
+def sql_literal(text: str) -> str:
+    """``text`` as a raw Spark SQL string literal (no escape processing)."""
+    if "'" in text:
+        raise ValueError("raw literal cannot contain a single quote")
+    return f"r'{text}'"
+
+
 def is_plain(line: Column) -> Column:
     """True when the line contains neither separator character (packing is exact)."""
     return ~(line.contains(SEP) | line.contains(MARK))
 
 
-def packed(line: Column, dialect: str = "combined") -> Column:
-    """The line rewritten as ``MARK`` + fields joined by ``SEP`` if it matches, else the
-    line unchanged. One pattern evaluation.
+def _packed_pattern(dialect: str) -> tuple[str, range]:
+    if dialect == "combined":
+        return P.COMBINED + "(?s:.*)", range(1, 10)
+    if dialect == "regexserde":
+        return P.SERDE_TAIL, range(1, 11)
+    raise ValueError(f"unknown dialect {dialect!r}; expected one of {P.DIALECTS}")
+
+
+def packed_sql(line: str, dialect: str = "combined") -> str:
+    """SQL for the line rewritten as ``MARK`` + fields joined by ``SEP`` if it matches,
+    else the line unchanged. One pattern evaluation.
 
     ``combined``: the first match is extended to the end of the line, so text before
     the match stays in front of ``MARK`` and nothing follows the fields.
     ``regexserde``: the whole line is replaced; field 8 is the optional tail.
     """
-    if dialect == "combined":
-        pattern, groups = P.COMBINED + "(?s:.*)", range(1, 10)
-    elif dialect == "regexserde":
-        pattern, groups = P.SERDE_TAIL, range(1, 11)
-    else:
-        raise ValueError(f"unknown dialect {dialect!r}; expected one of {P.DIALECTS}")
-    return F.regexp_replace(line, pattern, MARK + SEP.join(f"${g}" for g in groups))
+    pattern, groups = _packed_pattern(dialect)
+    replacement = MARK + SEP.join(f"${g}" for g in groups)
+    return f"regexp_replace({line}, {sql_literal(pattern)}, {sql_literal(replacement)})"
 
 
-def packed_match(pack: Column) -> Column:
-    """Whether a packed value came from a matching line (for plain lines)."""
-    return pack.contains(MARK)
+def packed(line: Column, dialect: str = "combined") -> Column:
+    """Column form of :func:`packed_sql`."""
+    pattern, groups = _packed_pattern(dialect)
+    return F.regexp_replace(line, pattern, MARK + SEP.join(f"${g}" for g in groups))
 
 
-def unpack_fields(line: Column, pack: Column, dialect: str = "combined") -> tuple[Column, list[Column]]:
-    """``(matched, [nine string fields])`` from a line and its :func:`packed` value.
+def unpack_sql(line: str, pack: str, dialect: str = "combined") -> tuple[str, list[str]]:
+    """SQL ``(matched, [nine string fields])`` from a line and its packed value.
 
     Plain lines use the packed value; other lines recompute with the per-field form.
     For ``regexserde`` every field is NULL on a mismatch and referer/agent are NULL when
     the optional pair is absent.
     """
-    plain = is_plain(line)
-    split = F.split(F.substring_index(pack, MARK, -1), SEP)
-    parts = [F.get(split, i) for i in range(10)]  # NULL past the end, also under ANSI
+    sep, mark = sql_literal(SEP), sql_literal(MARK)
+    plain = f"(NOT contains({line}, {sep}) AND NOT contains({line}, {mark}))"
+    parts = f"split(substring_index({pack}, {mark}, -1), {sep})"
+
+    def part(i: int) -> str:
+        return f"get({parts}, {i})"  # NULL past the end, also under ANSI
+
     if dialect == "combined":
-        matched = F.when(plain, packed_match(pack)).otherwise(combined_match(line))
+        pattern = sql_literal(P.COMBINED)
+        matched = f"CASE WHEN {plain} THEN contains({pack}, {mark}) ELSE {line} RLIKE {pattern} END"
         fields = [
-            F.when(plain, parts[i]).otherwise(combined_group(line, i + 1)) for i in range(9)
+            f"CASE WHEN {plain} THEN {part(i)} ELSE regexp_extract({line}, {pattern}, {i + 1}) END"
+            for i in range(9)
         ]
         return matched, fields
-    matched = F.when(plain, packed_match(pack)).otherwise(serde_match(line))
-    has_tail = parts[7] != ""
-    fast = [parts[i] for i in range(7)] + [F.when(has_tail, parts[8]), F.when(has_tail, parts[9])]
-    fields = [
-        F.when(plain, F.when(matched, fast[i])).otherwise(serde_group(line, i + 1))
-        for i in range(9)
+    serde, serde9 = sql_literal(P.SERDE), sql_literal(P.SERDE9)
+    matched = f"CASE WHEN {plain} THEN contains({pack}, {mark}) ELSE {line} RLIKE {serde} END"
+    fast = [part(i) for i in range(7)] + [
+        f"CASE WHEN {part(7)} <> '' THEN {part(j)} END" for j in (8, 9)
     ]
+    fields = []
+    for i in range(9):
+        gate = serde9 if i >= 7 else serde
+        slow = f"CASE WHEN {line} RLIKE {gate} THEN regexp_extract({line}, {serde}, {i + 1}) END"
+        fields.append(
+            f"CASE WHEN {plain} THEN (CASE WHEN contains({pack}, {mark}) THEN {fast[i]} END) "
+            f"ELSE {slow} END"
+        )
     return matched, fields
 
 

@@ -26,14 +26,19 @@ from ..functions import patterns as P
 LINE = "line"
 
 
-def _line(lines: DataFrame, line_col: str | None) -> Column:
+def _line_name(lines: DataFrame, line_col: str | None) -> str:
     if line_col:
-        return F.col(line_col)
-    if LINE in lines.columns:
-        return F.col(LINE)
-    if "value" in lines.columns:  # spark.read.text
-        return F.col("value")
-    raise ValueError(f"no line column in {lines.columns}")
+        return line_col
+    columns = lines.columns
+    if LINE in columns:
+        return LINE
+    if "value" in columns:  # spark.read.text
+        return "value"
+    raise ValueError(f"no line column in {columns}")
+
+
+def _line(lines: DataFrame, line_col: str | None) -> Column:
+    return F.col(_line_name(lines, line_col))
 
 
 def split_fields(
@@ -46,17 +51,17 @@ def split_fields(
     line, the pattern evaluated once per line."""
     if dialect not in P.DIALECTS:
         raise ValueError(f"unknown dialect {dialect!r}; expected one of {P.DIALECTS}")
-    line = _line(lines, line_col)
-    evaluated = lines.select(
-        *[F.col(c) for c in keep],
-        F.inline(F.array(F.struct(line.alias("_line"), PF.packed(line, dialect).alias("_packed")))),
+    line = _line_name(lines, line_col)
+    evaluated = lines.selectExpr(
+        *[f"`{c}`" for c in keep],
+        f"inline(array(struct(`{line}` AS _line, {PF.packed_sql(f'`{line}`', dialect)} AS _packed)))",
     )
-    matched, fields = PF.unpack_fields(F.col("_line"), F.col("_packed"), dialect)
-    return evaluated.select(
-        *keep,
+    matched, fields = PF.unpack_sql("_line", "_packed", dialect)
+    return evaluated.selectExpr(
+        *[f"`{c}`" for c in keep],
         "_line",
-        matched.alias("_matched"),
-        *[f.alias(name) for f, name in zip(fields, P.FIELDS)],
+        f"{matched} AS _matched",
+        *[f"{f} AS `{name}`" for f, name in zip(fields, P.FIELDS)],
     )
 
 
