@@ -171,25 +171,50 @@ def distinct_values(parsed: DataFrame, column: str) -> DataFrame:
 def ip_list_breakdown(
     parsed: DataFrame, ips: DataFrame | Iterable[str], order: str | None = None
 ) -> DataFrame:
-    """``(ip, status, bytes)`` for the IPs of a key list: one join, not one search per key.
+    """``(ip, status, bytes)`` for the IPs of a key list: one pass, not one search per key.
 
-    A Python list is small by construction and is broadcast. A DataFrame of keys is left to
-    Catalyst's size estimate and AQE, which broadcast it only when its measured size is
-    under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and otherwise keep a shuffle
-    join.
+    A Python list becomes an ``IN`` filter, which a Parquet store receives as a pushed
+    filter. A DataFrame of keys is a left-semi join that Catalyst applies to the records
+    before aggregating; the join strategy is left to Catalyst's size estimate and AQE,
+    which broadcast the keys only when their measured size is under the broadcast
+    threshold and otherwise shuffle both sides.
     """
     if not isinstance(ips, DataFrame):
-        spark = parsed.sparkSession
-        keys = F.broadcast(spark.createDataFrame([(ip,) for ip in ips], "ip string"))
+        rows = parsed.where(F.col("ip").isin(sorted(set(ips))))
     else:
-        keys = ips.select("ip")
-    rows = parsed.join(keys, on="ip", how="left_semi")
+        rows = parsed.join(ips.select("ip"), on="ip", how="left_semi")
     out = rows.groupBy("ip", "status").agg(F.sum("bytes").alias("bytes"))
     if order == "status":
         out = out.orderBy("ip", "status")
     return out
 
 
+def top_ips_breakdown(parsed: DataFrame, n: int) -> DataFrame:
+    """``(ip, status, bytes)`` for the ``n`` IPs with the most bytes, from one scan.
+
+    The ranking and the breakdown read the same ``(ip, status)`` aggregate, so its
+    shuffle is computed once and reused. The top-N keys (at most ``n`` distinct rows)
+    are inner-joined to the aggregate (broadcast: at most ``n`` rows); a semi join would
+    be pushed below the aggregate by the optimizer and scan the input a second time.
+    """
+    grouped = parsed.groupBy("ip", "status").agg(F.sum("bytes").alias("bytes"))
+    # The empty IP sorts last and is removed after the limit: a filter before the
+    # aggregate would be pushed into it and the two aggregates would no longer match.
+    top = (
+        grouped.groupBy("ip")
+        .agg(F.sum("bytes").alias("_total"))
+        .orderBy((F.col("ip") == "").asc(), F.desc("_total"), F.asc("ip"))
+        .limit(n)
+        .where(F.col("ip") != "")
+        .select("ip")
+    )
+    # Null-safe equality: a plain equi-join would infer ``ip IS NOT NULL`` and push it
+    # into the left aggregate, which then differs from the shared one as well.
+    top = top.select(F.col("ip").alias("_top_ip"))
+    joined = grouped.join(F.broadcast(top), grouped["ip"].eqNullSafe(top["_top_ip"]), "inner")
+    return joined.select("ip", "status", "bytes")
+
+
 def line_status_maps(parsed: DataFrame, selection: Column | str = "all") -> DataFrame:
     """``(selection, statuses map<string,bigint>)``: a one-entry map per record."""
     label = F.lit(selection) if isinstance(selection, str) else selection
@@ -253,6 +278,6 @@ def sum_identical(parsed: DataFrame) -> DataFrame:
 __all__ = [
     "status_bytes", "status_breakdown", "status_total", "status_range_total", "status_range",
     "ip_total", "ip_bytes", "ip_hits", "top_ips", "top_ip", "total_bytes", "distinct_values",
-    "ip_list_breakdown", "line_status_maps", "status_map", "merge_status_maps", "sum_identical",
+    "ip_list_breakdown", "top_ips_breakdown", "line_status_maps", "status_map", "merge_status_maps", "sum_identical",
     "IDENTITY_COLUMNS",
 ]

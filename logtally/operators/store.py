@@ -8,11 +8,15 @@ Layout: ``<path>/status=<int>/segment=<id>/part-*.parquet``.
   append of the same segment id (a streaming micro-batch replayed after a failure)
   replaces exactly that segment through dynamic partition overwrite, which makes it
   idempotent.
-* Before writing, rows are range-partitioned by ``ip`` with a hash of the whole record as
-  tie-breaker and sorted by ``(status, ip)`` within each task. Every file then covers a
-  narrow IP range, so an IP lookup skips most files and row groups through Parquet
-  min/max statistics (``PushedFilters: EqualTo(ip, ..)``). The tie-breaker splits one
-  very frequent IP over several tasks instead of sending all its rows to one.
+* Before writing, rows are range-partitioned by ``(status, ip)`` with a hash of the whole
+  record as tie-breaker, and sorted the same way within each task. Each task then
+  writes into one or two status directories (about one file per task rather than one
+  per task and status), and every file covers a narrow IP range, so an IP lookup skips
+  most files and row groups through Parquet min/max statistics
+  (``PushedFilters: EqualTo(ip, ..)``). The tie-breaker splits a very frequent IP - or
+  a dominant status - over many tasks instead of sending all its rows to one. The
+  number of ranges follows ``spark.sql.shuffle.partitions``, coalesced by AQE to the
+  advisory partition size, unless ``partitions`` is given.
 
 ``compact`` merges all segments into a single new one at another path (small-file
 compaction; the merge of per-input shards).
@@ -58,11 +62,11 @@ def append(
     """Append typed records (the nine fields) to the store; returns the segment id."""
     segment = segment or new_segment_id()
     rows = parsed.select(*FIELDS).withColumn("segment", F.lit(segment))
-    spread = F.xxhash64(*[F.col(c) for c in FIELDS])
+    keys = [F.col("status"), F.col("ip"), F.xxhash64(*[F.col(c) for c in FIELDS])]
     if partitions:
-        rows = rows.repartitionByRange(partitions, F.col("ip"), spread)
+        rows = rows.repartitionByRange(partitions, *keys)
     else:
-        rows = rows.repartitionByRange(F.col("ip"), spread)
+        rows = rows.repartitionByRange(*keys)
     (
         rows.sortWithinPartitions("status", "segment", "ip")
         .write.mode("overwrite")

@@ -158,10 +158,8 @@ def distinct_statuses(spark, sf_dir):
 
 def ip_list_breakdown(spark, sf_dir):
     """Status breakdown of each of the top IPs: the key list is a top-N result (at most
-    N rows), joined back to the records."""
-    parsed = _usable(spark, sf_dir)
-    keys = R.top_ips(parsed, TOP_N).select("ip")
-    return R.ip_list_breakdown(parsed, keys)
+    N rows) joined to the (ip, status) aggregate of the same scan."""
+    return R.top_ips_breakdown(_usable(spark, sf_dir), TOP_N)
 
 
 # --- status maps, identical records, exports ----------------------------------------
