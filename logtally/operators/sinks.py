@@ -57,6 +57,11 @@ def ctrl_a_lines(summed: DataFrame) -> DataFrame:
     return summed.select(F.concat_ws(CTRL_A, *fields).alias("line"))
 
 
+def write_ctrl_a(summed: DataFrame, path: str, mode: str = "error") -> None:
+    """Write :func:`ctrl_a_lines` as text files, the layout a Hive text table loads."""
+    write_text(ctrl_a_lines(summed), path, mode=mode)
+
+
 def format_lines(records: DataFrame) -> DataFrame:
     """Render SerDe records back to log lines: the nine fields joined by spaces.
 

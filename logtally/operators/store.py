@@ -31,7 +31,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from functools import reduce
+
 from ..functions.patterns import FIELDS
+from .parse import parse
 
 STORE_SCHEMA = T.StructType(
     [
@@ -84,6 +87,27 @@ def read_store(spark: SparkSession, path: str, with_segment: bool = False) -> Da
     return df.select(*FIELDS, *(["segment"] if with_segment else []))
 
 
+def union_shards(shards: list[DataFrame]) -> DataFrame:
+    """Bag union of record DataFrames by column name (e.g. one per input file)."""
+    return reduce(lambda a, b: a.unionByName(b), shards)
+
+
+def ingest_lines(
+    lines: DataFrame,
+    path: str,
+    dialect: str = "combined",
+    on_bad_bytes: str = "drop",
+    segment: str | None = None,
+) -> str:
+    """Parse raw lines and append the records as one segment; returns the segment id.
+
+    ``lines`` can come from any source (``read_lines``, ``read_double_gzip``, a table).
+    Lines that do not parse are not stored; :func:`logtally.operators.parse.rejects` on
+    the same input lists them.
+    """
+    return append(parse(lines, dialect, on_bad_bytes), path, segment=segment)
+
+
 def compact(spark: SparkSession, path: str, target: str, partitions: int | None = None) -> str:
     """Rewrite every segment of ``path`` as one segment at ``target``; returns its id."""
     return append(read_store(spark, path), target, partitions=partitions)

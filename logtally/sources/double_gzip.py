@@ -3,8 +3,8 @@
 Hadoop's codecs remove one gzip layer only, so ``spark.read.text`` returns compressed
 garbage for these files. The reader lists the files with the ``binaryFile`` source,
 selecting only ``path`` so that Spark does not load file contents, and a
-``mapInPandas`` step streams each file through two nested gzip decoders, yielding
-Arrow batches of lines. Memory per task is one decompression window plus one batch,
+``mapInArrow`` step streams each file through two nested gzip decoders, yielding
+Arrow batches of lines (blocks are decoded and split whole, not line by line). Memory per task is one decompression window plus one batch,
 whatever the file size. Gzip is not splittable: one file is read by one task, and the
 listing packs files into tasks by size like any file source.
 
@@ -53,41 +53,52 @@ def open_input(path: str):
     return filesystem.open_input_stream(inner, compression=None)
 
 
+def _split_text(body: bytes) -> list[str]:
+    """Lines of ``body``, which ends with a line terminator."""
+    text = body.decode("utf-8", "replace")
+    return text.replace("\r\n", "\n").replace("\r", "\n")[:-1].split("\n")
+
+
 def iter_lines(stream, chunk_bytes: int = CHUNK_BYTES) -> Iterator[list[str]]:
-    """Lists of decoded lines; ``\\n``, ``\\r\\n`` and ``\\r`` end a line, as in Hadoop's
-    line reader. A final line without terminator is kept."""
+    """Lists of decoded lines; ``\\n``, ``\\r\\n`` and ``\\r`` end a line, as in
+    Hadoop's line reader. A final line without terminator is kept.
+
+    Each block is cut after its last terminator and decoded and split as a whole; the
+    rest (and a trailing ``\\r`` whose ``\\n`` may follow) waits for the next block.
+    """
     carry = b""
     while True:
         block = stream.read(chunk_bytes)
         if not block:
             break
-        parts = (carry + block).splitlines(keepends=True)
-        last = parts[-1]
-        # An unterminated tail, or a tail ending in '\r' whose '\n' may be in the next
-        # block, waits for more data.
-        if not last.endswith((b"\n", b"\r")) or last.endswith(b"\r"):
-            carry = parts.pop()
-        else:
-            carry = b""
-        if parts:
-            yield [p.rstrip(b"\r\n").decode("utf-8", "replace") for p in parts]
+        data = carry + block
+        end = len(data) - 1 if data.endswith(b"\r") else len(data)
+        cut = max(data.rfind(b"\n", 0, end), data.rfind(b"\r", 0, end))
+        if cut < 0:
+            carry = data
+            continue
+        carry = data[cut + 1:]
+        yield _split_text(data[:cut + 1])
     if carry:
-        yield [carry.rstrip(b"\r\n").decode("utf-8", "replace")]
+        yield _split_text(carry if carry.endswith((b"\n", b"\r")) else carry + b"\n")
+
 
+def _decode(batches, batch_lines: int, from_content: bool):
+    import pyarrow as pa
 
-def _decode(batches: Iterator[pd.DataFrame], batch_lines: int, from_content: bool):
-    for pdf in batches:
-        for i, path in enumerate(pdf["path"]):
-            raw = io.BytesIO(pdf["content"].iat[i]) if from_content else open_input(path)
+    for batch in batches:
+        paths = batch.column("path").to_pylist()
+        contents = batch.column("content").to_pylist() if from_content else None
+        for i, path in enumerate(paths):
+            raw = io.BytesIO(contents[i]) if from_content else open_input(path)
             with raw, gzip.GzipFile(fileobj=raw) as outer, gzip.GzipFile(fileobj=outer) as inner:
-                pending: list[str] = []
                 for lines in iter_lines(inner):
-                    pending.extend(lines)
-                    while len(pending) >= batch_lines:
-                        yield pd.DataFrame({"line": pending[:batch_lines], "path": path})
-                        pending = pending[batch_lines:]
-                if pending:
-                    yield pd.DataFrame({"line": pending, "path": path})
+                    for start in range(0, len(lines), batch_lines):
+                        chunk = lines[start:start + batch_lines]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(chunk, pa.string()), pa.array([path] * len(chunk), pa.string())],
+                            names=["line", "path"],
+                        )
 
 
 def read_double_gzip(
@@ -97,11 +108,15 @@ def read_double_gzip(
     recursive: bool = False,
     batch_lines: int = 8192,
     from_content: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """``(line, path)`` for every line of every double-gzipped file under ``path``.
 
     ``from_content=True`` lets Spark load each compressed file into memory instead of
     streaming it from its path (for filesystems pyarrow cannot open; files < 2 GB).
+    ``partitions`` redistributes the decoded lines round-robin over that many tasks, for
+    inputs with fewer (large) files than cores: decompression stays one task per file,
+    parsing and aggregation then use every core.
     """
     reader = spark.read.format("binaryFile")
     if glob:
@@ -109,9 +124,10 @@ def read_double_gzip(
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     files = reader.load(path).select("path", *(["content"] if from_content else []))
-    return files.mapInPandas(
+    lines = files.mapInArrow(
         partial(_decode, batch_lines=batch_lines, from_content=from_content), LINE_SCHEMA
     )
+    return lines.repartition(partitions) if partitions else lines
 
 
 def _write_partition(batches: Iterator[pd.DataFrame], out_dir: str, line_col: str):
