@@ -143,19 +143,20 @@ def top_ip(parsed: DataFrame) -> DataFrame:
 
     An IP only wins with more than 0 bytes; when none has any, the row is ``('', 0)``.
     """
-    best = (
+    candidates = (
         ip_bytes(non_empty_ip(parsed))
         .where(F.col("bytes") > 0)
-        .orderBy(F.desc("bytes"), F.asc("ip"))
+        .select("ip", "bytes", F.lit(0).alias("_default"))
+    )
+    default = parsed.sparkSession.range(1).select(
+        F.lit("").alias("ip"), F.lit(0).cast("bigint").alias("bytes"), F.lit(1).alias("_default")
+    )
+    return (
+        candidates.unionByName(default)
+        .orderBy(F.asc("_default"), F.desc("bytes"), F.asc("ip"))
         .limit(1)
         .select("ip", "bytes")
     )
-    spark = parsed.sparkSession
-    anchor = spark.range(1).select(F.lit(1).alias("_k"))
-    return anchor.join(F.broadcast(best), on=F.lit(True), how="left").select(
-        F.coalesce(F.col("ip"), F.lit("")).alias("ip"),
-        F.coalesce(F.col("bytes"), F.lit(0).cast("bigint")).alias("bytes"),
-    )
 
 
 def total_bytes(parsed: DataFrame) -> DataFrame:

@@ -2,9 +2,10 @@
 
 The Hive report sums the byte column, which is text in the SerDe view, so it is read as
 a double (a value like ``-`` counts as NULL), and divides each status sum by the grand
-total. The grand total comes from the grouped rows through a CTE that Spark inlines
-twice; both references share one shuffle (``ReusedExchange``), so the raw lines are
-scanned once, and the one-row total is broadcast to the grouped rows.
+total. The grand total is a scalar subquery over the grouped rows of the same CTE: Spark
+runs it first and uses its single value as a constant, and both references to the CTE
+share one shuffle (``ReusedExchange``), so the raw lines are scanned once and no join is
+needed.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ WITH grouped AS (
   FROM {view}
   GROUP BY status
 )
-SELECT /*+ BROADCAST(t) */ g.status, g.bytes, 100 * (g.bytes / t.total) AS pct
-FROM grouped g CROSS JOIN (SELECT sum(bytes) AS total FROM grouped) t
+SELECT status, bytes, 100 * (bytes / (SELECT sum(bytes) FROM grouped)) AS pct
+FROM grouped
 """
 
 
