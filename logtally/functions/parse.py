@@ -141,24 +141,34 @@ def unpack_sql(line: str, pack: str, dialect: str = "combined") -> tuple[str, li
     return matched, fields
 
 
-def typed_bytes(raw: Column, policy: str = "drop") -> Column:
-    """Byte count as ``bigint`` under a malformed-value policy.
+def typed_bytes_sql(raw: str, policy: str = "drop") -> str:
+    """SQL for a byte count as ``bigint`` under a malformed-value policy.
 
     ``drop`` and ``null`` give NULL for a value that is not an integer (``drop`` callers
     then filter the row out), ``zero`` gives 0, ``fail`` raises an error naming the value.
     ``fail`` does not depend on ``spark.sql.ansi.enabled``.
     """
-    value = raw.try_cast("bigint")
+    value = f"TRY_CAST({raw} AS BIGINT)"
     if policy in ("drop", "null"):
         return value
     if policy == "zero":
-        return F.coalesce(value, F.lit(0).cast("bigint"))
+        return f"COALESCE({value}, 0L)"
     if policy == "fail":
-        message = F.concat(F.lit("unparsable byte count: "), F.coalesce(raw, F.lit("NULL")))
-        return F.when(value.isNull(), F.raise_error(message)).otherwise(value)
+        message = f"concat('unparsable byte count: ', coalesce({raw}, 'NULL'))"
+        return f"CASE WHEN {value} IS NULL THEN raise_error({message}) ELSE {value} END"
     raise ValueError(f"unknown byte policy {policy!r}; expected one of {P.BYTE_POLICIES}")
 
 
+def typed_bytes(column: str, policy: str = "drop") -> Column:
+    """Column form of :func:`typed_bytes_sql` for a string column named ``column``."""
+    return F.expr(typed_bytes_sql(f"`{column}`", policy))
+
+
+def percent_sql(part: str, whole: str) -> str:
+    """SQL for ``100 * (part / whole)`` as double; NULL when ``whole`` is 0 or NULL."""
+    return f"100D * try_divide(CAST({part} AS DOUBLE), CAST({whole} AS DOUBLE))"
+
+
 def percent(part: Column, whole: Column) -> Column:
-    """``100 * (part / whole)`` as double; NULL when ``whole`` is 0 or NULL."""
+    """Column form of :func:`percent_sql`."""
     return F.lit(100.0) * F.try_divide(part.cast("double"), whole.cast("double"))

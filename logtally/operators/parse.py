@@ -41,14 +41,11 @@ def _line(lines: DataFrame, line_col: str | None) -> Column:
     return F.col(_line_name(lines, line_col))
 
 
-def split_fields(
-    lines: DataFrame,
-    dialect: str = "combined",
-    line_col: str | None = None,
-    keep: tuple[str, ...] = (),
-) -> DataFrame:
-    """``(*keep, _line, _matched, ip .. agent)``: all nine fields as strings, one row per
-    line, the pattern evaluated once per line."""
+def _evaluate(
+    lines: DataFrame, dialect: str, line_col: str | None, keep: tuple[str, ...]
+) -> tuple[DataFrame, str, list[str]]:
+    """``(*keep, _line, _packed)`` with the pattern evaluated once per line, plus the SQL
+    of the match test and of the nine string fields over those two columns."""
     if dialect not in P.DIALECTS:
         raise ValueError(f"unknown dialect {dialect!r}; expected one of {P.DIALECTS}")
     line = _line_name(lines, line_col)
@@ -57,6 +54,18 @@ def split_fields(
         f"inline(array(struct(`{line}` AS _line, {PF.packed_sql(f'`{line}`', dialect)} AS _packed)))",
     )
     matched, fields = PF.unpack_sql("_line", "_packed", dialect)
+    return evaluated, matched, fields
+
+
+def split_fields(
+    lines: DataFrame,
+    dialect: str = "combined",
+    line_col: str | None = None,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """``(*keep, _line, _matched, ip .. agent)``: all nine fields as strings, one row per
+    line, the pattern evaluated once per line."""
+    evaluated, matched, fields = _evaluate(lines, dialect, line_col, keep)
     return evaluated.selectExpr(
         *[f"`{c}`" for c in keep],
         "_line",
@@ -76,25 +85,22 @@ def parse(
 
     ``on_bad_bytes`` defaults to ``drop`` for ``combined`` and to raw strings for
     ``regexserde``. ``keep`` names input columns to carry along.
+
+    The whole parse is three DataFrame steps (evaluate, match filter, typed projection)
+    built from SQL text, so constructing it costs a handful of calls into the JVM.
     """
-    fields = split_fields(lines, dialect, line_col, keep)
-    carried = [F.col(c) for c in keep]
-    names = [F.col(c) for c in P.FIELDS]
+    evaluated, matched, fields = _evaluate(lines, dialect, line_col, keep)
     policy = on_bad_bytes or ("drop" if dialect == "combined" else None)
+    exprs = [f"{f} AS `{name}`" for f, name in zip(fields, P.FIELDS)]
+    status, size = P.FIELDS.index("status"), P.FIELDS.index("bytes")
     if dialect == "combined":
-        out = fields.where(F.col("_matched")).select(
-            *carried,
-            *names[:5],
-            F.col("status").cast("int").alias("status"),
-            PF.typed_bytes(F.col("bytes"), policy).alias("bytes"),
-            *names[7:],
-        )
-    else:
-        out = fields.select(*carried, *names)
-        if policy:
-            out = out.withColumn("bytes", PF.typed_bytes(F.col("bytes"), policy))
+        evaluated = evaluated.where(matched)
+        exprs[status] = f"CAST({fields[status]} AS INT) AS status"
+    if policy:
+        exprs[size] = f"{PF.typed_bytes_sql(fields[size], policy)} AS bytes"
+    out = evaluated.selectExpr(*[f"`{c}`" for c in keep], *exprs)
     if policy == "drop":
-        out = out.where(F.col("bytes").isNotNull())
+        out = out.where("bytes IS NOT NULL")
     return out
 
 

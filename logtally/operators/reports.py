@@ -15,10 +15,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parse import percent
+from ..functions.parse import percent_sql
 from .select import ip_predicate, non_empty_ip, status_between, where_ip
 
 ORDERS = ("bytes", "status", None)
@@ -36,13 +36,12 @@ def _order(df: DataFrame, order: str | None, key: str = "status") -> DataFrame:
 
 def status_bytes(parsed: DataFrame) -> DataFrame:
     """``(status, bytes)``: bytes summed per status."""
-    return parsed.groupBy("status").agg(F.sum("bytes").alias("bytes"))
+    return parsed.groupBy("status").agg(F.expr("sum(bytes) AS bytes"))
 
 
-def _with_share(rows: DataFrame, part: str, whole: str) -> DataFrame:
-    """Add ``pct`` = share of ``part`` in the sum of ``whole`` over all (status) rows."""
-    total = F.sum(whole).over(Window.partitionBy())
-    return rows.select("status", F.col(part).alias("bytes"), percent(F.col(part), total).alias("pct"))
+def _with_share(rows: DataFrame) -> DataFrame:
+    """Add ``pct`` = share of ``bytes`` in its sum over all (status) rows."""
+    return rows.selectExpr("status", "bytes", f"{percent_sql('bytes', 'sum(bytes) OVER ()')} AS pct")
 
 
 def status_breakdown(
@@ -66,7 +65,7 @@ def status_breakdown(
         raise ValueError(f"unknown denominator {denominator!r}")
     if selection is None or denominator == "selection":
         source = parsed if selection is None else parsed.where(selection)
-        out = _with_share(status_bytes(source), "bytes", "bytes")
+        out = _with_share(status_bytes(source))
     else:
         rows = parsed.groupBy("status").agg(
             F.sum(F.when(selection, F.col("bytes"))).alias("_sel_bytes"),
@@ -74,13 +73,9 @@ def status_breakdown(
             F.count_if(selection).alias("_hits"),
         )
         out = (
-            rows.select("*", F.sum("_all_bytes").over(Window.partitionBy()).alias("_total"))
-            .where(F.col("_hits") > 0)
-            .select(
-                "status",
-                F.col("_sel_bytes").alias("bytes"),
-                percent(F.col("_sel_bytes"), F.col("_total")).alias("pct"),
-            )
+            rows.selectExpr("*", "sum(_all_bytes) OVER () AS _total")
+            .where("_hits > 0")
+            .selectExpr("status", "_sel_bytes AS bytes", f"{percent_sql('_sel_bytes', '_total')} AS pct")
         )
     return _order(out, order)
 

@@ -84,7 +84,7 @@ def read_store(spark: SparkSession, path: str, with_segment: bool = False) -> Da
     """The records of all segments, in field order; filters on ``status`` prune
     directories and filters on ``ip`` are pushed into the Parquet scan."""
     df = spark.read.schema(STORE_SCHEMA).parquet(path)
-    return df.select(*FIELDS, *(["segment"] if with_segment else []))
+    return df.selectExpr(*FIELDS, *(["segment"] if with_segment else []))
 
 
 def union_shards(shards: list[DataFrame]) -> DataFrame:

@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def read_lines(
@@ -28,7 +27,6 @@ def read_lines(
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.load(paths if isinstance(paths, str) else list(paths))
-    cols = [F.col("value").alias("line")]
     if with_path:
-        cols.append(F.col("_metadata.file_path").alias("path"))
-    return df.select(*cols)
+        return df.selectExpr("value AS line", "_metadata.file_path AS path")
+    return df.withColumnRenamed("value", "line")
