@@ -1,14 +1,20 @@
 """Incremental ingestion: new log files in a folder are parsed and appended to the store.
 
 A Structured Streaming file source picks up new files; every micro-batch is parsed and
-written as its own store segment named after the batch id. If a batch is replayed after
-a failure (the checkpoint records which batches committed), it rewrites the same
-segment through dynamic partition overwrite instead of adding a duplicate, so the store
-receives every batch exactly once.
+written as its own store segment named after the query and the batch id. If a batch is
+replayed after a failure (the checkpoint records which batches committed), it rewrites
+the same segment through dynamic partition overwrite instead of adding a duplicate, so
+the store receives every batch exactly once.
+
+The query part of the name is derived from the checkpoint location: a restarted query
+keeps it, and two ingest queries feeding one store (each with its own checkpoint) never
+write - and so never replace - each other's segments.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,6 +32,11 @@ def stream_lines(spark: SparkSession, source_dir: str, max_files_per_trigger: in
     return reader.load(source_dir).withColumnRenamed("value", "line")
 
 
+def segment_tag(checkpoint: str) -> str:
+    """A short, stable name for the ingest query that owns ``checkpoint``."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode("utf-8")).hexdigest()[:12]
+
+
 def ingest(
     spark: SparkSession,
     source_dir: str,
@@ -39,14 +50,13 @@ def ingest(
 ) -> StreamingQuery:
     """Start the ingestion query; ``available_now`` processes what is there and stops."""
     parsed = parse(stream_lines(spark, source_dir, max_files_per_trigger), dialect, on_bad_bytes)
+    checkpoint = checkpoint or scratch_path(spark, "ingest-checkpoint")
+    tag = segment_tag(checkpoint)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        append(batch, store_path, segment=f"b{batch_id:012d}")
+        append(batch, store_path, segment=f"q{tag}-b{batch_id:012d}")
 
-    writer = (
-        parsed.writeStream.foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "ingest-checkpoint"))
-    )
+    writer = parsed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

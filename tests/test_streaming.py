@@ -27,6 +27,20 @@ def test_ingest_new_files_once(spark, lines_df):
     assert records.select("segment").distinct().count() == 2
 
 
+def test_two_streams_into_one_store(spark, lines_df):
+    """Separate ingest queries (own checkpoints) never replace each other's segments."""
+    path = scratch_path(spark, "t-shared-store")
+    other = '3.3.3.3 - - [x] "G /d" 200 7 "-" "a"'  # same status folder as LINES[0]
+    for name, lines in (("x", LINES[:1]), ("y", [other])):
+        landing = scratch_path(spark, f"t-landing-{name}")
+        write_text(lines_df(lines), landing)
+        checkpoint = scratch_path(spark, f"t-ckpt-{name}")
+        ingest(spark, landing, path, checkpoint=checkpoint, available_now=True).awaitTermination()
+    records = store.read_store(spark, path, with_segment=True)
+    assert sorted(r.ip for r in records.collect()) == ["1.1.1.1", "3.3.3.3"]
+    assert records.select("segment").distinct().count() == 2
+
+
 def test_running_status_bytes(spark, lines_df):
     landing = scratch_path(spark, "t-landing2")
     write_text(lines_df(LINES), landing)
