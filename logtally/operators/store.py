@@ -4,10 +4,12 @@ Layout: ``<path>/status=<int>/segment=<id>/part-*.parquet``.
 
 * ``status`` directories give partition pruning for status lookups; there are at most
   1000 of them (three-digit codes).
-* Each append is a new ``segment``, so appends never touch existing files. A retried
-  append of the same segment id (a streaming micro-batch replayed after a failure)
-  replaces exactly that segment through dynamic partition overwrite, which makes it
-  idempotent.
+* Each append is a new ``segment``, so appends never touch existing files. When the
+  caller names the segment (a streaming micro-batch id), a repeated append of that id -
+  a batch replayed after a failure - replaces exactly that segment through dynamic
+  partition overwrite, which makes it idempotent. A generated id is new by
+  construction, so those appends use plain append mode and skip the staging-and-rename
+  step of dynamic overwrite.
 * Before writing, rows are range-partitioned by ``(status, ip)`` with a hash of the whole
   record as tie-breaker, and sorted the same way within each task. Each task then
   writes into one or two status directories (about one file per task rather than one
@@ -62,7 +64,12 @@ def append(
     segment: str | None = None,
     partitions: int | None = None,
 ) -> str:
-    """Append typed records (the nine fields) to the store; returns the segment id."""
+    """Append typed records (the nine fields) to the store; returns the segment id.
+
+    With ``segment`` given, an existing segment of that id is replaced (idempotent
+    retries); otherwise a new id is generated and the rows are appended.
+    """
+    replace = segment is not None
     segment = segment or new_segment_id()
     rows = parsed.select(*FIELDS).withColumn("segment", F.lit(segment))
     keys = [F.col("status"), F.col("ip"), F.xxhash64(*[F.col(c) for c in FIELDS])]
@@ -70,13 +77,12 @@ def append(
         rows = rows.repartitionByRange(partitions, *keys)
     else:
         rows = rows.repartitionByRange(*keys)
-    (
-        rows.sortWithinPartitions("status", "segment", "ip")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("status", "segment")
-        .parquet(path)
-    )
+    writer = rows.sortWithinPartitions("status", "segment", "ip").write
+    if replace:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode("append")
+    writer.partitionBy("status", "segment").parquet(path)
     return segment
 
 
