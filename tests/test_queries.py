@@ -38,6 +38,27 @@ def test_query_matches_oracle(spark, con, name):
     want = [tuple(_norm(x) for x in r) for r in res.fetchall()]
     assert df.columns == [d[0] for d in res.description]
     assert Counter(got) == Counter(want)
+    _check_plan(name, df._jdf.queryExecution().executedPlan().toString())
+
+
+# Operators no registered query may plan: pair-producing joins, and Python evaluated row
+# by row. Python runs only as Arrow batches, and only to decode double-gzip files.
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
+ARROW_PYTHON = ("MapInArrow", "MapInPandas", "ArrowEvalPython")
+
+
+def _check_plan(name, plan):
+    for op in FORBIDDEN:
+        assert op not in plan, f"{name} plans {op}"
+    if name != "double_gzip_roundtrip":
+        for op in ARROW_PYTHON:
+            assert op not in plan, f"{name} runs Python ({op})"
+    # A single-partition exchange only ever carries grouped rows, never raw lines.
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            below = "\n".join(lines[i + 1:])
+            assert below.index("HashAggregate") < below.index("Scan"), f"{name}: raw rows in one task"
 
 
 def test_entry(spark):
