@@ -176,6 +176,12 @@ ORACLE: dict[str, str] = {
         ", g AS (SELECT ip AS selection, CAST(status AS VARCHAR) AS status, "
         "CAST(sum(bytes) AS BIGINT) AS bytes FROM usable GROUP BY ip, status)\n" + _MAP_TEXT
     ),
+    "status_map_export": _q(
+        f", g AS (SELECT {Q.PREFIX!r} AS selection, CAST(status AS VARCHAR) AS status, "
+        f"CAST(sum(bytes) AS BIGINT) AS bytes FROM {PREFIX_ROWS} GROUP BY status),\n"
+        f"maps AS ({_MAP_TEXT})\n"
+        "SELECT unnest(string_split(selection || chr(9) || text, chr(10))) AS line FROM maps"
+    ),
     "sum_identical_records": _q(_SUMMED + f"SELECT {_IDENTITY}, bytes FROM summed"),
     "ctrl_a_rows": _q(
         _SUMMED

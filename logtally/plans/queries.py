@@ -174,6 +174,17 @@ def status_map_merge(spark, sf_dir):
     return sinks.status_map_text(R.merge_status_maps(maps))
 
 
+def status_map_export(spark, sf_dir):
+    """The counting job's text output: the selection (an IP prefix) as key, a tab, then
+    the status map text, written as text files and read back line by line (the map text
+    spans several lines)."""
+    lines = prefilter_lines(_lines(spark, sf_dir), PREFIX, "prefix")
+    maps = sinks.status_map_text(R.status_map(parse(lines), PREFIX))
+    out = scratch_path(spark, "status-map-tsv")
+    sinks.write_key_value(maps, "selection", "text", out)
+    return read_lines(spark, out)
+
+
 def sum_identical_records(spark, sf_dir):
     return R.sum_identical(parse(_lines(spark, sf_dir), "combined", "zero"))
 
@@ -296,6 +307,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ip_list_breakdown": ip_list_breakdown,
     "status_map_text": status_map_text,
     "status_map_merge": status_map_merge,
+    "status_map_export": status_map_export,
     "sum_identical_records": sum_identical_records,
     "ctrl_a_rows": ctrl_a_rows,
     "format_line": format_line,
