@@ -8,11 +8,13 @@ Two ways to get the fields of a line:
 * ``combined_group`` / ``serde_group``: one ``regexp_extract`` per field. Exact, simple,
   but every field (and the match test) runs the pattern again.
 * ``packed``: one ``regexp_replace`` that rewrites a matching line into
-  ``MARK f1 SEP f2 SEP ...`` - the pattern runs once per line, then cheap ``split``
-  yields the fields (``unpack_sql``). These are built as SQL text, one expression
-  string per field, so building a query costs one call into the JVM. A line that itself contains ``SEP`` or
-  ``MARK`` would be ambiguous, so such lines fall back to the per-field form
-  (``is_plain`` tells them apart); results are identical either way.
+  ``MARK f1 SEP f2 SEP ...`` - the pattern runs once per line, and one ``split`` turns
+  that into the array of groups (``parts_sql``); an unmatched line gives a one-element
+  array. The match test and the fields then only read that array (``unpack_sql``).
+  These are built as SQL text, one expression string per field, so building a query
+  costs few calls into the JVM. A line that itself contains ``SEP`` or ``MARK`` would
+  be ambiguous, so such lines fall back to the per-field form (``plain_sql`` tells them
+  apart); results are identical either way.
 """
 
 from __future__ import annotations
@@ -76,6 +78,11 @@ def is_plain(line: Column) -> Column:
     return ~(line.contains(SEP) | line.contains(MARK))
 
 
+def plain_sql(line: str) -> str:
+    """SQL form of :func:`is_plain`."""
+    return f"(NOT contains({line}, {sql_literal(SEP)}) AND NOT contains({line}, {sql_literal(MARK)}))"
+
+
 def _packed_pattern(dialect: str) -> tuple[str, range]:
     if dialect == "combined":
         return P.COMBINED + "(?s:.*)", range(1, 10)
@@ -103,30 +110,37 @@ def packed(line: Column, dialect: str = "combined") -> Column:
     return F.regexp_replace(line, pattern, MARK + SEP.join(f"${g}" for g in groups))
 
 
-def unpack_sql(line: str, pack: str, dialect: str = "combined") -> tuple[str, list[str]]:
-    """SQL ``(matched, [nine string fields])`` from a line and its packed value.
+def parts_sql(line: str, dialect: str = "combined") -> str:
+    """SQL for the groups of the first match as an array of strings (9 for
+    ``combined``, 10 for ``regexserde``: the optional pair, then referer and agent); a
+    line without a match gives a one-element array. Exact for plain lines only."""
+    mark, sep = sql_literal(MARK), sql_literal(SEP)
+    return f"split(substring_index({packed_sql(line, dialect)}, {mark}, -1), {sep})"
+
+
+def unpack_sql(line: str, plain: str, parts: str, dialect: str = "combined") -> tuple[str, list[str]]:
+    """SQL ``(matched, [nine string fields])`` from a line, its plain flag and its parts.
 
-    Plain lines use the packed value; other lines recompute with the per-field form.
+    Plain lines read the parts array; other lines recompute with the per-field form.
     For ``regexserde`` every field is NULL on a mismatch and referer/agent are NULL when
     the optional pair is absent.
     """
-    sep, mark = sql_literal(SEP), sql_literal(MARK)
-    plain = f"(NOT contains({line}, {sep}) AND NOT contains({line}, {mark}))"
-    parts = f"split(substring_index({pack}, {mark}, -1), {sep})"
+    groups = len(_packed_pattern(dialect)[1])
+    hit = f"size({parts}) = {groups}"
 
     def part(i: int) -> str:
         return f"get({parts}, {i})"  # NULL past the end, also under ANSI
 
     if dialect == "combined":
         pattern = sql_literal(P.COMBINED)
-        matched = f"CASE WHEN {plain} THEN contains({pack}, {mark}) ELSE {line} RLIKE {pattern} END"
+        matched = f"CASE WHEN {plain} THEN {hit} ELSE {line} RLIKE {pattern} END"
         fields = [
             f"CASE WHEN {plain} THEN {part(i)} ELSE regexp_extract({line}, {pattern}, {i + 1}) END"
             for i in range(9)
         ]
         return matched, fields
     serde, serde9 = sql_literal(P.SERDE), sql_literal(P.SERDE9)
-    matched = f"CASE WHEN {plain} THEN contains({pack}, {mark}) ELSE {line} RLIKE {serde} END"
+    matched = f"CASE WHEN {plain} THEN {hit} ELSE {line} RLIKE {serde} END"
     fast = [part(i) for i in range(7)] + [
         f"CASE WHEN {part(7)} <> '' THEN {part(j)} END" for j in (8, 9)
     ]
@@ -135,8 +149,7 @@ def unpack_sql(line: str, pack: str, dialect: str = "combined") -> tuple[str, li
         gate = serde9 if i >= 7 else serde
         slow = f"CASE WHEN {line} RLIKE {gate} THEN regexp_extract({line}, {serde}, {i + 1}) END"
         fields.append(
-            f"CASE WHEN {plain} THEN (CASE WHEN contains({pack}, {mark}) THEN {fast[i]} END) "
-            f"ELSE {slow} END"
+            f"CASE WHEN {plain} THEN (CASE WHEN {hit} THEN {fast[i]} END) ELSE {slow} END"
         )
     return matched, fields
 

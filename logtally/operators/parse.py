@@ -9,10 +9,10 @@ Two dialects:
   NULL when the line does not match as a whole. Passing a policy types ``bytes``.
 
 Parsing is a narrow, per-partition step (no shuffle). The pattern is evaluated once per
-line: the packed form (see :mod:`logtally.functions.parse`) is produced by a one-row
+line: the packed groups (see :mod:`logtally.functions.parse`) are produced by a one-row
 ``inline`` generator, which Catalyst cannot merge into the filters and projections
-above it, so the match test and all nine fields read the same evaluated value instead
-of each re-running the regex.
+above it, so the match test and all nine fields read the same evaluated array instead
+of each re-running the regex or the split.
 """
 
 from __future__ import annotations
@@ -44,16 +44,21 @@ def _line(lines: DataFrame, line_col: str | None) -> Column:
 def _evaluate(
     lines: DataFrame, dialect: str, line_col: str | None, keep: tuple[str, ...]
 ) -> tuple[DataFrame, str, list[str]]:
-    """``(*keep, _line, _packed)`` with the pattern evaluated once per line, plus the SQL
-    of the match test and of the nine string fields over those two columns."""
+    """``(*keep, _line, _plain, _parts)`` with the pattern evaluated once per line, plus
+    the SQL of the match test and of the nine string fields over those columns.
+
+    The generator materialises the three values, so the match test, a byte-count filter
+    pushed below the projection, and every field only read them; nothing is recomputed
+    per reference."""
     if dialect not in P.DIALECTS:
         raise ValueError(f"unknown dialect {dialect!r}; expected one of {P.DIALECTS}")
     line = _line_name(lines, line_col)
     evaluated = lines.selectExpr(
         *[f"`{c}`" for c in keep],
-        f"inline(array(struct(`{line}` AS _line, {PF.packed_sql(f'`{line}`', dialect)} AS _packed)))",
+        f"inline(array(struct(`{line}` AS _line, {PF.plain_sql(f'`{line}`')} AS _plain, "
+        f"{PF.parts_sql(f'`{line}`', dialect)} AS _parts)))",
     )
-    matched, fields = PF.unpack_sql("_line", "_packed", dialect)
+    matched, fields = PF.unpack_sql("_line", "_plain", "_parts", dialect)
     return evaluated, matched, fields
 
 
