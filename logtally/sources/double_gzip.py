@@ -18,14 +18,21 @@ from __future__ import annotations
 import gzip
 import io
 import os
+import sys
 from collections.abc import Iterator
 from functools import partial
 from urllib.parse import urlparse
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The decode and write functions below run in executor Python processes. They travel
+# with the task (pickled by value: this module needs only the standard library, pandas
+# and pyarrow), so executors need not have this package installed or on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LINE_SCHEMA = "line string, path string"
 CHUNK_BYTES = 1 << 22
 
