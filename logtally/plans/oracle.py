@@ -176,6 +176,10 @@ ORACLE: dict[str, str] = {
         ", g AS (SELECT ip AS selection, CAST(status AS VARCHAR) AS status, "
         "CAST(sum(bytes) AS BIGINT) AS bytes FROM usable GROUP BY ip, status)\n" + _MAP_TEXT
     ),
+    "ip_set_breakdown": _q(
+        "SELECT ip, status, CAST(sum(bytes) AS BIGINT) AS bytes FROM usable "
+        f"WHERE ip IN (SELECT ip FROM usable WHERE status = {Q.STATUS}) GROUP BY ip, status"
+    ),
     "status_map_export": _q(
         f", g AS (SELECT {Q.PREFIX!r} AS selection, CAST(status AS VARCHAR) AS status, "
         f"CAST(sum(bytes) AS BIGINT) AS bytes FROM {PREFIX_ROWS} GROUP BY status),\n"

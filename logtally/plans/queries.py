@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..operators import reports as R
 from ..operators import sinks, store
 from ..operators.parse import clean_lines, parse, parse_counts, rejects
-from ..operators.select import prefilter_lines, where_ip
+from ..operators.select import prefilter_lines, status_between, where_ip
 from ..session import scratch_path
 from ..sources import tables
 from ..sources.double_gzip import read_double_gzip, write_double_gzip
@@ -162,6 +162,15 @@ def ip_list_breakdown(spark, sf_dir):
     return R.top_ips_breakdown(_usable(spark, sf_dir), TOP_N)
 
 
+def ip_set_breakdown(spark, sf_dir):
+    """Status breakdown of every IP in a key set derived from the data (IPs that got a
+    404): a semi join with keys of unknown size, left to Catalyst's estimate and AQE's
+    runtime size check rather than a forced broadcast."""
+    records = _usable(spark, sf_dir)
+    keys = R.distinct_values(status_between(records, STATUS, STATUS), "ip")
+    return R.ip_list_breakdown(records, keys)
+
+
 # --- status maps, identical records, exports ----------------------------------------
 
 def status_map_text(spark, sf_dir):
@@ -305,6 +314,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_ips": distinct_ips,
     "distinct_statuses": distinct_statuses,
     "ip_list_breakdown": ip_list_breakdown,
+    "ip_set_breakdown": ip_set_breakdown,
     "status_map_text": status_map_text,
     "status_map_merge": status_map_merge,
     "status_map_export": status_map_export,
