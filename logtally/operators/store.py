@@ -26,6 +26,7 @@ compaction; the merge of per-input shards).
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 
@@ -71,7 +72,13 @@ def append(
     """
     replace = segment is not None
     segment = segment or new_segment_id()
-    rows = parsed.select(*FIELDS).withColumn("segment", F.lit(segment))
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", segment):
+        raise ValueError(f"segment id {segment!r}: use letters, digits, '_', '.', '-'")
+    # Records of either dialect: ``status`` and ``bytes`` take the store's types (a no-op
+    # for combined records; a SerDe value such as ``-`` becomes NULL), so every folder
+    # name reads back as an int.
+    typed = {"status": "TRY_CAST(status AS INT) AS status", "bytes": "TRY_CAST(bytes AS BIGINT) AS bytes"}
+    rows = parsed.selectExpr(*[typed.get(c, f"`{c}`") for c in FIELDS], f"'{segment}' AS segment")
     keys = [F.col("status"), F.col("ip"), F.xxhash64(*[F.col(c) for c in FIELDS])]
     if partitions:
         rows = rows.repartitionByRange(partitions, *keys)

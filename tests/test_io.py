@@ -123,3 +123,16 @@ def test_tables_load_overwrite_and_sql(spark, lines_df):
     assert once["200"] == (17.0, pytest.approx(100 * 17 / 22))
     tables.drop_table(spark, name)
     assert os.path.isdir(location.replace("file:", ""))  # external: files survive the drop
+
+
+def test_store_takes_serde_records(spark, lines_df):
+    """SerDe records (strings, ``-`` allowed) are typed on the way in; the store reads back."""
+    lines = [
+        '1.1.1.1 - - [x] "G" - 5 "-" "a"',
+        '2.2.2.2 - - [x] "G" 200 - "-" "a"',
+        '3.3.3.3 - - [x] "G" 404 7',
+    ]
+    path = scratch_path(spark, "t-serde-store")
+    store.ingest_lines(lines_df(lines), path, dialect="regexserde", on_bad_bytes="null")
+    got = sorted((r.ip, r.status, r.bytes, r.agent) for r in store.read_store(spark, path).collect())
+    assert got == [("1.1.1.1", None, 5, '"a"'), ("2.2.2.2", 200, None, '"a"'), ("3.3.3.3", 404, 7, None)]
