@@ -122,8 +122,10 @@ def read_double_gzip(
     ``from_content=True`` lets Spark load each compressed file into memory instead of
     streaming it from its path (for filesystems pyarrow cannot open; files < 2 GB).
     ``partitions`` redistributes the decoded lines round-robin over that many tasks, for
-    inputs with fewer (large) files than cores: decompression stays one task per file,
-    parsing and aggregation then use every core.
+    inputs with far fewer (large) files than cores: decompression stays one task per
+    file, parsing and aggregation then use every core. The redistribution is a shuffle
+    of all lines; with about as many files as cores it costs more than it gains
+    (measured: 6 files on 8 cores, 15% slower).
     """
     reader = spark.read.format("binaryFile")
     if glob:
