@@ -4,7 +4,8 @@ Input: the access-log lines generated from ``$BENCH_SF_DIR/events.parquet`` (def
 ``/root/testdata/sf0.1``), written once as plain text files and as double-gzipped files
 (the original input format) under the session's shared scratch folder. The Parquet store
 is built from them (timed as ``store_build``, median of three builds after warm-up). Each query runs
-``$BENCH_REPEAT`` times (default 7) after two warm-up runs; the median is reported.
+``$BENCH_REPEAT`` times (default 7, round-robin over the queries) after two warm-up
+runs; the median is reported.
 
 Prints one JSON line: ``{"metric", "value", "unit", "queries", "sf", ...}``; ``value``
 is the sum of the four headline cells.
@@ -45,6 +46,21 @@ def _timed(fn, repeat: int) -> float:
     return round(statistics.median(runs), 4)
 
 
+def _timed_interleaved(fns: dict, repeat: int) -> dict[str, float]:
+    """Median seconds per query; the repeats run round-robin over the queries, so a burst
+    of machine noise spreads over all of them instead of shifting one."""
+    for fn in fns.values():  # warm-up, as in _timed
+        fn()
+        fn()
+    runs: dict[str, list[float]] = {name: [] for name in fns}
+    for _ in range(repeat):
+        for name, fn in fns.items():
+            t0 = time.perf_counter()
+            fn()
+            runs[name].append(time.perf_counter() - t0)
+    return {name: round(statistics.median(r), 4) for name, r in runs.items()}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -114,8 +130,7 @@ def main() -> None:
         "store_top_ip": store_top_ip,
         "scan_status_map": scan_status_map,
     }
-    for name, fn in {**headline, **extra}.items():
-        timings[name] = _timed(fn, repeat)
+    timings.update(_timed_interleaved({**headline, **extra}, repeat))
 
     sf_match = re.search(r"sf([0-9.]+)", sf_dir)
     print(
