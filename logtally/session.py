@@ -49,8 +49,10 @@ def get_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for intermediate data: ``spark.checkpoint.dir`` of the session.
 
-    If it is unset (local tests), a temporary folder is created and registered with
-    ``setCheckpointDir`` so that ``DataFrame.checkpoint()`` uses it too.
+    If it is unset and the session runs in local mode (tests), a temporary folder is
+    created and registered with ``setCheckpointDir`` so that ``DataFrame.checkpoint()``
+    uses it too. On a cluster a machine-local folder would not be visible to the
+    executors, so an unset ``spark.checkpoint.dir`` is an error there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -60,6 +62,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current:
         # Spark appends a per-application sub-folder; keep our files next to it.
         return os.path.dirname(current.rstrip("/"))
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS or "
+            "object storage); logtally writes its intermediate files there"
+        )
     local = tempfile.mkdtemp(prefix="logtally-ckpt-")
     sc.setCheckpointDir(local)
     return local
