@@ -25,7 +25,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from logtally.operators import reports as R  # noqa: E402
 from logtally.operators import store  # noqa: E402
 from logtally.operators.parse import parse  # noqa: E402
-from logtally.operators.select import prefilter_lines, where_ip  # noqa: E402
+from logtally.operators.select import prefilter_lines  # noqa: E402
 from logtally.session import get_session, scratch_path  # noqa: E402
 from logtally.sources.double_gzip import read_double_gzip, write_double_gzip  # noqa: E402
 from logtally.sources.fixtures import log_lines  # noqa: E402
@@ -101,7 +101,7 @@ def main() -> None:
         return R.status_breakdown(parse(read_lines(spark, text_dir))).collect()
 
     def store_ip():
-        records = where_ip(store.read_store(spark, store_path), IP)
+        records = store.read_store(spark, store_path, ip=IP)
         return R.status_breakdown(records, order="status").collect()
 
     def store_global():

@@ -1,9 +1,15 @@
 """The parsed-log store: typed records in Parquet, laid out for pruned lookups.
 
-Layout: ``<path>/status=<int>/segment=<id>/part-*.parquet``.
+Layout: ``<path>/status=<int>/ip_key=<first two characters of ip>/segment=<id>/part-*.parquet``.
 
 * ``status`` directories give partition pruning for status lookups; there are at most
   1000 of them (three-digit codes).
+* ``ip_key`` directories give partition pruning for IP lookups (``read_store(ip=..)``):
+  the scan is planned over one key folder per status instead of every file, so a large
+  store does not start one task per file just to read footers. The key is the first
+  two characters of the IP (``~`` for an empty or missing IP): it follows the string
+  order of the IPs, so a task holding a contiguous IP range writes into one or two key
+  folders, and for dotted IPs it takes about 110 values.
 * Each append is a new ``segment``, so appends never touch existing files. When the
   caller names the segment (a streaming micro-batch id), a repeated append of that id -
   a batch replayed after a failure - replaces exactly that segment through dynamic
@@ -30,7 +36,7 @@ import re
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,11 +56,17 @@ STORE_SCHEMA = T.StructType(
         T.StructField("referer", T.StringType()),
         T.StructField("agent", T.StringType()),
         T.StructField("status", T.IntegerType()),
+        T.StructField("ip_key", T.StringType()),
         T.StructField("segment", T.StringType()),
     ]
 )
 
 
+def ip_key(ip: Column) -> Column:
+    """The store's IP folder key: the first two characters, ``~`` for '' or NULL."""
+    return F.when(F.coalesce(ip, F.lit("")) == "", F.lit("~")).otherwise(F.substring(ip, 1, 2))
+
+
 def new_segment_id() -> str:
     return f"s{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
@@ -79,24 +91,33 @@ def append(
     # name reads back as an int.
     typed = {"status": "TRY_CAST(status AS INT) AS status", "bytes": "TRY_CAST(bytes AS BIGINT) AS bytes"}
     rows = parsed.selectExpr(*[typed.get(c, f"`{c}`") for c in FIELDS], f"'{segment}' AS segment")
+    rows = rows.withColumn("ip_key", ip_key(F.col("ip")))
     keys = [F.col("status"), F.col("ip"), F.xxhash64(*[F.col(c) for c in FIELDS])]
     if partitions:
         rows = rows.repartitionByRange(partitions, *keys)
     else:
         rows = rows.repartitionByRange(*keys)
-    writer = rows.sortWithinPartitions("status", "segment", "ip").write
+    writer = rows.sortWithinPartitions("status", "ip_key", "segment", "ip").write
     if replace:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
         writer = writer.mode("append")
-    writer.partitionBy("status", "segment").parquet(path)
+    writer.partitionBy("status", "ip_key", "segment").parquet(path)
     return segment
 
 
-def read_store(spark: SparkSession, path: str, with_segment: bool = False) -> DataFrame:
+def read_store(
+    spark: SparkSession, path: str, with_segment: bool = False, ip: str | None = None
+) -> DataFrame:
     """The records of all segments, in field order; filters on ``status`` prune
-    directories and filters on ``ip`` are pushed into the Parquet scan."""
+    directories and filters on ``ip`` are pushed into the Parquet scan.
+
+    With ``ip``, only that IP's records: its key folder is selected at planning time
+    (``PartitionFilters``) and the equality is pushed into the scan (row-group skipping).
+    """
     df = spark.read.schema(STORE_SCHEMA).parquet(path)
+    if ip is not None:
+        df = df.where((F.col("ip_key") == ip_key(F.lit(ip))) & (F.col("ip") == F.lit(ip)))
     return df.selectExpr(*FIELDS, *(["segment"] if with_segment else []))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..operators import reports as R
 from ..operators import sinks, store
 from ..operators.parse import clean_lines, parse, parse_counts, rejects
-from ..operators.select import prefilter_lines, status_between, where_ip
+from ..operators.select import prefilter_lines, status_between
 from ..session import scratch_path
 from ..sources import tables
 from ..sources.double_gzip import read_double_gzip, write_double_gzip
@@ -232,8 +232,8 @@ def store_compact(spark, sf_dir):
 
 
 def store_breakdown_ip(spark, sf_dir):
-    records = store.read_store(spark, _store_of(spark, sf_dir))
-    return R.status_breakdown(where_ip(records, IP), order="status")
+    records = store.read_store(spark, _store_of(spark, sf_dir), ip=IP)
+    return R.status_breakdown(records, order="status")
 
 
 def store_breakdown_global(spark, sf_dir):

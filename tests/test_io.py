@@ -99,6 +99,12 @@ def test_store_lookup_plan_is_pruned(spark, store_path):
     assert "PushedFilters: [IsNotNull(ip), EqualTo(ip,1.1.1.1)]" in plan
     assert "PartitionFilters: [isnotnull(status" in plan and "(status" in plan
     assert "ReadSchema: struct<ip:string,client:string" in plan
+    lookup = store.read_store(spark, store_path, ip="1.1.1.1")
+    lookup_plan = lookup._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ip_key" in lookup_plan and "(ip_key#" in lookup_plan
+    assert "EqualTo(ip,1.1.1.1)" in lookup_plan
+    assert sorted(tuple(r) for r in lookup.collect()) == sorted(tuple(r) for r in records.union(
+        where_ip(store.read_store(spark, store_path), "1.1.1.1").where("status <> 200")).collect())
     report = R.status_breakdown(where_ip(store.read_store(spark, store_path), "1.1.1.1"))
     report_plan = report._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<ip:string,bytes:bigint>" in report_plan  # column pruning
