@@ -67,6 +67,11 @@ def ip_key(ip: Column) -> Column:
     return F.when(F.coalesce(ip, F.lit("")) == "", F.lit("~")).otherwise(F.substring(ip, 1, 2))
 
 
+def ip_key_of(ip: str | None) -> str:
+    """:func:`ip_key` of one IP value, computed here (both count characters)."""
+    return ip[:2] if ip else "~"
+
+
 def new_segment_id() -> str:
     return f"s{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
@@ -117,7 +122,7 @@ def read_store(
     """
     df = spark.read.schema(STORE_SCHEMA).parquet(path)
     if ip is not None:
-        df = df.where((F.col("ip_key") == ip_key(F.lit(ip))) & (F.col("ip") == F.lit(ip)))
+        df = df.where((F.col("ip_key") == ip_key_of(ip)) & (F.col("ip") == ip))
     return df.selectExpr(*FIELDS, *(["segment"] if with_segment else []))
 
 

@@ -142,3 +142,10 @@ def test_store_takes_serde_records(spark, lines_df):
     store.ingest_lines(lines_df(lines), path, dialect="regexserde", on_bad_bytes="null")
     got = sorted((r.ip, r.status, r.bytes, r.agent) for r in store.read_store(spark, path).collect())
     assert got == [("1.1.1.1", None, 5, '"a"'), ("2.2.2.2", 200, None, '"a"'), ("3.3.3.3", 404, 7, None)]
+
+
+def test_ip_key_same_in_python_and_spark(spark):
+    values = ["10.2.7.128", "1.2.3.4", "1", "", None, "host.example", "\u00e9\u00e8x", "\U0001f600ab", "~"]
+    df = spark.createDataFrame([(v,) for v in values], "ip string")
+    got = [r.k for r in df.select(store.ip_key(df["ip"]).alias("k")).collect()]
+    assert got == [store.ip_key_of(v) for v in values]
