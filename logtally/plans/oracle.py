@@ -208,3 +208,11 @@ ORACLE: dict[str, str] = {
     "table_overwrite": _q(_HIVE.format(src="serde")),
     "streaming_ingest": _q(f"SELECT {FIELDS_SQL} FROM usable"),
 }
+
+# The store answers the same reports as the scan (cross-path agreement).
+ORACLE.update({
+    "store_status_total": ORACLE["status_total"],
+    "store_ip_total": ORACLE["ip_total"],
+    "store_top_ip": ORACLE["top_ip"],
+    "store_distinct_statuses": ORACLE["distinct_statuses"],
+})

@@ -241,6 +241,24 @@ def store_breakdown_global(spark, sf_dir):
     return R.status_breakdown(records)
 
 
+def store_status_total(spark, sf_dir):
+    """Total of one status from the store: one status folder is read."""
+    return R.status_total(store.read_store(spark, _store_of(spark, sf_dir)), STATUS)
+
+
+def store_ip_total(spark, sf_dir):
+    """Total and hits of one IP from the store: one key folder per status is read."""
+    return R.ip_total(store.read_store(spark, _store_of(spark, sf_dir), ip=IP), IP)
+
+
+def store_top_ip(spark, sf_dir):
+    return R.top_ip(store.read_store(spark, _store_of(spark, sf_dir)))
+
+
+def store_distinct_statuses(spark, sf_dir):
+    return R.distinct_values(store.read_store(spark, _store_of(spark, sf_dir)), "status")
+
+
 def double_gzip_roundtrip(spark, sf_dir):
     out = scratch_path(spark, "double-gzip")
     write_double_gzip(_lines(spark, sf_dir), out, files=6)
@@ -325,6 +343,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "store_compact": store_compact,
     "store_breakdown_ip": store_breakdown_ip,
     "store_breakdown_global": store_breakdown_global,
+    "store_status_total": store_status_total,
+    "store_ip_total": store_ip_total,
+    "store_top_ip": store_top_ip,
+    "store_distinct_statuses": store_distinct_statuses,
     "double_gzip_roundtrip": double_gzip_roundtrip,
     "text_source_roundtrip": text_source_roundtrip,
     "table_load": table_load,
