@@ -88,7 +88,7 @@ def main() -> None:
 
     def build_store():
         store_paths.append(scratch_path(spark, "bench-store"))
-        store.append(parse(read_lines(spark, text_dir)), store_paths[-1])
+        store.ingest_lines(read_lines(spark, text_dir), store_paths[-1])
 
     timings["store_build"] = _timed(build_store, 3)
     store_path = store_paths[-1]

@@ -213,7 +213,7 @@ def format_line(spark, sf_dir):
 
 def _store_of(spark, sf_dir) -> str:
     path = scratch_path(spark, "store")
-    store.append(_usable(spark, sf_dir), path)
+    store.ingest_lines(_lines(spark, sf_dir), path)
     return path
 
 
