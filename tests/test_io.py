@@ -149,3 +149,17 @@ def test_ip_key_same_in_python_and_spark(spark):
     df = spark.createDataFrame([(v,) for v in values], "ip string")
     got = [r.k for r in df.select(store.ip_key(df["ip"]).alias("k")).collect()]
     assert got == [store.ip_key_of(v) for v in values]
+
+
+@pytest.mark.parametrize("dialect", ["combined", "regexserde"])
+def test_ingest_lines_equals_append_of_parsed(spark, lines_df, dialect):
+    """Raw lines ranged on cheap hints, then parsed, store the same records as parsed
+    records ranged on their exact fields."""
+    from tests.test_parse import _generated_lines
+
+    lines = lines_df(_generated_lines(n=600, seed=11) + LINES)
+    a, b = scratch_path(spark, "t-ingest-a"), scratch_path(spark, "t-ingest-b")
+    store.ingest_lines(lines, a, dialect=dialect, on_bad_bytes="null", partitions=3)
+    store.append(parse(lines, dialect, "null"), b, partitions=3)
+    got, want = (sorted(map(tuple, store.read_store(spark, p).collect()), key=repr) for p in (a, b))
+    assert len(got) > 100 and got == want
