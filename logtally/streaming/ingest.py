@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import reports
 from ..operators.parse import parse
-from ..operators.store import append
+from ..operators.store import ingest_lines
 from ..session import scratch_path
 
 
@@ -49,14 +49,15 @@ def ingest(
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the ingestion query; ``available_now`` processes what is there and stops."""
-    parsed = parse(stream_lines(spark, source_dir, max_files_per_trigger), dialect, on_bad_bytes)
+    lines = stream_lines(spark, source_dir, max_files_per_trigger)
     checkpoint = checkpoint or scratch_path(spark, "ingest-checkpoint")
     tag = segment_tag(checkpoint)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        append(batch, store_path, segment=f"q{tag}-b{batch_id:012d}")
+        # raw lines of the batch: ranged on cheap hints, parsed once (see ingest_lines)
+        ingest_lines(batch, store_path, dialect, on_bad_bytes, segment=f"q{tag}-b{batch_id:012d}")
 
-    writer = parsed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    writer = lines.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
