@@ -91,66 +91,87 @@ def _packed_pattern(dialect: str) -> tuple[str, range]:
     raise ValueError(f"unknown dialect {dialect!r}; expected one of {P.DIALECTS}")
 
 
-def packed_sql(line: str, dialect: str = "combined") -> str:
-    """SQL for the line rewritten as ``MARK`` + fields joined by ``SEP`` if it matches,
-    else the line unchanged. One pattern evaluation.
+def packed_groups(dialect: str, names=P.FIELDS) -> tuple[int, ...]:
+    """The regex groups that carry the fields ``names``, ascending.
+
+    ``regexserde`` referer and agent also need group 8, which tells whether the optional
+    pair is present. At least one group is packed, so a match is always recognisable.
+    """
+    _, available = _packed_pattern(dialect)
+    groups: set[int] = set()
+    for name in names:
+        i = P.FIELDS.index(name)
+        groups |= {i + 1} if dialect == "combined" or i < 7 else {8, i + 2}
+    return tuple(sorted(groups)) or (available[0],)
+
+
+def packed_sql(line: str, dialect: str = "combined", groups: tuple[int, ...] | None = None) -> str:
+    """SQL for the line rewritten as ``MARK`` + the groups, each followed by ``SEP``, if
+    it matches, else the line unchanged. One pattern evaluation.
 
     ``combined``: the first match is extended to the end of the line, so text before
     the match stays in front of ``MARK`` and nothing follows the fields.
-    ``regexserde``: the whole line is replaced; field 8 is the optional tail.
+    ``regexserde``: the whole line is replaced; group 8 is the optional tail.
     """
-    pattern, groups = _packed_pattern(dialect)
-    replacement = MARK + SEP.join(f"${g}" for g in groups)
+    pattern, available = _packed_pattern(dialect)
+    replacement = MARK + "".join(f"${g}{SEP}" for g in (groups or available))
     return f"regexp_replace({line}, {sql_literal(pattern)}, {sql_literal(replacement)})"
 
 
 def packed(line: Column, dialect: str = "combined") -> Column:
-    """Column form of :func:`packed_sql`."""
+    """Column form of :func:`packed_sql` (all groups)."""
     pattern, groups = _packed_pattern(dialect)
-    return F.regexp_replace(line, pattern, MARK + SEP.join(f"${g}" for g in groups))
+    return F.regexp_replace(line, pattern, MARK + "".join(f"${g}{SEP}" for g in groups))
 
 
-def parts_sql(line: str, dialect: str = "combined") -> str:
-    """SQL for the groups of the first match as an array of strings (9 for
-    ``combined``, 10 for ``regexserde``: the optional pair, then referer and agent); a
-    line without a match gives a one-element array. Exact for plain lines only."""
+def parts_sql(line: str, dialect: str = "combined", groups: tuple[int, ...] | None = None) -> str:
+    """SQL for the packed groups of the first match as an array of strings, plus an
+    empty last element; a line without a match gives a one-element array. Exact for
+    plain lines only."""
     mark, sep = sql_literal(MARK), sql_literal(SEP)
-    return f"split(substring_index({packed_sql(line, dialect)}, {mark}, -1), {sep})"
+    return f"split(substring_index({packed_sql(line, dialect, groups)}, {mark}, -1), {sep})"
 
 
-def unpack_sql(line: str, plain: str, parts: str, dialect: str = "combined") -> tuple[str, list[str]]:
-    """SQL ``(matched, [nine string fields])`` from a line, its plain flag and its parts.
+def unpack_sql(
+    line: str, plain: str, parts: str, dialect: str = "combined",
+    groups: tuple[int, ...] | None = None,
+) -> tuple[str, dict[str, str]]:
+    """SQL ``(matched, {field: string value})`` from a line, its plain flag and its parts
+    array (built with the same ``groups``); one entry per field those groups carry.
 
     Plain lines read the parts array; other lines recompute with the per-field form.
     For ``regexserde`` every field is NULL on a mismatch and referer/agent are NULL when
     the optional pair is absent.
     """
-    groups = len(_packed_pattern(dialect)[1])
-    hit = f"size({parts}) = {groups}"
+    groups = groups or _packed_pattern(dialect)[1]
+    hit = f"size({parts}) = {len(groups) + 1}"
 
-    def part(i: int) -> str:
-        return f"get({parts}, {i})"  # NULL past the end, also under ANSI
+    def part(group: int) -> str:
+        return f"get({parts}, {list(groups).index(group)})"  # NULL past the end, also under ANSI
 
+    fields: dict[str, str] = {}
     if dialect == "combined":
         pattern = sql_literal(P.COMBINED)
         matched = f"CASE WHEN {plain} THEN {hit} ELSE {line} RLIKE {pattern} END"
-        fields = [
-            f"CASE WHEN {plain} THEN {part(i)} ELSE regexp_extract({line}, {pattern}, {i + 1}) END"
-            for i in range(9)
-        ]
+        for i, name in enumerate(P.FIELDS):
+            if i + 1 in groups:
+                fields[name] = (
+                    f"CASE WHEN {plain} THEN {part(i + 1)} "
+                    f"ELSE regexp_extract({line}, {pattern}, {i + 1}) END"
+                )
         return matched, fields
     serde, serde9 = sql_literal(P.SERDE), sql_literal(P.SERDE9)
     matched = f"CASE WHEN {plain} THEN {hit} ELSE {line} RLIKE {serde} END"
-    fast = [part(i) for i in range(7)] + [
-        f"CASE WHEN {part(7)} <> '' THEN {part(j)} END" for j in (8, 9)
-    ]
-    fields = []
-    for i in range(9):
+    for i, name in enumerate(P.FIELDS):
+        if i < 7 and i + 1 in groups:
+            fast = part(i + 1)
+        elif i >= 7 and {8, i + 2} <= set(groups):
+            fast = f"CASE WHEN {part(8)} <> '' THEN {part(i + 2)} END"
+        else:
+            continue
         gate = serde9 if i >= 7 else serde
         slow = f"CASE WHEN {line} RLIKE {gate} THEN regexp_extract({line}, {serde}, {i + 1}) END"
-        fields.append(
-            f"CASE WHEN {plain} THEN (CASE WHEN {hit} THEN {fast[i]} END) ELSE {slow} END"
-        )
+        fields[name] = f"CASE WHEN {plain} THEN (CASE WHEN {hit} THEN {fast} END) ELSE {slow} END"
     return matched, fields
 
 

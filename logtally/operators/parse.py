@@ -42,23 +42,31 @@ def _line(lines: DataFrame, line_col: str | None) -> Column:
 
 
 def _evaluate(
-    lines: DataFrame, dialect: str, line_col: str | None, keep: tuple[str, ...]
-) -> tuple[DataFrame, str, list[str]]:
+    lines: DataFrame,
+    dialect: str,
+    line_col: str | None,
+    keep: tuple[str, ...],
+    names: tuple[str, ...] = P.FIELDS,
+) -> tuple[DataFrame, str, dict[str, str]]:
     """``(*keep, _line, _plain, _parts)`` with the pattern evaluated once per line, plus
-    the SQL of the match test and of the nine string fields over those columns.
+    the SQL of the match test and of the string fields ``names`` over those columns.
 
     The generator materialises the three values, so the match test, a byte-count filter
     pushed below the projection, and every field only read them; nothing is recomputed
-    per reference."""
+    per reference. Only the regex groups of ``names`` are packed into ``_parts``."""
     if dialect not in P.DIALECTS:
         raise ValueError(f"unknown dialect {dialect!r}; expected one of {P.DIALECTS}")
+    unknown = set(names) - set(P.FIELDS)
+    if unknown:
+        raise ValueError(f"unknown fields {sorted(unknown)}; expected some of {P.FIELDS}")
     line = _line_name(lines, line_col)
+    groups = PF.packed_groups(dialect, names)
     evaluated = lines.selectExpr(
         *[f"`{c}`" for c in keep],
         f"inline(array(struct(`{line}` AS _line, {PF.plain_sql(f'`{line}`')} AS _plain, "
-        f"{PF.parts_sql(f'`{line}`', dialect)} AS _parts)))",
+        f"{PF.parts_sql(f'`{line}`', dialect, groups)} AS _parts)))",
     )
-    matched, fields = PF.unpack_sql("_line", "_plain", "_parts", dialect)
+    matched, fields = PF.unpack_sql("_line", "_plain", "_parts", dialect, groups)
     return evaluated, matched, fields
 
 
@@ -75,7 +83,7 @@ def split_fields(
         *[f"`{c}`" for c in keep],
         "_line",
         f"{matched} AS _matched",
-        *[f"{f} AS `{name}`" for f, name in zip(fields, P.FIELDS)],
+        *[f"{fields[name]} AS `{name}`" for name in P.FIELDS],
     )
 
 
@@ -85,27 +93,39 @@ def parse(
     on_bad_bytes: str | None = None,
     line_col: str | None = None,
     keep: tuple[str, ...] = (),
+    fields: tuple[str, ...] | list[str] | None = None,
 ) -> DataFrame:
     """Parse ``lines`` (a ``line`` or ``value`` string column) into the nine fields.
 
     ``on_bad_bytes`` defaults to ``drop`` for ``combined`` and to raw strings for
-    ``regexserde``. ``keep`` names input columns to carry along.
+    ``regexserde``. ``keep`` names input columns to carry along. ``fields`` limits the
+    output to some of the nine fields (in their usual order): only their regex groups
+    are packed per line, which saves work when a report reads two or three of them
+    (e.g. ``("ip", "status", "bytes")``). Rows are the same as for all fields; ``bytes``
+    is still evaluated when the policy filters or checks it.
 
     The whole parse is three DataFrame steps (evaluate, match filter, typed projection)
     built from SQL text, so constructing it costs a handful of calls into the JVM.
     """
-    evaluated, matched, fields = _evaluate(lines, dialect, line_col, keep)
     policy = on_bad_bytes or ("drop" if dialect == "combined" else None)
-    exprs = [f"{f} AS `{name}`" for f, name in zip(fields, P.FIELDS)]
-    status, size = P.FIELDS.index("status"), P.FIELDS.index("bytes")
+    wanted = tuple(P.FIELDS) if fields is None else tuple(n for n in P.FIELDS if n in set(fields))
+    needed = wanted + (("bytes",) if policy in ("drop", "fail") and "bytes" not in wanted else ())
+    evaluated, matched, values = _evaluate(lines, dialect, line_col, keep, needed)
+    exprs = {name: f"{values[name]} AS `{name}`" for name in needed}
     if dialect == "combined":
         evaluated = evaluated.where(matched)
-        exprs[status] = f"CAST({fields[status]} AS INT) AS status"
-    if policy:
-        exprs[size] = f"{PF.typed_bytes_sql(fields[size], policy)} AS bytes"
-    out = evaluated.selectExpr(*[f"`{c}`" for c in keep], *exprs)
+        if "status" in exprs:
+            exprs["status"] = f"CAST({values['status']} AS INT) AS status"
+    if policy and "bytes" in exprs:
+        exprs["bytes"] = f"{PF.typed_bytes_sql(values['bytes'], policy)} AS bytes"
+    out = evaluated.selectExpr(*[f"`{c}`" for c in keep], *[exprs[n] for n in P.FIELDS if n in exprs])
     if policy == "drop":
         out = out.where("bytes IS NOT NULL")
+    if policy == "fail" and "bytes" not in wanted:
+        # the check must run even though the value is not returned: keep it in a filter
+        out = out.where("bytes IS NOT NULL")
+    if needed != wanted:
+        out = out.select(*keep, *wanted)
     return out
 
 

@@ -23,6 +23,10 @@ from .select import ip_predicate, non_empty_ip, status_between, where_ip
 
 ORDERS = ("bytes", "status", None)
 
+# The parsed columns the status and IP reports read; ``parse(lines, fields=REPORT_FIELDS)``
+# packs only their regex groups.
+REPORT_FIELDS = ("ip", "status", "bytes")
+
 
 def _order(df: DataFrame, order: str | None, key: str = "status") -> DataFrame:
     if order is None:
@@ -275,5 +279,5 @@ __all__ = [
     "status_bytes", "status_breakdown", "status_total", "status_range_total", "status_range",
     "ip_total", "ip_bytes", "ip_hits", "top_ips", "top_ip", "total_bytes", "distinct_values",
     "ip_list_breakdown", "top_ips_breakdown", "line_status_maps", "status_map", "merge_status_maps", "sum_identical",
-    "IDENTITY_COLUMNS",
+    "IDENTITY_COLUMNS", "REPORT_FIELDS",
 ]

@@ -42,6 +42,11 @@ def _usable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse(_lines(spark, sf_dir), "combined", "drop")
 
 
+def _report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usable records with the columns the reports read (same rows as ``_usable``)."""
+    return parse(_lines(spark, sf_dir), "combined", "drop", fields=R.REPORT_FIELDS)
+
+
 # --- parsing -------------------------------------------------------------------------
 
 def parse_combined(spark, sf_dir):
@@ -77,21 +82,21 @@ def bytes_fail(spark, sf_dir):
 # --- status breakdowns ---------------------------------------------------------------
 
 def status_breakdown_global(spark, sf_dir):
-    return R.status_breakdown(_usable(spark, sf_dir))
+    return R.status_breakdown(_report_rows(spark, sf_dir))
 
 
 def status_breakdown_ip(spark, sf_dir):
     lines = prefilter_lines(_lines(spark, sf_dir), IP, "exact")
-    return R.status_breakdown(parse(lines), IP, order="status")
+    return R.status_breakdown(parse(lines, fields=R.REPORT_FIELDS), IP, order="status")
 
 
 def status_breakdown_ip_of_global(spark, sf_dir):
-    return R.status_breakdown(_usable(spark, sf_dir), IP, denominator="global", order="status")
+    return R.status_breakdown(_report_rows(spark, sf_dir), IP, denominator="global", order="status")
 
 
 def status_breakdown_prefix(spark, sf_dir):
     lines = prefilter_lines(_lines(spark, sf_dir), PREFIX, "prefix")
-    return R.status_breakdown(parse(lines), order="status")
+    return R.status_breakdown(parse(lines, fields=R.REPORT_FIELDS), order="status")
 
 
 def hive_style_breakdown(spark, sf_dir):
@@ -100,7 +105,7 @@ def hive_style_breakdown(spark, sf_dir):
 
 
 def percent_text(spark, sf_dir):
-    rows = R.status_breakdown(_usable(spark, sf_dir))
+    rows = R.status_breakdown(_report_rows(spark, sf_dir))
     pct_text = F.format_string("%.6f", F.col("pct"))
     return rows.select(
         "status",
@@ -116,57 +121,57 @@ def percent_text(spark, sf_dir):
 # --- totals, IPs ----------------------------------------------------------------------
 
 def total_bytes(spark, sf_dir):
-    return R.total_bytes(_usable(spark, sf_dir))
+    return R.total_bytes(_report_rows(spark, sf_dir))
 
 
 def status_total(spark, sf_dir):
-    return R.status_total(_usable(spark, sf_dir), STATUS)
+    return R.status_total(_report_rows(spark, sf_dir), STATUS)
 
 
 def status_range(spark, sf_dir):
-    return R.status_range(_usable(spark, sf_dir), *STATUS_RANGE)
+    return R.status_range(_report_rows(spark, sf_dir), *STATUS_RANGE)
 
 
 def ip_total(spark, sf_dir):
     lines = prefilter_lines(_lines(spark, sf_dir), IP, "exact")
-    return R.ip_total(parse(lines), IP)
+    return R.ip_total(parse(lines, fields=R.REPORT_FIELDS), IP)
 
 
 def ip_hits(spark, sf_dir):
-    return R.ip_hits(_usable(spark, sf_dir))
+    return R.ip_hits(_report_rows(spark, sf_dir))
 
 
 def ip_bytes(spark, sf_dir):
-    return R.ip_bytes(_usable(spark, sf_dir))
+    return R.ip_bytes(_report_rows(spark, sf_dir))
 
 
 def top_ip(spark, sf_dir):
-    return R.top_ip(_usable(spark, sf_dir))
+    return R.top_ip(_report_rows(spark, sf_dir))
 
 
 def top_ips_10(spark, sf_dir):
-    return R.top_ips(_usable(spark, sf_dir), TOP_N)
+    return R.top_ips(_report_rows(spark, sf_dir), TOP_N)
 
 
 def distinct_ips(spark, sf_dir):
-    return R.distinct_values(_usable(spark, sf_dir), "ip")
+    return R.distinct_values(_report_rows(spark, sf_dir), "ip")
 
 
 def distinct_statuses(spark, sf_dir):
-    return R.distinct_values(_usable(spark, sf_dir), "status")
+    return R.distinct_values(_report_rows(spark, sf_dir), "status")
 
 
 def ip_list_breakdown(spark, sf_dir):
     """Status breakdown of each of the top IPs: the key list is a top-N result (at most
     N rows) joined to the (ip, status) aggregate of the same scan."""
-    return R.top_ips_breakdown(_usable(spark, sf_dir), TOP_N)
+    return R.top_ips_breakdown(_report_rows(spark, sf_dir), TOP_N)
 
 
 def ip_set_breakdown(spark, sf_dir):
     """Status breakdown of every IP in a key set derived from the data (IPs that got a
     404): a semi join with keys of unknown size, left to Catalyst's estimate and AQE's
     runtime size check rather than a forced broadcast."""
-    records = _usable(spark, sf_dir)
+    records = _report_rows(spark, sf_dir)
     keys = R.distinct_values(status_between(records, STATUS, STATUS), "ip")
     return R.ip_list_breakdown(records, keys)
 
@@ -174,12 +179,12 @@ def ip_set_breakdown(spark, sf_dir):
 # --- status maps, identical records, exports ----------------------------------------
 
 def status_map_text(spark, sf_dir):
-    return sinks.status_map_text(R.status_map(_usable(spark, sf_dir), "all"))
+    return sinks.status_map_text(R.status_map(_report_rows(spark, sf_dir), "all"))
 
 
 def status_map_merge(spark, sf_dir):
     """One-entry maps per record, merged per IP."""
-    maps = R.line_status_maps(_usable(spark, sf_dir), F.col("ip"))
+    maps = R.line_status_maps(_report_rows(spark, sf_dir), F.col("ip"))
     return sinks.status_map_text(R.merge_status_maps(maps))
 
 

@@ -195,3 +195,24 @@ def test_packed_parse_equals_per_field_extraction(spark, dialect):
     got = sorted(tuple(r) for r in fast.collect())
     want = sorted(tuple(r) for r in slow.collect())
     assert len(want) > 100 and got == want
+
+
+@pytest.mark.parametrize(
+    "dialect,policy",
+    [("combined", "drop"), ("combined", "null"), ("combined", "zero"), ("regexserde", None),
+     ("regexserde", "null")],
+)
+@pytest.mark.parametrize(
+    "fields", [("ip", "status", "bytes"), ("status",), ("agent", "ip"), ("referer",), ("bytes",)]
+)
+def test_parse_field_subsets_equal_full_parse(spark, dialect, policy, fields):
+    """Packing only some groups gives the same rows as the full parse, projected."""
+    df = spark.createDataFrame(list(enumerate(_generated_lines(n=800, seed=5))), "i int, line string")
+    full = parse(df, dialect, policy, keep=("i",))
+    part = parse(df, dialect, policy, keep=("i",), fields=fields)
+    ordered = [n for n in ("ip", "client", "user", "date_time", "request", "status", "bytes",
+                           "referer", "agent") if n in fields]
+    assert part.columns == ["i", *ordered]
+    got = sorted(tuple(r) for r in part.collect())
+    want = sorted(tuple(r) for r in full.select("i", *ordered).collect())
+    assert got == want
