@@ -129,6 +129,12 @@ def parse(
     return out
 
 
+def _checked(lines: DataFrame, dialect: str, line_col: str | None) -> DataFrame:
+    """``(_line, _matched, bytes)``: what the reject rules read, packing one group only."""
+    evaluated, matched, values = _evaluate(lines, dialect, line_col, (), ("bytes",))
+    return evaluated.selectExpr("_line", f"{matched} AS _matched", f"{values['bytes']} AS bytes")
+
+
 def _reason() -> Column:
     return F.when(~F.col("_matched"), F.lit("no_match")).when(
         F.col("bytes").try_cast("bigint").isNull(), F.lit("bad_bytes")
@@ -144,7 +150,7 @@ def rejects(
     but the byte count is not an integer).
     """
     return (
-        split_fields(lines, dialect, line_col)
+        _checked(lines, dialect, line_col)
         .select(F.col("_line").alias("line"), _reason().alias("reason"))
         .where(F.col("reason").isNotNull())
     )
@@ -155,7 +161,7 @@ def clean_lines(
 ) -> DataFrame:
     """The lines :func:`rejects` does not return: they all parse under any policy."""
     return (
-        split_fields(lines, dialect, line_col)
+        _checked(lines, dialect, line_col)
         .where(_reason().isNull())
         .select(F.col("_line").alias("line"))
     )
@@ -176,7 +182,7 @@ def parse_counts(
 ) -> DataFrame:
     """One row ``(lines, matched, bad_bytes, usable)``: a global aggregate, partial per
     task and merged from one small row per task."""
-    return split_fields(lines, dialect, line_col).agg(*_count_exprs())
+    return _checked(lines, dialect, line_col).agg(*_count_exprs())
 
 
 def observe_counts(
