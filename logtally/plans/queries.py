@@ -193,7 +193,7 @@ def status_map_export(spark, sf_dir):
     the status map text, written as text files and read back line by line (the map text
     spans several lines)."""
     lines = prefilter_lines(_lines(spark, sf_dir), PREFIX, "prefix")
-    maps = sinks.status_map_text(R.status_map(parse(lines), PREFIX))
+    maps = sinks.status_map_text(R.status_map(parse(lines, fields=R.REPORT_FIELDS), PREFIX))
     out = scratch_path(spark, "status-map-tsv")
     sinks.write_key_value(maps, "selection", "text", out)
     return read_lines(spark, out)
