@@ -189,6 +189,22 @@ def ip_list_breakdown(
     return out
 
 
+def breakdown_of_ips_with_status(parsed: DataFrame, status: int) -> DataFrame:
+    """``(ip, status, bytes)`` for every IP that has at least one record of ``status``.
+
+    One scan: the ``(ip, status)`` aggregate is flagged per IP with a window over the
+    grouped rows (at most one row per status, so at most 1000 rows per window partition
+    even for a hot IP), instead of joining the records to a key set computed from a
+    second scan.
+    """
+    grouped = parsed.groupBy("ip", "status").agg(F.expr("sum(bytes) AS bytes"))
+    return (
+        grouped.selectExpr("*", f"max(status = {int(status)}) OVER (PARTITION BY ip) AS _has")
+        .where("_has")
+        .select("ip", "status", "bytes")
+    )
+
+
 def top_ips_breakdown(parsed: DataFrame, n: int) -> DataFrame:
     """``(ip, status, bytes)`` for the ``n`` IPs with the most bytes, from one scan.
 
@@ -278,6 +294,6 @@ def sum_identical(parsed: DataFrame) -> DataFrame:
 __all__ = [
     "status_bytes", "status_breakdown", "status_total", "status_range_total", "status_range",
     "ip_total", "ip_bytes", "ip_hits", "top_ips", "top_ip", "total_bytes", "distinct_values",
-    "ip_list_breakdown", "top_ips_breakdown", "line_status_maps", "status_map", "merge_status_maps", "sum_identical",
+    "ip_list_breakdown", "breakdown_of_ips_with_status", "top_ips_breakdown", "line_status_maps", "status_map", "merge_status_maps", "sum_identical",
     "IDENTITY_COLUMNS", "REPORT_FIELDS",
 ]

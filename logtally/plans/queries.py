@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..operators import reports as R
 from ..operators import sinks, store
 from ..operators.parse import clean_lines, parse, parse_counts, rejects
-from ..operators.select import prefilter_lines, status_between
+from ..operators.select import prefilter_lines
 from ..session import scratch_path
 from ..sources import tables
 from ..sources.double_gzip import read_double_gzip, write_double_gzip
@@ -169,11 +169,9 @@ def ip_list_breakdown(spark, sf_dir):
 
 def ip_set_breakdown(spark, sf_dir):
     """Status breakdown of every IP in a key set derived from the data (IPs that got a
-    404): a semi join with keys of unknown size, left to Catalyst's estimate and AQE's
-    runtime size check rather than a forced broadcast."""
-    records = _report_rows(spark, sf_dir)
-    keys = R.distinct_values(status_between(records, STATUS, STATUS), "ip")
-    return R.ip_list_breakdown(records, keys)
+    404), from one scan: the (ip, status) aggregate flagged per IP by a window. (An
+    explicit key DataFrame goes through ``ip_list_breakdown``'s semi join instead.)"""
+    return R.breakdown_of_ips_with_status(_report_rows(spark, sf_dir), STATUS)
 
 
 # --- status maps, identical records, exports ----------------------------------------

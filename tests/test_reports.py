@@ -128,3 +128,11 @@ def test_sum_identical_and_ctrl_a(spark, lines_df):
     rendered = sorted(r.line for r in sinks.ctrl_a_lines(summed).collect())
     assert rendered[0].split("\u0001")[0] == "1.1.1.1" and rendered[0].endswith("\u00017")
     assert rendered[1].split("\u0001")[0] == "null" and len(rendered[1].split("\u0001")) == 9
+
+
+def test_breakdown_of_ips_with_status_equals_key_list_path(small):
+    """The one-scan window form gives the rows of the semi join with a derived key set."""
+    keys = R.distinct_values(small.where("status = 404"), "ip")
+    want = sorted(tuple(r) for r in R.ip_list_breakdown(small, keys).collect())
+    got = sorted(tuple(r) for r in R.breakdown_of_ips_with_status(small, 404).collect())
+    assert want and got == want
