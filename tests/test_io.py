@@ -175,3 +175,23 @@ def test_ip_lookup_with_path_characters_in_the_key(spark, lines_df):
     for i, host in enumerate(hosts):
         got = [(r.ip, r.bytes) for r in store.read_store(spark, path, ip=host).collect()]
         assert got == [(host, i + 1)], host
+
+
+@pytest.mark.parametrize("path_kind", ["append", "ingest_lines"])
+def test_hot_ip_spreads_over_files(spark, lines_df, path_kind):
+    """One IP with a third of all rows (same status) is split over several store files
+    by the hash tie-breaker, not written by a single task."""
+    import glob
+
+    lines = [f'10.0.{i % 50}.{i % 7} - - [x] "G /{i}" 200 {i}' + ' "-" "a"' for i in range(3000)]
+    lines += [f'9.9.9.9 - - [x] "G /{i}" 200 {i} "-" "a"' for i in range(1500)]
+    df = lines_df(lines)
+    path = scratch_path(spark, "t-hot")
+    if path_kind == "append":
+        store.append(parse(df), path, partitions=6)
+    else:
+        store.ingest_lines(df, path, partitions=6)
+    records = spark.read.parquet(path).where("ip = '9.9.9.9'").selectExpr("_metadata.file_path AS f")
+    hot_files = {r.f for r in records.collect()}
+    assert len(hot_files) >= 2, hot_files
+    assert store.read_store(spark, path, ip="9.9.9.9").count() == 1500
