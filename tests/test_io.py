@@ -181,8 +181,6 @@ def test_ip_lookup_with_path_characters_in_the_key(spark, lines_df):
 def test_hot_ip_spreads_over_files(spark, lines_df, path_kind):
     """One IP with a third of all rows (same status) is split over several store files
     by the hash tie-breaker, not written by a single task."""
-    import glob
-
     lines = [f'10.0.{i % 50}.{i % 7} - - [x] "G /{i}" 200 {i}' + ' "-" "a"' for i in range(3000)]
     lines += [f'9.9.9.9 - - [x] "G /{i}" 200 {i} "-" "a"' for i in range(1500)]
     df = lines_df(lines)
