@@ -205,12 +205,18 @@ def breakdown_of_ips_with_status(parsed: DataFrame, status: int) -> DataFrame:
     )
 
 
+# Largest top-N key list that is broadcast without asking the planner: N IP strings,
+# at most a few MB. Beyond it the join strategy is left to Catalyst's estimate and AQE.
+BROADCAST_TOP_N = 100_000
+
+
 def top_ips_breakdown(parsed: DataFrame, n: int) -> DataFrame:
     """``(ip, status, bytes)`` for the ``n`` IPs with the most bytes, from one scan.
 
     The ranking and the breakdown read the same ``(ip, status)`` aggregate, so its
     shuffle is computed once and reused. The top-N keys (at most ``n`` distinct rows)
-    are inner-joined to the aggregate (broadcast: at most ``n`` rows); a semi join would
+    are inner-joined to the aggregate (broadcast when ``n`` is at most
+    :data:`BROADCAST_TOP_N`, otherwise planned by Catalyst and AQE); a semi join would
     be pushed below the aggregate by the optimizer and scan the input a second time.
     """
     grouped = parsed.groupBy("ip", "status").agg(F.sum("bytes").alias("bytes"))
@@ -227,7 +233,8 @@ def top_ips_breakdown(parsed: DataFrame, n: int) -> DataFrame:
     # Null-safe equality: a plain equi-join would infer ``ip IS NOT NULL`` and push it
     # into the left aggregate, which then differs from the shared one as well.
     top = top.select(F.col("ip").alias("_top_ip"))
-    joined = grouped.join(F.broadcast(top), grouped["ip"].eqNullSafe(top["_top_ip"]), "inner")
+    keys = F.broadcast(top) if n <= BROADCAST_TOP_N else top
+    joined = grouped.join(keys, grouped["ip"].eqNullSafe(top["_top_ip"]), "inner")
     return joined.select("ip", "status", "bytes")
 
 

@@ -136,3 +136,10 @@ def test_breakdown_of_ips_with_status_equals_key_list_path(small):
     want = sorted(tuple(r) for r in R.ip_list_breakdown(small, keys).collect())
     got = sorted(tuple(r) for r in R.breakdown_of_ips_with_status(small, 404).collect())
     assert want and got == want
+
+
+def test_top_ips_breakdown_without_forced_broadcast(small, monkeypatch):
+    """Above the broadcast bound the same rows come from a planner-chosen join."""
+    want = sorted(tuple(r) for r in R.top_ips_breakdown(small, 2).collect())
+    monkeypatch.setattr(R, "BROADCAST_TOP_N", 1)
+    assert sorted(tuple(r) for r in R.top_ips_breakdown(small, 2).collect()) == want
