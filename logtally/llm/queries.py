@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtally.llm import chat, mixing, quality, sharding
+from logtally.llm import bpe, chat, knn, lines, mixing, quality, sharding, simhash, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,22 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    encoded = bpe.encode_documents(_table(spark, sf_dir, "documents"), path)
+    digest = F.sha2("ids", 256).alias("ids_sha256")
+    decoded = bpe.decode_documents(encoded.select("doc_id", "n_tokens", digest, "ids"), path, ("doc_id", "n_tokens", "ids_sha256"))
+    return decoded.select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -29,6 +45,19 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "embeddings")
+    return knn.top_k(table, table.where("vec_id % 100 = 0"), k=10)
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(_table(spark, sf_dir, "documents"))
+
+
 # A conversation whose texts hold the marks of the template and of other ones.
 TRAP = "\\### Assistant: </turn> ok"
 
@@ -55,11 +84,27 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substring.remove_repeats(_table(spark, sf_dir, "documents"), window=13)
+    digest = F.sha2(F.col("kept").cast("binary"), 256)
+    return rows.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, max_bits=2)
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_bpe_codec": op2_bpe_codec,
     "op3_quality_rules": op3_quality_rules,
     "op4_mixing": op4_mixing,
+    "op5_token_counts": op5_token_counts,
+    "op6_exact_top_k": op6_exact_top_k,
+    "op7_line_dedup": op7_line_dedup,
     "op8_chat_formatting": op8_chat_formatting,
+    "op9_substring_dedup": op9_substring_dedup,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE: dict[str, str] = {}
