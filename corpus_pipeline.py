@@ -7,24 +7,56 @@ all but the last keep the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from logtally.llm import mixing, quality
+from logtally.llm import bpe, lines, mixing, quality, simhash
+from logtally.llm.queries import tokenizer_path
 from logtally.session import scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go."""
     return quality.quality_filter(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go; so do documents left without any line."""
+    return lines.deduped_documents(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component stays."""
+    return simhash.deduped_documents(docs, words=3, max_bits=2)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as many times as the mix takes it."""
     return mixing.mixed_documents(docs)
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids (binary, little-endian 32-bit), with digests of the ids and of the text
+    decoded from them."""
+    path = tokenizer_path()
+    encoded = bpe.encode_documents(docs, path, keep=("doc_id", "lang", "source"))
+    decoded = bpe.decode_documents(encoded, path, keep=tuple(encoded.columns))
+    return decoded.select(
+        *encoded.columns,
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 STAGES = [
     ("quality rules", quality_rules),
-    ("mixing", mix_sources),
+    ("line dedup", line_dedup),
+    ("SimHash near-dedup", near_dedup),
+    ("mixing sources to target weights", mix_sources),
+    ("BPE encoding and decoding", encode),
 ]
 
+# Hash tables, components and tokenizers have no SQL; tests hold every stage against a
+# brute-force version.
 ORACLE_SQL = None
 
 

@@ -51,15 +51,18 @@ def fingerprint(text: str | None, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, fp)`` for every row; ``fp`` is the fingerprint as a signed long."""
+    """``(id, text_hash, fp)`` for every row; ``fp`` is the fingerprint as a signed long."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            fps = [fingerprint(t, words) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], names=["id", "fp"])
+            fps = [fingerprint(t, words) for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(fps, pa.int64())], names=["id", "text_hash", "fp"]
+            )
 
-    return docs.select(docs[id_col].alias("id"), docs[text_col]).mapInArrow(run, f"id {kind}, fp long")
+    rows = docs.select(docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("text_hash"), docs[text_col])
+    return rows.mapInArrow(run, f"id {kind}, text_hash long, fp long")
 
 
 def segment_variants(fp: Column, segments: int) -> Column:
@@ -93,26 +96,50 @@ def links(distinct: DataFrame, max_bits: int, segments: int = 4) -> DataFrame:
     return pairs.where(near).select(F.col("centre").alias("a"), F.col("fp").alias("b"))
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """One row per document: id, ``fingerprint`` (16 hex digits) and ``component_id``, the
-    smallest id reachable over links of at most ``max_bits`` bits."""
+def grouped(docs: DataFrame, words: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
+    """``(id, text_hash, fp, root, component_id)`` for every row of ``docs``; ``root`` names
+    the component."""
     rows = reliable(fingerprints(docs, words, id_col, text_col))
     distinct = reliable(rows.groupBy("fp").agg(F.min("id").alias("first")))
     joined = components(links(distinct, max_bits))
     linked = distinct.join(joined, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("root")
     )
-    smallest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_fp = linked.select(F.col("fp").alias("f"), F.col("root").alias("r")).join(
-        smallest, F.col("r") == F.col("root")
-    ).select("f", "component_id")
-    return rows.join(by_fp, F.col("fp") == F.col("f")).select(
+    smallest = linked.groupBy(F.col("root").alias("r")).agg(F.min("first").alias("component_id"))
+    by_fp = linked.join(smallest, F.col("r") == F.col("root")).select(F.col("fp").alias("f"), "root", "component_id")
+    return rows.join(by_fp, F.col("fp") == F.col("f")).drop("f")
+
+
+def near_duplicates(
+    docs: DataFrame, words: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row per document: id, ``fingerprint`` (16 hex digits) and ``component_id``, the
+    smallest id reachable over links of at most ``max_bits`` bits."""
+    return grouped(docs, words, max_bits, id_col, text_col).select(
         F.col("id").alias(id_col),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
     )
 
 
+def deduped_documents(
+    docs: DataFrame, words: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of ``docs`` per component, columns unchanged: that of the smallest id (then
+    of the smallest text hash); of repeated rows one stays."""
+    groups = grouped(docs, words, max_bits, id_col, text_col)
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "text_hash")
+    keep = groups.groupBy("root").agg(F.min(order).alias("m")).select(
+        F.col("m.text_hash").alias("text_hash"), F.xxhash64("m.id", "m.text_hash").alias("row_hash")
+    )
+    text_hash = F.xxhash64(docs[text_col])
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        text_hash.alias("text_hash"),
+        F.xxhash64(docs[id_col], text_hash).alias("row_hash"),
+    )
+    kept = rows.join(keep, ["text_hash", "row_hash"]).dropDuplicates(["text_hash", "row_hash"])
+    return kept.select("row.*")
+
+
 by_value(__name__)
