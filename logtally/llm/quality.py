@@ -164,22 +164,19 @@ def thresholds(measured: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     language, or of the corpus, where a sketch has fewer than ``min_docs`` documents."""
     limits = [f"{c}_{m}" for m in MEASURES for c in ("lo", "hi")]
     all_fences = reliable(fences(sketches(measured)))
-    own, lang, corpus = (
-        all_fences.where(F.col("level") == k).select(
-            F.col("lang").alias(f"lang{k}"),
-            F.col("source").alias(f"source{k}"),
-            F.when((F.col("docs") >= min_docs) | (F.lit(k) == 0), F.struct(*limits)).alias(f"f{k}"),
-            F.lit(0).alias(f"one{k}"),
-        )
-        for k in (2, 1, 0)
-    )
     # Groups whose documents all fail the base rules have no sketch; they need no fence.
-    joined = own.join(lang, F.col("lang2").eqNullSafe(F.col("lang1")), "left").join(
-        corpus, F.col("one2") == F.col("one0"), "left"
+    own = all_fences.where("level = 2").select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), "docs")
+    lang = all_fences.where("level = 1").select(F.col("lang").alias("l_lang"), F.col("docs").alias("l_docs"))
+    level = F.when(F.col("docs") >= min_docs, 2).when(F.col("l_docs") >= min_docs, 1).otherwise(0)
+    groups = own.join(lang, F.col("g_lang").eqNullSafe(F.col("l_lang"))).select(
+        "g_lang", "g_source", level.alias("g_level")
+    )
+    same = (
+        (F.col("g_level") == F.col("level"))
+        & F.when(F.col("g_level") >= 1, F.col("g_lang")).eqNullSafe(F.col("lang"))
+        & F.when(F.col("g_level") == 2, F.col("g_source")).eqNullSafe(F.col("source"))
     )
-    return joined.select(
-        F.col("lang2").alias("g_lang"), F.col("source2").alias("g_source"), F.coalesce("f2", "f1", "f0").alias("f")
-    ).select("g_lang", "g_source", "f.*")
+    return groups.join(all_fences, same).select("g_lang", "g_source", *limits)
 
 
 def judge(measured: DataFrame, limits: DataFrame) -> DataFrame:
