@@ -39,7 +39,7 @@ from .operators.sinks import (
     write_key_value,
     write_text,
 )
-from .operators.store import append, compact, ingest_lines, read_store, union_shards
+from .operators.store import append, compact, ingest_lines, read_store, vacuum
 from .session import checkpoint_root, get_session, scratch_path
 from .sources.double_gzip import read_double_gzip, write_double_gzip
 from .sources.tables import create_log_table, drop_table, load_lines, parsed_view, register_lines

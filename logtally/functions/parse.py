@@ -28,23 +28,14 @@ SEP = "\u0001"
 MARK = "\u0002"
 
 
-def combined_match(line: Column) -> Column:
-    """True when the combined pattern occurs anywhere in the line."""
-    return line.rlike(P.COMBINED)
-
-
 def combined_group(line: Column, group: int) -> Column:
     """Group ``group`` (1-9) of the first combined match; '' when the group is absent.
 
-    Only meaningful on lines for which :func:`combined_match` holds.
+    Only meaningful on lines in which the pattern occurs.
     """
     return F.regexp_extract(line, P.COMBINED, group)
 
 
-def serde_match(line: Column) -> Column:
-    return line.rlike(P.SERDE)
-
-
 def serde_group(line: Column, group: int) -> Column:
     """Group ``group`` of the whole-line SerDe match, NULL like the SerDe does.
 
@@ -73,13 +64,8 @@ def sql_literal(text: str) -> str:
     return f"r'{text}'"
 
 
-def is_plain(line: Column) -> Column:
-    """True when the line contains neither separator character (packing is exact)."""
-    return ~(line.contains(SEP) | line.contains(MARK))
-
-
 def plain_sql(line: str) -> str:
-    """SQL form of :func:`is_plain`."""
+    """SQL that is true when the line has neither separator character (packing is exact)."""
     return f"(NOT contains({line}, {sql_literal(SEP)}) AND NOT contains({line}, {sql_literal(MARK)}))"
 
 
@@ -118,12 +104,6 @@ def packed_sql(line: str, dialect: str = "combined", groups: tuple[int, ...] | N
     return f"regexp_replace({line}, {sql_literal(pattern)}, {sql_literal(replacement)})"
 
 
-def packed(line: Column, dialect: str = "combined") -> Column:
-    """Column form of :func:`packed_sql` (all groups)."""
-    pattern, groups = _packed_pattern(dialect)
-    return F.regexp_replace(line, pattern, MARK + "".join(f"${g}{SEP}" for g in groups))
-
-
 def parts_sql(line: str, dialect: str = "combined", groups: tuple[int, ...] | None = None) -> str:
     """SQL for the packed groups of the first match as an array of strings, plus an
     empty last element; a line without a match gives a one-element array. Exact for
@@ -191,18 +171,3 @@ def typed_bytes_sql(raw: str, policy: str = "drop") -> str:
         message = f"concat('unparsable byte count: ', coalesce({raw}, 'NULL'))"
         return f"CASE WHEN {value} IS NULL THEN raise_error({message}) ELSE {value} END"
     raise ValueError(f"unknown byte policy {policy!r}; expected one of {P.BYTE_POLICIES}")
-
-
-def typed_bytes(column: str, policy: str = "drop") -> Column:
-    """Column form of :func:`typed_bytes_sql` for a string column named ``column``."""
-    return F.expr(typed_bytes_sql(f"`{column}`", policy))
-
-
-def percent_sql(part: str, whole: str) -> str:
-    """SQL for ``100 * (part / whole)`` as double; NULL when ``whole`` is 0 or NULL."""
-    return f"100D * try_divide(CAST({part} AS DOUBLE), CAST({whole} AS DOUBLE))"
-
-
-def percent(part: Column, whole: Column) -> Column:
-    """Column form of :func:`percent_sql`."""
-    return F.lit(100.0) * F.try_divide(part.cast("double"), whole.cast("double"))

@@ -136,7 +136,7 @@ def _checked(lines: DataFrame, dialect: str, line_col: str | None) -> DataFrame:
 
 
 def _reason() -> Column:
-    return F.when(~F.col("_matched"), F.lit("no_match")).when(
+    return F.when(~F.coalesce("_matched", F.lit(False)), F.lit("no_match")).when(
         F.col("bytes").try_cast("bigint").isNull(), F.lit("bad_bytes")
     )
 
@@ -146,7 +146,7 @@ def rejects(
 ) -> DataFrame:
     """``(line, reason)`` for every line a ``drop`` parse would not use.
 
-    ``reason`` is ``no_match`` (the pattern does not match) or ``bad_bytes`` (it matches
+    ``reason`` is ``no_match`` (the pattern does not match, or the line is NULL) or ``bad_bytes`` (it matches
     but the byte count is not an integer).
     """
     return (

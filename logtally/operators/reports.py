@@ -5,10 +5,13 @@ Every report is a grouped aggregate: Spark computes a partial aggregate in each
 dominant status (one status often carries most of the traffic) therefore never sends its
 raw rows through one task.
 
-Shares of a grand total are computed on the *grouped* status rows with an unpartitioned
-window (``sum(bytes) over ()``). Status codes have three digits, so at most 1000 rows
-reach that single task whatever the input size; the raw records are scanned once, and
-the final sort runs in the same task without a sampling pass.
+Shares divide by a scalar subquery over the *grouped* status rows: both reads of the
+aggregate share its exchange (``ReusedExchange``), so the raw records are scanned once, and
+no window gathers the groups in one task.
+
+Sums are exact beyond 2^63: a byte count is summed in three parts of 21 bits, each a
+``bigint`` sum that holds for 2^42 rows per group, and the parts are joined on the grouped
+rows as ``decimal(38,0)``. So results do not depend on ``spark.sql.ansi.enabled`` either.
 """
 
 from __future__ import annotations
@@ -18,9 +21,39 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parse import percent_sql
 from .select import ip_predicate, non_empty_ip, status_between, where_ip
 
+PART_BITS = 21
+SUM_TYPE = "decimal(38,0)"
+
+
+def _sum_parts(value: Column, name: str) -> list[Column]:
+    """Three partial sums of a ``bigint`` column, named after ``name``."""
+    mask = F.lit((1 << PART_BITS) - 1).cast("bigint")
+    return [
+        F.sum(value.bitwiseAND(mask)).alias(f"{name}_p0"),
+        F.sum(F.shiftright(value, PART_BITS).bitwiseAND(mask)).alias(f"{name}_p1"),
+        F.sum(F.shiftright(value, 2 * PART_BITS)).alias(f"{name}_p2"),
+    ]
+
+
+def _joined(name: str, alias: str | None = None) -> Column:
+    """The sum whose parts are named after ``name``; NULL if no value was summed."""
+    part = lambda k: F.col(f"{name}_p{k}").cast("decimal(19,0)")
+    total = part(2) * F.lit(1 << 2 * PART_BITS).cast("decimal(13,0)") + part(1) * F.lit(1 << PART_BITS).cast(
+        "decimal(7,0)"
+    )
+    return (total + part(0)).cast(SUM_TYPE).alias(alias or name)
+
+
+def _sum_by(df: DataFrame, keys: list, hits: bool = False) -> DataFrame:
+    """``keys`` and the exact sum ``bytes`` of each group, plus its row count ``hits``."""
+    count = [F.count(F.lit(1)).alias("hits")] if hits else []
+    grouped = df.groupBy(*keys).agg(*_sum_parts(F.col("bytes").cast("bigint"), "bytes"), *count)
+    names = grouped.columns[: len(keys)]
+    return grouped.select(*(F.col(f"`{c}`") for c in names), _joined("bytes"), *(["hits"] if hits else []))
+
+
 ORDERS = ("bytes", "status", None)
 
 # The parsed columns the status and IP reports read; ``parse(lines, fields=REPORT_FIELDS)``
@@ -40,12 +73,17 @@ def _order(df: DataFrame, order: str | None, key: str = "status") -> DataFrame:
 
 def status_bytes(parsed: DataFrame) -> DataFrame:
     """``(status, bytes)``: bytes summed per status."""
-    return parsed.groupBy("status").agg(F.expr("sum(bytes) AS bytes"))
+    return _sum_by(parsed, ["status"])
+
+
+def _percent(part: Column, whole: Column) -> Column:
+    """``100 * (part / whole)`` as double; NULL when ``whole`` is 0 or NULL."""
+    return F.lit(100.0) * F.try_divide(part.cast("double"), whole.cast("double"))
 
 
-def _with_share(rows: DataFrame) -> DataFrame:
-    """Add ``pct`` = share of ``bytes`` in its sum over all (status) rows."""
-    return rows.selectExpr("status", "bytes", f"{percent_sql('bytes', 'sum(bytes) OVER ()')} AS pct")
+def _total_of(rows: DataFrame, column: str = "bytes") -> Column:
+    """The sum of ``column`` over grouped rows, as a scalar subquery."""
+    return rows.agg(F.sum(column).cast(SUM_TYPE)).scalar()
 
 
 def status_breakdown(
@@ -69,18 +107,18 @@ def status_breakdown(
         raise ValueError(f"unknown denominator {denominator!r}")
     if selection is None or denominator == "selection":
         source = parsed if selection is None else parsed.where(selection)
-        out = _with_share(status_bytes(source))
+        rows = status_bytes(source)
+        out = rows.select("status", "bytes", _percent(F.col("bytes"), _total_of(rows)).alias("pct"))
     else:
-        rows = parsed.groupBy("status").agg(
-            F.sum(F.when(selection, F.col("bytes"))).alias("_sel_bytes"),
-            F.sum("bytes").alias("_all_bytes"),
+        value = F.col("bytes").cast("bigint")
+        grouped = parsed.groupBy("status").agg(
+            *_sum_parts(F.when(selection, value), "sel"),
+            *_sum_parts(value, "all"),
             F.count_if(selection).alias("_hits"),
         )
-        out = (
-            rows.selectExpr("*", "sum(_all_bytes) OVER () AS _total")
-            .where("_hits > 0")
-            .selectExpr("status", "_sel_bytes AS bytes", f"{percent_sql('_sel_bytes', '_total')} AS pct")
-        )
+        rows = grouped.select("status", _joined("sel"), _joined("all"), "_hits")
+        pct = _percent(F.col("sel"), _total_of(rows, "all"))
+        out = rows.where("_hits > 0").select("status", F.col("sel").alias("bytes"), pct.alias("pct"))
     return _order(out, order)
 
 
@@ -93,9 +131,11 @@ def status_total(parsed: DataFrame, status: int) -> DataFrame:
 
 def status_range_total(parsed: DataFrame, low: int, high: int) -> DataFrame:
     """One row ``(bytes)``: bytes of all statuses in ``[low, high]``, 0 if none."""
-    return status_between(parsed, low, high).agg(
-        F.coalesce(F.sum("bytes"), F.lit(0).cast("bigint")).alias("bytes")
-    )
+    return _sum_by(status_between(parsed, low, high), []).select(_or_zero("bytes"))
+
+
+def _or_zero(column: str) -> Column:
+    return F.coalesce(column, F.lit(0).cast(SUM_TYPE)).alias(column)
 
 
 def status_range(parsed: DataFrame, low: int, high: int, order: str | None = "status") -> DataFrame:
@@ -105,18 +145,13 @@ def status_range(parsed: DataFrame, low: int, high: int, order: str | None = "st
 
 def ip_total(parsed: DataFrame, ip: str) -> DataFrame:
     """One row ``(ip, bytes, hits)``; 0 bytes and 0 hits when the IP never occurs."""
-    return where_ip(parsed, ip).agg(
-        F.lit(ip).alias("ip"),
-        F.coalesce(F.sum("bytes"), F.lit(0).cast("bigint")).alias("bytes"),
-        F.count(F.lit(1)).alias("hits"),
-    )
+    total = _sum_by(where_ip(parsed, ip), [], hits=True)
+    return total.select(F.lit(ip).alias("ip"), _or_zero("bytes"), "hits")
 
 
 def ip_bytes(parsed: DataFrame) -> DataFrame:
     """``(ip, bytes, hits)`` for every IP value, the empty one included."""
-    return parsed.groupBy("ip").agg(
-        F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("hits")
-    )
+    return _sum_by(parsed, ["ip"], hits=True)
 
 
 def ip_hits(parsed: DataFrame) -> DataFrame:
@@ -148,7 +183,7 @@ def top_ip(parsed: DataFrame) -> DataFrame:
         .select("ip", "bytes", F.lit(0).alias("_default"))
     )
     default = parsed.sparkSession.range(1).select(
-        F.lit("").alias("ip"), F.lit(0).cast("bigint").alias("bytes"), F.lit(1).alias("_default")
+        F.lit("").alias("ip"), F.lit(0).cast(SUM_TYPE).alias("bytes"), F.lit(1).alias("_default")
     )
     return (
         candidates.unionByName(default)
@@ -160,7 +195,7 @@ def top_ip(parsed: DataFrame) -> DataFrame:
 
 def total_bytes(parsed: DataFrame) -> DataFrame:
     """One row ``(total_bytes)``. Empty input gives NULL."""
-    return parsed.agg(F.sum("bytes").alias("total_bytes"))
+    return _sum_by(parsed, []).withColumnRenamed("bytes", "total_bytes")
 
 
 def distinct_values(parsed: DataFrame, column: str) -> DataFrame:
@@ -183,7 +218,7 @@ def ip_list_breakdown(
         rows = parsed.where(F.col("ip").isin(sorted(set(ips))))
     else:
         rows = parsed.join(ips.select("ip"), on="ip", how="left_semi")
-    out = rows.groupBy("ip", "status").agg(F.sum("bytes").alias("bytes"))
+    out = _sum_by(rows, ["ip", "status"])
     if order == "status":
         out = out.orderBy("ip", "status")
     return out
@@ -193,11 +228,10 @@ def breakdown_of_ips_with_status(parsed: DataFrame, status: int) -> DataFrame:
     """``(ip, status, bytes)`` for every IP that has at least one record of ``status``.
 
     One scan: the ``(ip, status)`` aggregate is flagged per IP with a window over the
-    grouped rows (at most one row per status, so at most 1000 rows per window partition
-    even for a hot IP), instead of joining the records to a key set computed from a
+    grouped rows (one row per status of the IP, however many records it has), instead of joining the records to a key set computed from a
     second scan.
     """
-    grouped = parsed.groupBy("ip", "status").agg(F.expr("sum(bytes) AS bytes"))
+    grouped = _sum_by(parsed, ["ip", "status"])
     return (
         grouped.selectExpr("*", f"max(status = {int(status)}) OVER (PARTITION BY ip) AS _has")
         .where("_has")
@@ -205,27 +239,22 @@ def breakdown_of_ips_with_status(parsed: DataFrame, status: int) -> DataFrame:
     )
 
 
-# Largest top-N key list that is broadcast without asking the planner: N IP strings,
-# at most a few MB. Beyond it the join strategy is left to Catalyst's estimate and AQE.
-BROADCAST_TOP_N = 100_000
-
-
 def top_ips_breakdown(parsed: DataFrame, n: int) -> DataFrame:
     """``(ip, status, bytes)`` for the ``n`` IPs with the most bytes, from one scan.
 
     The ranking and the breakdown read the same ``(ip, status)`` aggregate, so its
     shuffle is computed once and reused. The top-N keys (at most ``n`` distinct rows)
-    are inner-joined to the aggregate (broadcast when ``n`` is at most
-    :data:`BROADCAST_TOP_N`, otherwise planned by Catalyst and AQE); a semi join would
-    be pushed below the aggregate by the optimizer and scan the input a second time.
+    are inner-joined to the aggregate, by the strategy Catalyst and AQE choose; a semi
+    join would be pushed below the aggregate by the optimizer and scan the input a
+    second time.
     """
-    grouped = parsed.groupBy("ip", "status").agg(F.sum("bytes").alias("bytes"))
-    # The empty IP sorts last and is removed after the limit: a filter before the
-    # aggregate would be pushed into it and the two aggregates would no longer match.
+    grouped = _sum_by(parsed, ["ip", "status"])
+    # A missing IP ('' or NULL) sorts last and is removed after the limit: a filter before
+    # the aggregate would be pushed into it and the two aggregates would no longer match.
     top = (
         grouped.groupBy("ip")
         .agg(F.sum("bytes").alias("_total"))
-        .orderBy((F.col("ip") == "").asc(), F.desc("_total"), F.asc("ip"))
+        .orderBy((F.coalesce("ip", F.lit("")) == "").asc(), F.desc("_total"), F.asc("ip"))
         .limit(n)
         .where(F.col("ip") != "")
         .select("ip")
@@ -233,17 +262,21 @@ def top_ips_breakdown(parsed: DataFrame, n: int) -> DataFrame:
     # Null-safe equality: a plain equi-join would infer ``ip IS NOT NULL`` and push it
     # into the left aggregate, which then differs from the shared one as well.
     top = top.select(F.col("ip").alias("_top_ip"))
-    keys = F.broadcast(top) if n <= BROADCAST_TOP_N else top
-    joined = grouped.join(keys, grouped["ip"].eqNullSafe(top["_top_ip"]), "inner")
+    joined = grouped.join(top, grouped["ip"].eqNullSafe(top["_top_ip"]), "inner")
     return joined.select("ip", "status", "bytes")
 
 
+def _status_key() -> Column:
+    """A status as a map key: its text, or ``null`` for a record without one."""
+    return F.coalesce(F.col("status").cast("string"), F.lit("null"))
+
+
 def line_status_maps(parsed: DataFrame, selection: Column | str = "all") -> DataFrame:
-    """``(selection, statuses map<string,bigint>)``: a one-entry map per record."""
+    """``(selection, statuses map<string,decimal(38,0)>)``: a one-entry map per record."""
     label = F.lit(selection) if isinstance(selection, str) else selection
     return parsed.select(
         label.alias("selection"),
-        F.create_map(F.col("status").cast("string"), F.col("bytes")).alias("statuses"),
+        F.create_map(_status_key(), F.col("bytes").cast(SUM_TYPE)).alias("statuses"),
     )
 
 
@@ -251,11 +284,11 @@ def _maps_from_rows(rows: DataFrame) -> DataFrame:
     """``(selection, total, statuses)`` from ``(selection, status string, bytes)`` rows
     that are already unique per (selection, status).
 
-    The second aggregation collects at most one entry per status into each map; statuses
-    are three digits, so a map holds at most 1000 entries whatever the data size.
+    The second aggregation collects one entry per status into each map, which is what a
+    map holds: at most 1000 for the combined dialect (three digits).
     """
     return rows.groupBy("selection").agg(
-        F.sum("bytes").alias("total"),
+        F.sum("bytes").cast(SUM_TYPE).alias("total"),
         F.map_from_entries(
             F.sort_array(F.collect_list(F.struct(F.col("status"), F.col("bytes"))))
         ).alias("statuses"),
@@ -268,11 +301,7 @@ def status_map(parsed: DataFrame, selection: Column | str = "all") -> DataFrame:
     ``selection`` is a label (``'all'``, an IP) or a column to group by (e.g. ``ip``).
     """
     label = F.lit(selection) if isinstance(selection, str) else selection
-    rows = (
-        parsed.groupBy(label.alias("selection"), F.col("status").cast("string").alias("status"))
-        .agg(F.sum("bytes").alias("bytes"))
-    )
-    return _maps_from_rows(rows)
+    return _maps_from_rows(_sum_by(parsed, [label.alias("selection"), _status_key().alias("status")]))
 
 
 def merge_status_maps(maps: DataFrame) -> DataFrame:
@@ -282,7 +311,7 @@ def merge_status_maps(maps: DataFrame) -> DataFrame:
     aggregate, so any number of partial maps per selection merge without a large group.
     """
     entries = maps.select("selection", F.explode("statuses").alias("status", "bytes"))
-    rows = entries.groupBy("selection", "status").agg(F.sum("bytes").alias("bytes"))
+    rows = entries.groupBy("selection", "status").agg(F.sum("bytes").cast(SUM_TYPE).alias("bytes"))
     return _maps_from_rows(rows)
 
 
@@ -295,7 +324,7 @@ def sum_identical(parsed: DataFrame) -> DataFrame:
     The key columns are grouped as they are; joining them into one delimited key string
     is left to the export (:func:`logtally.operators.sinks.ctrl_a_lines`).
     """
-    return parsed.groupBy(*IDENTITY_COLUMNS).agg(F.sum("bytes").alias("bytes"))
+    return _sum_by(parsed, list(IDENTITY_COLUMNS))
 
 
 __all__ = [

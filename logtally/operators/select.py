@@ -50,5 +50,9 @@ def non_empty_ip(parsed: DataFrame) -> DataFrame:
 
 
 def status_between(parsed: DataFrame, low: int, high: int) -> DataFrame:
-    """Statuses in ``[low, high]``, both ends inclusive (a point when equal)."""
-    return parsed.where(F.col("status").between(low, high))
+    """Statuses in ``[low, high]``, both ends inclusive (a point when equal). A status that
+    is no number (``-`` or NULL in SerDe records) is in no range."""
+    status = F.col("status")
+    if parsed.schema["status"].dataType.typeName() == "string":
+        status = status.try_cast("int")
+    return parsed.where(status.between(low, high))

@@ -24,8 +24,10 @@ def write_text(lines: DataFrame, path: str, compression: str | None = None, mode
 
 
 def write_key_value(df: DataFrame, key: str, value: str, path: str, mode: str = "error") -> None:
-    """``key<TAB>value`` lines, the layout of a MapReduce text output."""
-    write_text(df.select(F.concat_ws("\t", F.col(key), F.col(value).cast("string"))), path, mode=mode)
+    """``key<TAB>value`` lines, the layout of a MapReduce text output. A NULL key or value
+    is written as an empty one, so the tab stays."""
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (key, value)]
+    write_text(df.select(F.concat_ws("\t", *text)), path, mode=mode)
 
 
 def map_text(statuses: Column, total: Column) -> Column:

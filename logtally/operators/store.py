@@ -1,75 +1,68 @@
-"""The parsed-log store: typed records in Parquet, laid out for pruned lookups.
-
-Layout: ``<path>/status=<int>/ip_key=<first two characters of ip>/segment=<id>/part-*.parquet``.
-
-* ``status`` directories give partition pruning for status lookups; there are at most
-  1000 of them (three-digit codes).
-* ``ip_key`` directories give partition pruning for IP lookups (``read_store(ip=..)``):
-  the scan is planned over one key folder per status instead of every file, so a large
-  store does not start one task per file just to read footers. The key is the first
-  two characters of the IP (``~`` for an empty or missing IP): it follows the string
-  order of the IPs, so a task holding a contiguous IP range writes into one or two key
-  folders, and for dotted IPs it takes about 110 values.
-* Each append is a new ``segment``, so appends never touch existing files. When the
-  caller names the segment (a streaming micro-batch id), a repeated append of that id -
-  a batch replayed after a failure - replaces exactly that segment through dynamic
-  partition overwrite, which makes it idempotent. A generated id is new by
-  construction, so those appends use plain append mode and skip the staging-and-rename
-  step of dynamic overwrite.
-* Before writing, rows are range-partitioned by ``(status, ip)`` with a hash of the whole
-  record as tie-breaker, and sorted the same way within each task. Each task then
-  writes into one or two status directories (about one file per task rather than one
-  per task and status), and every file covers a narrow IP range, so an IP lookup skips
-  most files and row groups through Parquet min/max statistics
-  (``PushedFilters: EqualTo(ip, ..)``). The tie-breaker splits a very frequent IP - or
-  a dominant status - over many tasks instead of sending all its rows to one. The
-  number of ranges follows ``spark.sql.shuffle.partitions``, coalesced by AQE to the
-  advisory partition size, unless ``partitions`` is given.
-
-``compact`` merges all segments into a single new one at another path (small-file
-compaction; the merge of per-input shards).
+"""The parsed-log store: typed records in Parquet, in segments, with in-place compaction.
+
+Layout::
+
+    <path>/segment=<id>/part-*.parquet                      one flat folder per append
+    <path>/compact=<id>/ip_bucket=<n>/part-*.parquet        the segments merged so far
+    <path>/_current/<number>.json                           what the compaction replaced
+
+* An append is one pass: parse, sort within the task by ``(status, ip)``, write. Without a
+  shuffle there is no key that could gather rows in one task, and there are as many files
+  as input tasks, whatever the number of statuses and IPs. ``partitions`` deals the raw
+  lines out evenly first, for inputs with fewer (unsplittable) files than cores.
+* Files carry min/max statistics of the sorted columns and a bloom filter of ``ip``, so a
+  lookup (``ip = ..``, ``status = ..``: pushed filters) skips row groups without reading
+  them.
+* Re-writing a named segment replaces its folder as a whole, whatever the new rows are:
+  a streaming micro-batch replayed after a failure leaves exactly its own rows.
+* ``compact`` merges all live segments into folders by a hash of the IP (a bucket count
+  fixed per compaction, files sized by bytes) and publishes the result by a new pointer
+  file; readers and writers go on meanwhile. An IP lookup lists and reads one bucket of
+  the compacted part and the segments appended since. ``vacuum`` deletes what no reader
+  started since needs.
+* Reads list the store's top folder once and hand Spark the folders they need.
+
+One compaction runs at a time: its pointer file has the next number, and creating it
+fails if another one got there first. A named segment must not be re-written while a
+compaction that merges it is running.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import time
 import uuid
+import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from functools import reduce
-
 from ..functions.patterns import FIELDS
-from .parse import _line_name, parse
+from ..sources import hadoop_fs
+from .parse import parse
+
+RECORD = [T.StructField(f, {"status": T.IntegerType(), "bytes": T.LongType()}.get(f, T.StringType())) for f in FIELDS]
+SEGMENT_SCHEMA = T.StructType([*RECORD, T.StructField("segment", T.StringType())])
+COMPACT_SCHEMA = T.StructType([*SEGMENT_SCHEMA.fields, T.StructField("ip_bucket", T.IntegerType())])
 
-STORE_SCHEMA = T.StructType(
-    [
-        T.StructField("ip", T.StringType()),
-        T.StructField("client", T.StringType()),
-        T.StructField("user", T.StringType()),
-        T.StructField("date_time", T.StringType()),
-        T.StructField("request", T.StringType()),
-        T.StructField("bytes", T.LongType()),
-        T.StructField("referer", T.StringType()),
-        T.StructField("agent", T.StringType()),
-        T.StructField("status", T.IntegerType()),
-        T.StructField("ip_key", T.StringType()),
-        T.StructField("segment", T.StringType()),
-    ]
-)
+IP_BUCKETS = 64
+POINTERS = "_current"
+FILE_OPTIONS = {
+    "parquet.bloom.filter.enabled#ip": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
 
 
-def ip_key(ip: Column) -> Column:
-    """The store's IP folder key: the first two characters, ``~`` for '' or NULL."""
-    return F.when(F.coalesce(ip, F.lit("")) == "", F.lit("~")).otherwise(F.substring(ip, 1, 2))
+def ip_bucket(ip: Column, buckets: int) -> Column:
+    """The bucket of an IP ('' and NULL share one)."""
+    return F.pmod(F.crc32(F.coalesce(ip, F.lit("")).cast("binary")), F.lit(buckets)).cast("int")
 
 
-def ip_key_of(ip: str | None) -> str:
-    """:func:`ip_key` of one IP value, computed here (both count characters)."""
-    return ip[:2] if ip else "~"
+def ip_bucket_of(ip: str | None, buckets: int) -> int:
+    """:func:`ip_bucket` of one value, computed here."""
+    return zlib.crc32((ip or "").encode("utf-8")) % buckets
 
 
 def new_segment_id() -> str:
@@ -83,30 +76,47 @@ def _segment_id(segment: str | None) -> str:
     return segment
 
 
-def _store_rows(parsed: DataFrame, segment: str) -> DataFrame:
-    """The nine fields in the store's types, plus the ``segment`` and ``ip_key`` folders.
-
-    Records of either dialect: ``status`` and ``bytes`` take the store's types (a no-op
-    for combined records; a SerDe value such as ``-`` becomes NULL), so every folder name
-    reads back as an int.
-    """
+def _store_rows(parsed: DataFrame) -> DataFrame:
+    """The nine fields in the store's types. A SerDe status such as ``-`` becomes NULL."""
     typed = {"status": "TRY_CAST(status AS INT) AS status", "bytes": "TRY_CAST(bytes AS BIGINT) AS bytes"}
-    rows = parsed.selectExpr(*[typed.get(c, f"`{c}`") for c in FIELDS], f"'{segment}' AS segment")
-    return rows.withColumn("ip_key", ip_key(F.col("ip")))
+    return parsed.selectExpr(*[typed.get(c, f"`{c}`") for c in FIELDS])
 
 
-def _range(df: DataFrame, keys: list[Column], partitions: int | None) -> DataFrame:
-    return df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+def _current(spark: SparkSession, path: str) -> dict:
+    """The latest pointer: ``number``, ``compact`` (folder id or None), ``buckets``, the
+    ``merged`` segments, and those ``replaced`` since they were merged."""
+    names = hadoop_fs.child_names(spark, f"{path}/{POINTERS}")
+    for name in sorted((n for n in names if re.fullmatch(r"\d+\.json", n)), reverse=True):
+        try:
+            return json.loads(hadoop_fs.read_text(spark, f"{path}/{POINTERS}/{name}"))
+        except ValueError:  # being written just now
+            continue
+    return {"number": 0, "compact": None, "buckets": IP_BUCKETS, "merged": [], "replaced": []}
 
 
-def _write(rows: DataFrame, path: str, replace: bool) -> None:
-    """Sort each range by the folders and the IP, then write the folders."""
-    writer = rows.sortWithinPartitions("status", "ip_key", "segment", "ip").write
-    if replace:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode("append")
-    writer.partitionBy("status", "ip_key", "segment").parquet(path)
+def _publish(spark: SparkSession, path: str, pointer: dict) -> None:
+    pointer = {**pointer, "number": pointer["number"] + 1}
+    name = f"{pointer['number']:010d}.json"
+    hadoop_fs.create_text(spark, f"{path}/{POINTERS}/{name}", json.dumps(pointer))
+
+
+def _segments(spark: SparkSession, path: str, pointer: dict) -> list[str]:
+    """Live segment ids: folders that no compaction has merged, or that were re-written since."""
+    gone = set(pointer["merged"]) - set(pointer["replaced"])
+    names = hadoop_fs.child_names(spark, path)
+    return [n[len("segment="):] for n in names if n.startswith("segment=") and n[len("segment="):] not in gone]
+
+
+def _write_segment(rows: DataFrame, path: str, segment: str, named: bool) -> None:
+    spark = rows.sparkSession
+    rows.sortWithinPartitions("status", "ip").write.mode("overwrite").options(**FILE_OPTIONS).parquet(
+        f"{path}/segment={segment}"
+    )
+    if named:
+        pointer = _current(spark, path)
+        if segment in pointer["merged"] and segment not in pointer["replaced"]:
+            # The merged copy of this segment is out of date from now on.
+            _publish(spark, path, {**pointer, "replaced": [*pointer["replaced"], segment]})
 
 
 def append(
@@ -117,37 +127,15 @@ def append(
 ) -> str:
     """Append typed records (the nine fields) to the store; returns the segment id.
 
-    With ``segment`` given, an existing segment of that id is replaced (idempotent
-    retries); otherwise a new id is generated and the rows are appended.
+    With ``segment`` given, an existing segment of that id is replaced as a whole
+    (idempotent retries); otherwise a new id is generated.
     """
-    replace = segment is not None
-    segment = _segment_id(segment)
-    rows = _store_rows(parsed, segment)
-    keys = [F.col("status"), F.col("ip"), F.xxhash64(*[F.col(c) for c in FIELDS])]
-    _write(_range(rows, keys, partitions), path, replace)
+    named, segment = segment is not None, _segment_id(segment)
+    rows = _store_rows(parsed)
+    _write_segment(rows.repartition(partitions) if partitions else rows, path, segment, named)
     return segment
 
 
-def read_store(
-    spark: SparkSession, path: str, with_segment: bool = False, ip: str | None = None
-) -> DataFrame:
-    """The records of all segments, in field order; filters on ``status`` prune
-    directories and filters on ``ip`` are pushed into the Parquet scan.
-
-    With ``ip``, only that IP's records: its key folder is selected at planning time
-    (``PartitionFilters``) and the equality is pushed into the scan (row-group skipping).
-    """
-    df = spark.read.schema(STORE_SCHEMA).parquet(path)
-    if ip is not None:
-        df = df.where((F.col("ip_key") == ip_key_of(ip)) & (F.col("ip") == ip))
-    return df.selectExpr(*FIELDS, *(["segment"] if with_segment else []))
-
-
-def union_shards(shards: list[DataFrame]) -> DataFrame:
-    """Bag union of record DataFrames by column name (e.g. one per input file)."""
-    return reduce(lambda a, b: a.unionByName(b), shards)
-
-
 def ingest_lines(
     lines: DataFrame,
     path: str,
@@ -158,31 +146,88 @@ def ingest_lines(
 ) -> str:
     """Parse raw lines and append the records as one segment; returns the segment id.
 
-    ``lines`` can come from any source (``read_lines``, ``read_double_gzip``, a table).
-    Lines that do not parse are not stored; :func:`logtally.operators.parse.rejects` on
-    the same input lists them.
-
-    The raw lines are range-partitioned first, on cheap hints of the status (the first
-    ``" ddd `` in the line) and of the IP (the first token), with a hash of the line as
-    tie-breaker, and parsed once after the shuffle. Range partitioning samples its input
-    to pick the bounds; sampling the hints instead of parsed records keeps the regex
-    out of that extra pass (2M lines: 7.0 s instead of 9.2 s). The hints only steer
-    rows to tasks; the stored fields come from the parse.
+    ``lines`` can come from any source (``read_lines``, ``read_double_gzip``, a table); it
+    is read and parsed once. Lines that do not parse are not stored;
+    :func:`logtally.operators.parse.rejects` on the same input lists them.
     """
-    replace = segment is not None
-    segment = _segment_id(segment)
-    line = F.col(_line_name(lines, None))
-    hints = [
-        F.regexp_extract(line, r'" (\d{3}) ', 1),
-        F.substring_index(line, " ", 1),
-        F.xxhash64(line),
-    ]
-    ranged = _range(lines, hints, partitions)
-    rows = _store_rows(parse(ranged, dialect, on_bad_bytes), segment)
-    _write(rows, path, replace)
+    named, segment = segment is not None, _segment_id(segment)
+    dealt = lines.repartition(partitions) if partitions else lines
+    _write_segment(_store_rows(parse(dealt, dialect, on_bad_bytes)), path, segment, named)
     return segment
 
 
-def compact(spark: SparkSession, path: str, target: str, partitions: int | None = None) -> str:
-    """Rewrite every segment of ``path`` as one segment at ``target``; returns its id."""
-    return append(read_store(spark, path), target, partitions=partitions)
+def _read(spark: SparkSession, path: str, ip: str | None) -> DataFrame:
+    """``(nine fields, segment)`` of the live folders, restricted to those an IP can be in."""
+    pointer = _current(spark, path)
+    segments = _segments(spark, path, pointer)
+    parts = []
+    if segments:
+        folders = [f"{path}/segment={s}" for s in segments]
+        parts.append(spark.read.schema(SEGMENT_SCHEMA).option("basePath", path).parquet(*folders))
+    if pointer["compact"]:
+        base = f"{path}/compact={pointer['compact']}"
+        wanted, folders = None if ip is None else f"ip_bucket={ip_bucket_of(ip, pointer['buckets'])}", [base]
+        if wanted:
+            folders = [f"{base}/{n}" for n in hadoop_fs.child_names(spark, base) if n == wanted]
+        if folders:
+            merged = spark.read.schema(COMPACT_SCHEMA).option("basePath", base).parquet(*folders)
+            if pointer["replaced"]:
+                merged = merged.where(~F.col("segment").isin(pointer["replaced"]))
+            parts.append(merged.drop("ip_bucket"))
+    if not parts:
+        return spark.createDataFrame([], SEGMENT_SCHEMA)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def read_store(
+    spark: SparkSession, path: str, with_segment: bool = False, ip: str | None = None
+) -> DataFrame:
+    """The records of all live segments, in field order; filters on ``status`` and ``ip``
+    are pushed into the Parquet scan.
+
+    With ``ip``, only that IP's records: of the compacted part only its bucket's folder is
+    listed and read.
+    """
+    df = _read(spark, path, ip)
+    if ip is not None:
+        df = df.where(F.col("ip") == ip)
+    return df.selectExpr(*FIELDS, *(["segment"] if with_segment else []))
+
+
+def compact(
+    spark: SparkSession, path: str, target: str | None = None, buckets: int | None = None
+) -> str:
+    """Merge every live segment into files by IP bucket; returns the compaction's id.
+
+    In place, or into the store at ``target``. Rows keep their segment's name. The hash
+    exchange is a rebalance: adaptive execution splits a bucket that is large (a hot IP)
+    and joins small ones, so files follow the advisory partition size, not the buckets.
+    """
+    pointer = _current(spark, path)
+    out, merged = target or path, _segments(spark, path, pointer)
+    if target and _current(spark, target)["compact"]:
+        raise ValueError(f"{target} has compacted records already; compact into a new store")
+    buckets = buckets or pointer["buckets"]
+    name = new_segment_id()
+    rows = _read(spark, path, None).withColumn("ip_bucket", ip_bucket(F.col("ip"), buckets))
+    rows.hint("rebalance", F.col("ip_bucket")).sortWithinPartitions("ip_bucket", "ip", "status").write.options(
+        **FILE_OPTIONS
+    ).partitionBy("ip_bucket").parquet(f"{out}/compact={name}")
+    if target is None:
+        merged = sorted({*pointer["merged"], *merged})
+        _publish(spark, path, {**pointer, "compact": name, "buckets": buckets, "merged": merged, "replaced": []})
+    else:
+        _publish(spark, target, {**_current(spark, target), "compact": name, "buckets": buckets})
+    return name
+
+
+def vacuum(spark: SparkSession, path: str) -> list[str]:
+    """Delete the folders that compactions have replaced; returns their names. Run it when
+    no query started before the last compaction is still reading."""
+    pointer = _current(spark, path)
+    live = {f"segment={s}" for s in _segments(spark, path, pointer)} | {f"compact={pointer['compact']}"}
+    names = hadoop_fs.child_names(spark, path)
+    old = [n for n in names if n.startswith(("segment=", "compact=")) and n not in live]
+    for n in old:
+        hadoop_fs.delete(spark, f"{path}/{n}")
+    return old

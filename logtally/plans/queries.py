@@ -1,7 +1,7 @@
 """Named queries: each takes ``(spark, sf_dir)`` and returns a DataFrame.
 
-All of them run on ``log_lines`` generated from the whole ``events`` table of
-``sf_dir``. The parameters (one IP, one prefix, one status, a status range, top-N) play
+All of them run on ``log_lines`` (or ``hard_lines``) generated from the whole ``events``
+table of ``sf_dir``. The parameters (one IP, one prefix, one status, a status range, top-N) play
 the role of the IP or status a user asks about.
 
 Queries whose subject is a file format, a store or a table first write the data under a
@@ -22,7 +22,7 @@ from ..operators.select import prefilter_lines
 from ..session import scratch_path
 from ..sources import tables
 from ..sources.double_gzip import read_double_gzip, write_double_gzip
-from ..sources.fixtures import log_lines
+from ..sources.fixtures import hard_lines, log_lines
 from ..sources.text import read_lines
 from .sql import status_share_sql
 
@@ -32,6 +32,9 @@ PREFIX = "10.4.2.4"
 STATUS = 404
 STATUS_RANGE = (300, 399)
 TOP_N = 10
+IP_LIST = ("10.2.7.128", "10.1.1.78", "10.5.1.89", "10.0.0.1", "no such ip")
+# Columns of the status reports over parsed views.
+STATUS_FIELDS = ("status", "bytes")
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +70,7 @@ def parse_counts_q(spark, sf_dir):
 
 def _bytes_by_policy(policy: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark, sf_dir):
-        return R.status_bytes(parse(_lines(spark, sf_dir), "combined", policy))
+        return R.status_bytes(parse(_lines(spark, sf_dir), "combined", policy, fields=STATUS_FIELDS))
 
     run.__name__ = f"bytes_{policy}"
     return run
@@ -76,7 +79,9 @@ def _bytes_by_policy(policy: str) -> Callable[[SparkSession, str], DataFrame]:
 def bytes_fail(spark, sf_dir):
     """The strict policy on quarantined input: rejected lines are split off first, the
     remaining lines must all parse (an unparsable byte count would stop the job)."""
-    return R.status_bytes(parse(clean_lines(_lines(spark, sf_dir)), "combined", "fail"))
+    return R.status_bytes(
+        parse(clean_lines(_lines(spark, sf_dir)), "combined", "fail", fields=STATUS_FIELDS)
+    )
 
 
 # --- status breakdowns ---------------------------------------------------------------
@@ -100,7 +105,7 @@ def status_breakdown_prefix(spark, sf_dir):
 
 
 def hive_style_breakdown(spark, sf_dir):
-    tables.register_lines(_lines(spark, sf_dir), "logtally_serde_lines")
+    tables.register_lines(_lines(spark, sf_dir), "logtally_serde_lines", fields=STATUS_FIELDS)
     return status_share_sql(spark, "logtally_serde_lines")
 
 
@@ -161,16 +166,42 @@ def distinct_statuses(spark, sf_dir):
     return R.distinct_values(_report_rows(spark, sf_dir), "status")
 
 
-def ip_list_breakdown(spark, sf_dir):
+def top_ips_breakdown(spark, sf_dir):
     """Status breakdown of each of the top IPs: the key list is a top-N result (at most
     N rows) joined to the (ip, status) aggregate of the same scan."""
     return R.top_ips_breakdown(_report_rows(spark, sf_dir), TOP_N)
 
 
+def _ip_frame(spark, sf_dir) -> DataFrame:
+    """The key list as a table of its own: the dotted IPs that start with ``10.2.``."""
+    ips = _report_rows(spark, sf_dir).where("ip LIKE '10.2.%'").select("ip").distinct()
+    return ips.union(spark.createDataFrame([("no such ip",)], "ip string"))
+
+
+def ip_list_breakdown(spark, sf_dir):
+    """Status breakdown of an explicit list of IPs: an ``IN`` filter on the lines' records."""
+    return R.ip_list_breakdown(_report_rows(spark, sf_dir), IP_LIST)
+
+
+def ip_frame_breakdown(spark, sf_dir):
+    """Status breakdown of the IPs of a key table: a semi join."""
+    return R.ip_list_breakdown(_report_rows(spark, sf_dir), _ip_frame(spark, sf_dir))
+
+
+def store_ip_list_breakdown(spark, sf_dir):
+    """The explicit list against the store: a pushed ``In`` filter."""
+    return R.ip_list_breakdown(store.read_store(spark, _store_of(spark, sf_dir)), IP_LIST)
+
+
+def store_ip_frame_breakdown(spark, sf_dir):
+    """The key table against the store."""
+    return R.ip_list_breakdown(store.read_store(spark, _store_of(spark, sf_dir)), _ip_frame(spark, sf_dir))
+
+
 def ip_set_breakdown(spark, sf_dir):
     """Status breakdown of every IP in a key set derived from the data (IPs that got a
-    404), from one scan: the (ip, status) aggregate flagged per IP by a window. (An
-    explicit key DataFrame goes through ``ip_list_breakdown``'s semi join instead.)"""
+    404), from one scan: the (ip, status) aggregate flagged per IP by a window. (A key
+    table goes through a semi join instead: ``ip_frame_breakdown``.)"""
     return R.breakdown_of_ips_with_status(_report_rows(spark, sf_dir), STATUS)
 
 
@@ -212,6 +243,54 @@ def format_line(spark, sf_dir):
     return sinks.format_lines(parse(_lines(spark, sf_dir), "regexserde"))
 
 
+# --- hard lines: SerDe records through every report, large counts, repeated lines ------
+
+def _hard(spark, sf_dir) -> DataFrame:
+    return hard_lines(spark, sf_dir).select("line")
+
+
+def _serde(spark, sf_dir) -> DataFrame:
+    return parse(_hard(spark, sf_dir), "regexserde", "null", fields=R.REPORT_FIELDS)
+
+
+def rejects_hard(spark, sf_dir):
+    return rejects(_hard(spark, sf_dir))
+
+
+def big_sum_breakdown(spark, sf_dir):
+    """Byte counts near 2^62: sums of a few lines pass 2^63."""
+    return R.status_breakdown(parse(_hard(spark, sf_dir), fields=R.REPORT_FIELDS))
+
+
+def big_sum_ips(spark, sf_dir):
+    return R.ip_bytes(parse(_hard(spark, sf_dir), fields=R.REPORT_FIELDS))
+
+
+def status_breakdown_serde(spark, sf_dir):
+    return R.status_breakdown(_serde(spark, sf_dir))
+
+
+def status_range_serde(spark, sf_dir):
+    return R.status_range(_serde(spark, sf_dir), 200, 1999)
+
+
+def status_total_serde(spark, sf_dir):
+    return R.status_total(_serde(spark, sf_dir), 200)
+
+
+def status_map_serde(spark, sf_dir):
+    return sinks.status_map_text(R.status_map(_serde(spark, sf_dir)))
+
+
+def top_ips_breakdown_serde(spark, sf_dir):
+    return R.top_ips_breakdown(_serde(spark, sf_dir), 3)
+
+
+def top_ips_breakdown_serde_all(spark, sf_dir):
+    """More places than there are IPs: every IP, and none that is missing."""
+    return R.top_ips_breakdown(_serde(spark, sf_dir), 10_000_000)
+
+
 # --- store, files, tables, streaming ------------------------------------------------
 
 def _store_of(spark, sf_dir) -> str:
@@ -234,6 +313,60 @@ def store_compact(spark, sf_dir):
     return store.read_store(spark, target)
 
 
+def store_compact_in_place(spark, sf_dir):
+    """An append, a compaction in place, another append of the same lines: both are read."""
+    path = _store_of(spark, sf_dir)
+    store.compact(spark, path)
+    store.ingest_lines(_lines(spark, sf_dir), path)
+    return store.read_store(spark, path)
+
+
+def store_compacted_ip(spark, sf_dir):
+    """One IP from a compacted store: one bucket folder is read."""
+    path = _store_of(spark, sf_dir)
+    store.compact(spark, path)
+    store.vacuum(spark, path)
+    return R.status_breakdown(store.read_store(spark, path, ip=IP), order="status")
+
+
+def store_replace_segment(spark, sf_dir):
+    """A named segment written again with other rows: only the second rows remain."""
+    path, rows = scratch_path(spark, "store"), _usable(spark, sf_dir)
+    store.append(rows.where("status < 400"), path, segment="a")
+    store.append(rows.where("status = 200"), path, segment="b")
+    store.append(rows.where("status >= 400"), path, segment="a")
+    return store.read_store(spark, path)
+
+
+def store_replace_compacted(spark, sf_dir):
+    """The same after a compaction has merged the first version."""
+    path, rows = scratch_path(spark, "store"), _usable(spark, sf_dir)
+    store.append(rows.where("status < 400"), path, segment="a")
+    store.append(rows.where("status = 200"), path, segment="b")
+    store.compact(spark, path)
+    store.append(rows.where("status >= 400"), path, segment="a")
+    return store.read_store(spark, path)
+
+
+def store_spread_ips(spark, sf_dir):
+    """Bytes per IP from a store of spread IPs and many equal lines, read back after five
+    appends and a compaction."""
+    path = scratch_path(spark, "store")
+    for k in range(5):
+        part = hard_lines(spark, sf_dir).where(F.col("event_id") % 5 == k).select("line")
+        store.ingest_lines(part, path)
+    store.compact(spark, path)
+    return R.ip_bytes(store.read_store(spark, path))
+
+
+def double_gzip_to_store(spark, sf_dir):
+    """Double-gzip files straight into the store, decoded and parsed in one pass."""
+    out, path = scratch_path(spark, "double-gzip"), scratch_path(spark, "store")
+    write_double_gzip(_lines(spark, sf_dir), out, files=6)
+    store.ingest_lines(read_double_gzip(spark, out).select("line"), path)
+    return store.read_store(spark, path)
+
+
 def store_breakdown_ip(spark, sf_dir):
     records = store.read_store(spark, _store_of(spark, sf_dir), ip=IP)
     return R.status_breakdown(records, order="status")
@@ -245,12 +378,12 @@ def store_breakdown_global(spark, sf_dir):
 
 
 def store_status_total(spark, sf_dir):
-    """Total of one status from the store: one status folder is read."""
+    """Total of one status from the store: row groups of other statuses are skipped."""
     return R.status_total(store.read_store(spark, _store_of(spark, sf_dir)), STATUS)
 
 
 def store_ip_total(spark, sf_dir):
-    """Total and hits of one IP from the store: one key folder per status is read."""
+    """Total and hits of one IP from the store: its pushed filter skips row groups."""
     return R.ip_total(store.read_store(spark, _store_of(spark, sf_dir), ip=IP), IP)
 
 
@@ -285,7 +418,7 @@ def table_load(spark, sf_dir):
     name = _log_table(spark)
     tables.load_lines(spark, name, _lines(spark, sf_dir))
     tables.load_lines(spark, name, _lines(spark, sf_dir))
-    tables.parsed_view(spark, name, name + "_v")
+    tables.parsed_view(spark, name, name + "_v", fields=STATUS_FIELDS)
     return status_share_sql(spark, name + "_v")
 
 
@@ -294,10 +427,23 @@ def table_overwrite(spark, sf_dir):
     name = _log_table(spark)
     tables.load_lines(spark, name, _lines(spark, sf_dir))
     tables.load_lines(spark, name, _lines(spark, sf_dir), overwrite=True)
-    tables.parsed_view(spark, name, name + "_v")
+    tables.parsed_view(spark, name, name + "_v", fields=STATUS_FIELDS)
     return status_share_sql(spark, name + "_v")
 
 
+def managed_table(spark, sf_dir):
+    """A managed table (no LOCATION): created, loaded, reported on; the catalog owns and
+    drops its files."""
+    name = "logtally_managed_" + scratch_path(spark, "m").rsplit("-", 1)[-1]
+    tables.create_log_table(spark, name)
+    tables.load_lines(spark, name, _lines(spark, sf_dir))
+    tables.parsed_view(spark, name, name + "_v", fields=STATUS_FIELDS)
+    out = scratch_path(spark, "managed-report")
+    status_share_sql(spark, name + "_v").write.parquet(out)
+    tables.drop_table(spark, name)
+    return spark.read.parquet(out)
+
+
 def streaming_ingest(spark, sf_dir):
     """Lines land as text files; a streaming query appends them to the store."""
     from ..streaming.ingest import ingest
@@ -305,7 +451,8 @@ def streaming_ingest(spark, sf_dir):
     landing = scratch_path(spark, "landing")
     sinks.write_text(_lines(spark, sf_dir).repartition(3), landing)
     path = scratch_path(spark, "stream-store")
-    ingest(spark, landing, path, available_now=True).awaitTermination()
+    for _ in range(2):  # the second run finds nothing new
+        ingest(spark, landing, path, available_now=True).awaitTermination()
     return store.read_store(spark, path)
 
 
@@ -355,4 +502,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_load": table_load,
     "table_overwrite": table_overwrite,
     "streaming_ingest": streaming_ingest,
+    "top_ips_breakdown": top_ips_breakdown,
+    "ip_frame_breakdown": ip_frame_breakdown,
+    "store_ip_list_breakdown": store_ip_list_breakdown,
+    "store_ip_frame_breakdown": store_ip_frame_breakdown,
+    "rejects_hard": rejects_hard,
+    "big_sum_breakdown": big_sum_breakdown,
+    "big_sum_ips": big_sum_ips,
+    "status_breakdown_serde": status_breakdown_serde,
+    "status_range_serde": status_range_serde,
+    "status_total_serde": status_total_serde,
+    "status_map_serde": status_map_serde,
+    "top_ips_breakdown_serde": top_ips_breakdown_serde,
+    "top_ips_breakdown_serde_all": top_ips_breakdown_serde_all,
+    "store_compact_in_place": store_compact_in_place,
+    "store_compacted_ip": store_compacted_ip,
+    "store_replace_segment": store_replace_segment,
+    "store_replace_compacted": store_replace_compacted,
+    "store_spread_ips": store_spread_ips,
+    "double_gzip_to_store": double_gzip_to_store,
+    "managed_table": managed_table,
 }

@@ -21,13 +21,14 @@ import os
 import sys
 from collections.abc import Iterator
 from functools import partial
-from urllib.parse import urlparse
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_root
+
 # The decode and write functions below run in executor Python processes. They travel
 # with the task (pickled by value: this module needs only the standard library, pandas
 # and pyarrow), so executors need not have this package installed or on their path.
@@ -39,7 +40,9 @@ CHUNK_BYTES = 1 << 22
 
 def _local(path: str) -> str | None:
     if path.startswith("file:"):
-        return urlparse(path).path
+        # Not a URL parser: '#' and '?' are ordinary characters of a file name.
+        rest = path[len("file:"):]
+        return "/" + rest.lstrip("/") if rest.startswith("/") else rest
     if "://" not in path:
         return path
     return None
@@ -172,9 +175,15 @@ def write_double_gzip(
 ) -> int:
     """Write the lines as ``files`` double-gzipped files; returns the number of lines.
 
+    A NULL line is written as an empty one. A folder of the local file system is an error
+    on a cluster, whose executors would each write to their own disk.
     ``compresslevel`` applies to both layers (6 is the gzip tool's default; 9 is
     markedly slower for little gain on the inner layer and none on the outer).
     """
+    if _local(out_dir) is not None and not lines.sparkSession.sparkContext.master.startswith("local"):
+        shared = checkpoint_root(lines.sparkSession)
+        if not out_dir.startswith(shared + "/"):
+            raise ValueError(f"{out_dir} is local to each executor; write to a shared folder such as {shared}")
     written = (
         lines.select(line_col)
         .repartition(files)

@@ -71,3 +71,47 @@ SELECT event_id, CASE
   CASE WHEN event_id % 31 = 0 THEN '' ELSE concat(' "-" "agent/', user_id % 5, '"') END)
  END AS line FROM events
 """
+
+
+def hard_lines_from_events(events: DataFrame) -> DataFrame:
+    """``(event_id bigint, line string)``: the same events as lines that strain the reports.
+
+    First octets spread over 1..223, NULL lines (every 43rd event), empty lines (every
+    41st), one identical line (half of all others), statuses of any text that the SerDe
+    format admits (``-``, none, five digits) and byte counts near 2^62.
+    """
+    eid, uid = F.col("event_id"), F.col("user_id")
+    ip = F.concat(_s(eid % 223 + 1), F.lit("."), _s(uid % 11), F.lit("."), _s(eid % 7), F.lit("."), _s(uid % 256))
+    status = (
+        F.when(eid % 12 == 1, "-").when(eid % 12 == 3, "").when(eid % 12 == 5, _s(eid % 100000 + 1000)).otherwise("200")
+    )
+    size = F.when(eid % 12 == 7, _s(F.lit(4611686018427387904) - eid)).otherwise(_s(uid * 1000 + eid % 997))
+    tail = F.when(eid % 12 == 9, "").otherwise(' "-" "a"')
+    line = (
+        F.when(eid % 43 == 0, F.lit(None).cast("string"))
+        .when(eid % 41 == 0, "")
+        .when(eid % 2 == 0, '9.9.9.9 - - [x] "GET /same HTTP/1.1" 200 1234567 "-" "same"')
+        .otherwise(F.concat(ip, F.lit(' - - [x] "GET /x" '), status, F.lit(" "), size, tail))
+    )
+    return events.select(eid.alias("event_id"), line.alias("line"))
+
+
+def hard_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(event_id, line)`` of :func:`hard_lines_from_events` for ``{sf_dir}/events.parquet``."""
+    return hard_lines_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+HARD_LINES_SQL = """
+SELECT event_id, CASE
+ WHEN event_id % 43 = 0 THEN NULL
+ WHEN event_id % 41 = 0 THEN ''
+ WHEN event_id % 2 = 0 THEN '9.9.9.9 - - [x] "GET /same HTTP/1.1" 200 1234567 "-" "same"'
+ ELSE concat(
+  event_id % 223 + 1, '.', user_id % 11, '.', event_id % 7, '.', user_id % 256, ' - - [x] "GET /x" ',
+  CASE event_id % 12 WHEN 1 THEN '-' WHEN 3 THEN '' WHEN 5 THEN CAST(event_id % 100000 + 1000 AS VARCHAR)
+                     ELSE '200' END,
+  ' ', CASE WHEN event_id % 12 = 7 THEN CAST(4611686018427387904 - event_id AS VARCHAR)
+            ELSE CAST(user_id * 1000 + event_id % 997 AS VARCHAR) END,
+  CASE WHEN event_id % 12 = 9 THEN '' ELSE ' "-" "a"' END)
+ END AS line FROM events
+"""

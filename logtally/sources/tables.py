@@ -52,16 +52,20 @@ def parsed_view(
     view: str,
     dialect: str = "regexserde",
     on_bad_bytes: str | None = None,
+    fields: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """Register ``view`` as the parsed form of ``table`` and return it."""
-    parsed = parse(spark.table(table), dialect=dialect, on_bad_bytes=on_bad_bytes, line_col="line")
+    """Register ``view`` as the parsed form of ``table`` and return it. With ``fields``,
+    the view has only those columns and only their regex groups are evaluated."""
+    parsed = parse(
+        spark.table(table), dialect=dialect, on_bad_bytes=on_bad_bytes, line_col="line", fields=fields
+    )
     parsed.createOrReplaceTempView(view)
     return parsed
 
 
 def register_lines(lines: DataFrame, view: str, dialect: str = "regexserde",
-                   on_bad_bytes: str | None = None) -> DataFrame:
+                   on_bad_bytes: str | None = None, fields: tuple[str, ...] | None = None) -> DataFrame:
     """Register a parsed temporary view over a DataFrame of lines (no catalog table)."""
-    parsed = parse(lines, dialect=dialect, on_bad_bytes=on_bad_bytes)
+    parsed = parse(lines, dialect=dialect, on_bad_bytes=on_bad_bytes, fields=fields)
     parsed.createOrReplaceTempView(view)
     return parsed

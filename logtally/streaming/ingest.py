@@ -3,8 +3,8 @@
 A Structured Streaming file source picks up new files; every micro-batch is parsed and
 written as its own store segment named after the query and the batch id. If a batch is
 replayed after a failure (the checkpoint records which batches committed), it rewrites
-the same segment through dynamic partition overwrite instead of adding a duplicate, so
-the store receives every batch exactly once.
+the folder of the same segment instead of adding a duplicate, so the store receives every
+batch exactly once.
 
 The query part of the name is derived from the checkpoint location: a restarted query
 keeps it, and two ingest queries feeding one store (each with its own checkpoint) never
@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import reports
 from ..operators.parse import parse
 from ..operators.store import ingest_lines
-from ..session import scratch_path
+from ..session import checkpoint_root
 
 
 def stream_lines(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -32,6 +32,12 @@ def stream_lines(spark: SparkSession, source_dir: str, max_files_per_trigger: in
     return reader.load(source_dir).withColumnRenamed("value", "line")
 
 
+def default_checkpoint(spark: SparkSession, source_dir: str, store_path: str) -> str:
+    """The checkpoint folder of the ingest from ``source_dir`` into ``store_path``."""
+    pair = "\n".join(p.rstrip("/") for p in (source_dir, store_path))
+    return f"{checkpoint_root(spark)}/logtally/ingest-{hashlib.sha256(pair.encode('utf-8')).hexdigest()[:24]}"
+
+
 def segment_tag(checkpoint: str) -> str:
     """A short, stable name for the ingest query that owns ``checkpoint``."""
     return hashlib.sha256(checkpoint.rstrip("/").encode("utf-8")).hexdigest()[:12]
@@ -48,13 +54,15 @@ def ingest(
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Start the ingestion query; ``available_now`` processes what is there and stops."""
+    """Start the ingestion query; ``available_now`` processes what is there and stops.
+
+    Without ``checkpoint``, its folder under the shared checkpoint folder is derived from
+    source and store, so a restarted ingest goes on where it stopped."""
     lines = stream_lines(spark, source_dir, max_files_per_trigger)
-    checkpoint = checkpoint or scratch_path(spark, "ingest-checkpoint")
+    checkpoint = checkpoint or default_checkpoint(spark, source_dir, store_path)
     tag = segment_tag(checkpoint)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # raw lines of the batch: ranged on cheap hints, parsed once (see ingest_lines)
         ingest_lines(batch, store_path, dialect, on_bad_bytes, segment=f"q{tag}-b{batch_id:012d}")
 
     writer = lines.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)

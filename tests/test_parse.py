@@ -216,3 +216,17 @@ def test_parse_field_subsets_equal_full_parse(spark, dialect, policy, fields):
     got = sorted(tuple(r) for r in part.collect())
     want = sorted(tuple(r) for r in full.select("i", *ordered).collect())
     assert got == want
+
+
+def test_null_line_is_no_match(spark):
+    df = spark.createDataFrame([(None,), ("junk",)], "line string")
+    assert [r.reason for r in rejects(df).collect()] == ["no_match", "no_match"]
+
+
+def test_queries_pack_only_the_groups_they_use(spark):
+    from logtally.plans.queries import QUERIES
+    from tests.conftest import SF_SMALL
+
+    for name, groups in {"bytes_zero": "$6\u0001$7\u0001", "hive_style_breakdown": "$6\u0001$7\u0001"}.items():
+        plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert groups in plan and "$1\u0001" not in plan, name

@@ -37,7 +37,7 @@ def test_global_breakdown_golden(golden):
     assert [(r.status, r.bytes) for r in rows] == GLOBAL
     assert sum(r.bytes for r in rows) == GLOBAL_TOTAL
     for r in rows:
-        assert r.pct == pytest.approx(100 * r.bytes / GLOBAL_TOTAL, rel=1e-12)
+        assert r.pct == pytest.approx(100 * int(r.bytes) / GLOBAL_TOTAL, rel=1e-12)
         if r.status in PUBLISHED_PCT:
             assert r.pct == pytest.approx(PUBLISHED_PCT[r.status], abs=5e-4)
 
@@ -138,8 +138,40 @@ def test_breakdown_of_ips_with_status_equals_key_list_path(small):
     assert want and got == want
 
 
-def test_top_ips_breakdown_without_forced_broadcast(small, monkeypatch):
-    """Above the broadcast bound the same rows come from a planner-chosen join."""
-    want = sorted(tuple(r) for r in R.top_ips_breakdown(small, 2).collect())
-    monkeypatch.setattr(R, "BROADCAST_TOP_N", 1)
-    assert sorted(tuple(r) for r in R.top_ips_breakdown(small, 2).collect()) == want
+def test_top_ips_breakdown_leaves_out_missing_ips(spark, lines_df):
+    lines = ['2.2.2.2 - - [x] "G" 200 5', '1.1.1.1 - - [x] "G" 200 4', "junk"]
+    parsed = parse(lines_df(lines), "regexserde", "null")
+    assert [tuple(r) for r in R.top_ips_breakdown(parsed, 1).collect()] == [("2.2.2.2", "200", 5)]
+    df = R.top_ips_breakdown(parsed, 10)
+    assert sorted(r.ip for r in df.collect()) == ["1.1.1.1", "2.2.2.2"]
+    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_beyond_64_bits(spark, lines_df, ansi):
+    big = 9_000_000_000_000_000_000
+    lines = [_line("1.1.1.1", 200, big)] * 3 + [_line("1.1.1.1", 404, -5)]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        parsed = parse(lines_df(lines))
+        rows = R.status_breakdown(parsed).collect()
+        assert [(r.status, int(r.bytes)) for r in rows] == [(200, 3 * big), (404, -5)]
+        assert int(R.total_bytes(parsed).first().total_bytes) == 3 * big - 5
+        assert int(R.top_ip(parsed).first().bytes) == 3 * big - 5
+        assert int(R.status_map(parsed).first().total) == 3 * big - 5
+        assert int(R.merge_status_maps(R.line_status_maps(parsed)).first().total) == 3 * big - 5
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_serde_statuses_through_the_reports(spark, lines_df):
+    lines = ['1.1.1.1 - - [x] "G" - 5', '1.1.1.1 - - [x] "G"  6', '1.1.1.1 - - [x] "G" 200 7', "junk"]
+    parsed = parse(lines_df(lines), "regexserde", "null")
+    assert R.status_total(parsed, 200).first().bytes == 7
+    assert [r.status for r in R.status_range(parsed, 0, 999).collect()] == ["200"]
+    assert set(R.status_map(parsed).first().statuses) == {"-", "", "200", "null"}
+    assert set(R.merge_status_maps(R.line_status_maps(parsed)).first().statuses) == {"-", "", "200", "null"}
+    plan = R.status_breakdown(parsed)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    assert len(R.status_breakdown(parsed).collect()) == 4

@@ -54,3 +54,11 @@ def test_running_status_bytes(spark, lines_df):
     query.awaitTermination()
     got = {r.status: r.bytes for r in spark.sql("SELECT * FROM logtally_running").collect()}
     assert got == {200: 10, 404: 5}
+
+
+def test_restart_without_checkpoint_adds_nothing(spark, lines_df):
+    landing, path = scratch_path(spark, "t-landing3"), scratch_path(spark, "t-stream-store3")
+    write_text(lines_df(LINES), landing)
+    for _ in range(2):
+        ingest(spark, landing, path, available_now=True).awaitTermination()
+    assert store.read_store(spark, path).count() == 2
