@@ -1,4 +1,4 @@
-"""Named queries of the corpus operators, over the whole given tables, and their SQL."""
+"""Named queries of the corpus operators, over the whole given tables."""
 
 from __future__ import annotations
 
@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtally.llm import bpe, chat, knn, lines, mixing, quality, sharding, simhash, substring
+from logtally.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -106,5 +109,3 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_simhash": op10_simhash,
 }
-
-ORACLE: dict[str, str] = {}
