@@ -5,17 +5,18 @@ modulo 7 lies in a difference cover: whatever the two positions of a repeated wi
 two copies hold an anchor at the same offset inside them. So only three of seven positions
 are hashed; a window can be a repeat only if an anchor inside it occurs in two documents.
 
-1. ``mapInArrow`` emits each document's distinct anchors. What a task can tell by itself
+1. Of equal texts only the smallest document is looked at: the others repeat it whole.
+   ``mapInArrow`` emits each document's distinct anchors. What a task can tell by itself
    it settles at once: of equal anchors in one block, one row is dealt out by the hash,
-   the others are known to be shared and dealt at random. So a passage that a third of all
-   documents share meets as one row per block of about a million anchors.
+   the others are known to be shared and dealt by document. So a passage that a third of
+   all documents share meets as one row per block of about a million anchors.
 2. Every document gets back its shared anchors and extends them: the full windows around
    them are hashed and dealt out the same way; a window whose smallest document is another
    one is a repeat.
 3. Every document gets back its repeats and drops the words under them.
 
-Both ways back are joins on the document id with the same exchange of the texts. Anchor
-hashes (48 bits) only choose candidates; windows are compared by 63 bits.
+All three steps read the texts from one exchange by document id. Anchor hashes (48 bits)
+only choose candidates; windows are compared by 63 bits, whole texts by 96 and length.
 
 Defined results: null and empty texts have no words; documents without id lose nothing
 and repeat nothing; repeated rows of one id do not repeat each other; a text shorter than
@@ -78,7 +79,7 @@ def anchor_hashes(h: np.ndarray, words: int, period: int, cover: tuple[int, ...]
 
 def settle(hashes: list[np.ndarray], ids: list[int], all_known: bool) -> pa.RecordBatch:
     """Rows ``(key, doc, hash)`` of one block: per hash one row dealt by it (for the smallest
-    document), the others dealt at random and known, which a non-null ``hash`` marks.
+    document), the others dealt by document and known, which a non-null ``hash`` marks.
     ``all_known``: the first row of several is known too (it only counts that they exist)."""
     h = np.concatenate(hashes)
     d = np.repeat(np.array(ids, np.int64), [len(x) for x in hashes])
@@ -92,9 +93,7 @@ def settle(hashes: list[np.ndarray], ids: list[int], all_known: bool) -> pa.Reco
     known = ~first
     if all_known:
         known[:-1] |= ~first[1:]
-    spread = (h.astype(np.uint64) * FACTOR) ^ (d.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-    spread = (spread | np.uint64(1 << 63)).view(np.int64)
-    key = np.where(first, h, spread)
+    key = np.where(first, h, np.where(d < 0, d, ~d))  # hashes are not negative
     return pa.RecordBatch.from_arrays(
         [pa.array(key), pa.array(d), pa.array(h, mask=~known)], names=["key", "doc", "hash"]
     )
@@ -129,8 +128,13 @@ def remove_repeats(
     if size < 1:
         raise ValueError("the period is at most the window")
     cover = difference_cover(period)
-    texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    named = texts.where(F.col("id").isNotNull())
+    # The names differ from those of the table, so that all uses plan one and the same exchange.
+    body = F.coalesce(docs[text_col], F.lit("")).alias("body")
+    texts = docs.select(docs[id_col].cast("long").alias("of_doc"), body)
+    named = texts.where(F.col("of_doc").isNotNull())
+    same = (F.xxhash64("body").alias("a"), F.hash("body").alias("b"), F.octet_length("body").alias("c"))
+    smallest = named.select("of_doc", *same).groupBy("a", "b", "c").agg(F.min("of_doc").alias("of"))
+    smallest = smallest.select("of").distinct()
 
     def emit_anchors(batches):
         def found():
@@ -159,16 +163,17 @@ def remove_repeats(
     def drop_words(batches):
         for b in batches:
             n_words, n_removed, kept = [], [], []
+            copies = b.column(3).to_pylist()
             for k, t in enumerate(b.column(1).to_pylist()):
-                w, repeats = (t or "").encode().split(), b.column(2)[k]
-                gone = np.zeros(len(w), bool)
+                w, repeats = t.encode().split(), b.column(2)[k]
+                gone = np.full(len(w), copies[k] and len(w) >= window)
                 if repeats.is_valid and len(w) >= window:
                     hashes = (window_hashes(word_hashes(t), window) & np.uint64(WINDOW_MASK)).astype(np.int64)
                     step = np.zeros(len(w) + 1, np.int64)
                     at = np.flatnonzero(np.isin(hashes, repeats.values.to_numpy()))
                     step[at] += 1
                     step[at + window] -= 1
-                    gone = np.cumsum(step[:-1]) > 0
+                    gone |= np.cumsum(step[:-1]) > 0
                 n_words.append(len(w))
                 n_removed.append(int(gone.sum()))
                 kept.append(b" ".join(x for x, g in zip(w, gone.tolist(), strict=True) if not g).decode())
@@ -178,13 +183,22 @@ def remove_repeats(
             )
 
     dealt, met = "key long, doc long, hash long", Window.partitionBy("key")
-    anchors = named.mapInArrow(emit_anchors, dealt).withColumn("n", F.count(F.lit(1)).over(met))
+    here = F.col("of_doc") == F.col("of")
+    looked_at = named.join(smallest, here).select("of_doc", "body")
+    anchors = looked_at.mapInArrow(emit_anchors, dealt).withColumn("n", F.count(F.lit(1)).over(met))
     shared = _lists(anchors.where(F.col("hash").isNotNull() | (F.col("n") > 1)), "shared")
-    extended = named.join(shared, F.col("id") == F.col("of")).select("id", "text", "shared")
+    extended = named.join(shared, here).select("of_doc", "body", "shared")
     windows = extended.mapInArrow(emit_windows, dealt).withColumn("least", F.min("doc").over(met))
     repeats = _lists(windows.where(F.col("hash").isNotNull() | (F.col("least") < F.col("doc"))), "repeats")
-    marked = named.join(repeats, F.col("id") == F.col("of"), "left").select("id", "text", "repeats")
-    nameless = texts.where(F.col("id").isNull()).withColumn("repeats", F.lit(None).cast("array<long>"))
+    marked = (
+        named.join(repeats, here, "left")
+        .drop("of")
+        .join(smallest, here, "left")
+        .select("of_doc", "body", "repeats", F.col("of").isNull().alias("copy"))
+    )
+    nameless = texts.where(F.col("of_doc").isNull()).select(
+        "of_doc", "body", F.lit(None).cast("array<long>").alias("repeats"), F.lit(False).alias("copy")
+    )
     out = marked.unionByName(nameless).mapInArrow(drop_words, "id long, n_words long, n_removed long, kept string")
     return out.withColumnRenamed("id", id_col)
 
