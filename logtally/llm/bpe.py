@@ -10,7 +10,7 @@ is popped and merged until none is left, and the count is symbols minus merges.
 
 Texts stream through ``mapInArrow`` in Arrow batches; the tokenizer file (of fixed size)
 is broadcast, its tables are built once per Python worker, and short pre-tokens are kept
-in a memo of at most ``MEMO`` entries.
+in a memo of at most twice ``MEMO`` entries, the least lately used half going first.
 
 Defined results: a null text is encoded like an empty one (no ids); repeated rows are
 encoded one by one; an empty table gives no rows; special strings inside a text become
@@ -39,8 +39,29 @@ PRE_TOKEN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
-MEMO = 1 << 18
+MEMO = 1 << 17
 MEMO_CHARS = 48
+SLICE = 512
+ID_BITS = 20
+NEVER = 1 << 62  # the rank of a pair that does not merge
+
+
+class Memo:
+    """A dictionary of at most twice ``MEMO`` entries: when the newer half is full, it
+    becomes the older one, whose entries stay as long as they are asked for again."""
+
+    def __init__(self, build: Callable[[str], object]) -> None:
+        self.build, self.newer, self.older = build, {}, {}
+
+    def __call__(self, piece: str) -> object:
+        value = self.older.get(piece)
+        if value is None:
+            value = self.build(piece)
+        if len(piece) <= MEMO_CHARS:
+            if len(self.newer) >= MEMO:
+                self.older, self.newer = self.newer, {}
+            self.newer[piece] = value
+        return value
 
 
 def byte_chars() -> list[str]:
@@ -78,12 +99,14 @@ class ByteBPE:
             self.token_bytes[i] = t.encode()
         self.byte_id = [vocab[c] for c in chars]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        self.rank = {(vocab[a], vocab[b]): (r, vocab[a + b]) for r, (a, b) in enumerate(pairs)}
+        # Both ids of a pair in one integer, and its rank and merged id in another.
+        self.rank = {
+            vocab[a] << ID_BITS | vocab[b]: r << ID_BITS | vocab[a + b] for r, (a, b) in enumerate(pairs)
+        }
         self.split = regex.compile(PRE_TOKEN).findall
         found = sorted(self.special, key=len, reverse=True)
         self.special_at = regex.compile("|".join(map(regex.escape, found))) if found else None
-        self.ids_memo: dict[str, bytes] = {}
-        self.count_memo: dict[str, int] = {}
+        self.ids_memo, self.count_memo = Memo(self.piece_ids), Memo(self.piece_count)
 
     def parts(self, text: str) -> Iterator[tuple[str, int | None]]:
         """The text between special strings (id None), and those strings with their ids."""
@@ -96,34 +119,30 @@ class ByteBPE:
 
     # Encoding: forced boundaries.
 
-    def fragments(self, raw: bytes) -> Iterator[bytes]:
+    def fragments(self, raw: bytes) -> list[bytes]:
         """``raw`` cut wherever two neighbouring bytes occur together in no token."""
-        at, joined = 0, self.joined
-        for i in range(1, len(raw)):
-            if not joined[raw[i - 1] << 8 | raw[i]]:
-                yield raw[at:i]
-                at = i
-        yield raw[at:]
+        joined = self.joined
+        cuts = [i for i, (a, b) in enumerate(zip(raw, raw[1:], strict=False), 1) if not joined[a << 8 | b]]
+        return [raw[a:b] for a, b in zip([0, *cuts], [*cuts, len(raw)], strict=True)] if cuts else [raw]
 
     def merged(self, raw: bytes) -> list[int]:
         """Ids of one fragment."""
         ids = [self.byte_id[b] for b in raw]
-        if len(ids) > 24:
+        if len(ids) > 48:
             return [i for i in self._merge(ids) if i >= 0]
-        rank = self.rank
-        while len(ids) > 1:
-            best = min((rank[p] for p in zip(ids, ids[1:], strict=False) if p in rank), default=None)
-            if best is None:
+        rank = self.rank.get
+        ranks = [rank(a << ID_BITS | b, NEVER) for a, b in zip(ids, ids[1:], strict=False)]
+        while ranks:
+            best = min(ranks)
+            if best == NEVER:
                 break
-            out, i = [], 0
-            while i < len(ids):
-                if i + 1 < len(ids) and rank.get((ids[i], ids[i + 1])) == best:
-                    out.append(best[1])
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+            i = ranks.index(best)  # the leftmost pair of the lowest rank
+            ids[i] = new = best & (1 << ID_BITS) - 1
+            del ids[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank(new << ID_BITS | ids[i + 1], NEVER)
+            if i:
+                ranks[i - 1] = rank(ids[i - 1] << ID_BITS | new, NEVER)
         return ids
 
     def piece_ids(self, piece: str) -> bytes:
@@ -141,11 +160,7 @@ class ByteBPE:
                 out.append(little(array("I", [special])))
                 continue
             for piece in self.split(part):
-                ids = memo.get(piece)
-                if ids is None:
-                    ids = self.piece_ids(piece)
-                    remember(memo, piece, ids)
-                out.append(ids)
+                out.append(memo.newer.get(piece) or memo(piece))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
@@ -159,23 +174,27 @@ class ByteBPE:
     def _merge(self, ids: list[int]) -> list[int]:
         """Merge in place, lowest rank first and leftmost among equals; a symbol merged
         into its left neighbour becomes -1."""
-        n, rank = len(ids), self.rank
+        n, rank = len(ids), self.rank.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*rank[p], i) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in rank]
+        heap = []
+        for i in range(n - 1):
+            if (r := rank(ids[i] << ID_BITS | ids[i + 1])) is not None:
+                heap.append((r, i))
         heapq.heapify(heap)
         while heap:
-            r, new, i = heapq.heappop(heap)
+            r, i = heapq.heappop(heap)
             j = after[i]
-            if ids[i] < 0 or j >= n or rank.get((ids[i], ids[j])) != (r, new):
+            if ids[i] < 0 or j >= n or rank(ids[i] << ID_BITS | ids[j]) != r:
                 continue  # one of the two has been merged meanwhile
+            new = r & (1 << ID_BITS) - 1
             ids[i], ids[j] = new, -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (p := rank.get((new, ids[k]))) is not None:
-                    heapq.heappush(heap, (*p, i))
-            if (h := before[i]) >= 0 and (p := rank.get((ids[h], new))) is not None:
-                heapq.heappush(heap, (*p, h))
+                if (r := rank(new << ID_BITS | ids[k])) is not None:
+                    heapq.heappush(heap, (r, i))
+            if (h := before[i]) >= 0 and (r := rank(ids[h] << ID_BITS | new)) is not None:
+                heapq.heappush(heap, (r, h))
         return ids
 
     def piece_count(self, piece: str) -> int:
@@ -190,11 +209,7 @@ class ByteBPE:
                 total += 1
                 continue
             for piece in self.split(part):
-                n = memo.get(piece)
-                if n is None:
-                    n = self.piece_count(piece)
-                    remember(memo, piece, n)
-                total += n
+                total += memo.newer.get(piece) or memo(piece)
         return total
 
 
@@ -204,11 +219,11 @@ def little(ids: array) -> bytes:
     return ids.tobytes()
 
 
-def remember(memo: dict, piece: str, value: object) -> None:
-    if len(piece) <= MEMO_CHARS:
-        if len(memo) >= MEMO:
-            memo.clear()
-        memo[piece] = value
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``SLICE`` rows, so few texts are Python objects at once."""
+    for b in batches:
+        for at in range(0, b.num_rows, SLICE):
+            yield b.slice(at, SLICE)
 
 
 def worker_state(key: str, build: Callable[[], object]) -> object:
@@ -235,7 +250,7 @@ def encode_documents(
 
     def run(batches):
         model = load()
-        for b in batches:
+        for b in slices(batches):
             ids = [model.encode(t or "") for t in b.column(b.num_columns - 1).to_pylist()]
             cols = [b.column(i) for i in range(b.num_columns - 1)]
             cols += [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
@@ -255,7 +270,7 @@ def decode_documents(
 
     def run(batches):
         model = load()
-        for b in batches:
+        for b in slices(batches):
             texts = [model.decode(x or b"") for x in b.column(b.num_columns - 1).to_pylist()]
             cols = [b.column(i) for i in range(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(texts, pa.string())], names=names)
@@ -275,7 +290,7 @@ def count_tokens(
 
     def run(batches):
         model = load()
-        for b in batches:
+        for b in slices(batches):
             counts = [model.count(t or "") for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array(counts, pa.int64())], names=["id", "n_bytes", "n_tokens"]
