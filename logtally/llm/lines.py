@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logtally.llm.common import let, reliable
+from logtally.llm.common import let, reliable, stored
 
 LEAST_WORDS = 5  # the longer line of a near pair
 MASK = (1 << 62) - 1
@@ -204,23 +204,20 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = occurrences(docs, id_col, text_col)
     halves = found.withColumn("n", _count(F.col("x")))
     halves = halves.select("doc", "h", "check", *(c.alias(k) for k, c in _halves(F.col("x"), F.col("n")).items()))
-    distinct = reliable(
-        halves.groupBy("h", "check").agg(
-            F.min("doc").alias("first"),
-            F.count(F.lit(1)).alias("times"),
-            *(F.max(c).alias(c) for c in ("p1", "s1", "p2", "s2")),
-        )
-    )
-    picked = _candidates(distinct).select(
-        F.col("h").alias("h2"), F.col("check").alias("c2"), "first", "p", "s"
-    )
-    here = (F.col("h") == F.col("h2")) & (F.col("check") == F.col("c2")) & F.col("doc").eqNullSafe(F.col("first"))
-    texts = found.join(picked, here).select("doc", "i", "h", "check", "x", _count(F.col("x")).alias("n"), "p", "s")
-    near = _later(reliable(texts)).select(F.col("h").alias("h3"), F.col("check").alias("c3"), F.lit(True).alias("near"))
-    verdict = distinct.join(near, (F.col("h") == F.col("h3")) & (F.col("check") == F.col("c3")), "left")
-    verdict = verdict.where("times > 1 or near").select(
-        F.col("h").alias("vh"), F.col("check").alias("vc"), "first", F.coalesce("near", F.lit(False)).alias("near")
+    distinct = halves.groupBy("h", "check").agg(
+        F.min("doc").alias("first"),
+        F.count(F.lit(1)).alias("times"),
+        *(F.max(c).alias(c) for c in ("p1", "s1", "p2", "s2")),
     )
+    distinct = stored(distinct, "lines")
+    picked = _candidates(distinct).select(F.col("h").alias("h2"), "check", "first", "p", "s")
+    here = (F.col("h") == F.col("h2")) & F.col("doc").eqNullSafe(F.col("first"))
+    texts = found.drop("check").join(picked, here).select("doc", "i", "h", "check", "x", _count(F.col("x")).alias("n"), "p", "s")
+    near = _later(reliable(texts))
+    # One verdict for a line that occurs again, one for a line near an earlier one.
+    none = F.lit(None).cast(distinct.schema["first"].dataType)
+    again = distinct.where("times > 1").select("h", "check", "first", F.lit(False).alias("near"))
+    verdict = again.union(near.select("h", "check", none, F.lit(True))).toDF("vh", "vc", "first", "near")
     met = found.select("doc", "text_hash", "h", "check", "i").join(
         verdict, (F.col("h") == F.col("vh")) & (F.col("check") == F.col("vc"))
     )
