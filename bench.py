@@ -28,11 +28,12 @@ from logtally.operators.parse import parse  # noqa: E402
 from logtally.operators.select import prefilter_lines  # noqa: E402
 from logtally.session import get_session, scratch_path  # noqa: E402
 from logtally.sources.double_gzip import read_double_gzip, write_double_gzip  # noqa: E402
-from logtally.sources.fixtures import log_lines  # noqa: E402
+from logtally.sources.fixtures import hard_lines, log_lines  # noqa: E402
 from logtally.sources.text import read_lines  # noqa: E402
 from logtally.operators.sinks import write_text  # noqa: E402
 
 IP = "10.2.7.128"
+APPENDS = 20
 
 
 def _timed(fn, repeat: int) -> float:
@@ -93,6 +94,24 @@ def main() -> None:
     timings["store_build"] = _timed(build_store, 3)
     store_path = store_paths[-1]
 
+    # A store of spread IPs and many statuses: twenty appends, then the same compacted.
+    spread, compacted = scratch_path(spark, "bench-spread"), scratch_path(spark, "bench-compacted")
+    t0 = time.perf_counter()
+    for k in range(APPENDS):
+        part = hard_lines(spark, sf_dir).where(f"event_id % {APPENDS} = {k}").select("line")
+        store.ingest_lines(part, spread)
+    timings["append_spread_each"] = round((time.perf_counter() - t0) / APPENDS, 4)
+    t0 = time.perf_counter()
+    store.compact(spark, spread, compacted)
+    timings["compact_spread"] = round(time.perf_counter() - t0, 4)
+    spread_ip = store.read_store(spark, spread).where("ip <> '9.9.9.9'").first().ip
+
+    def store_ip_20_appends():
+        return R.ip_total(store.read_store(spark, spread, ip=spread_ip), spread_ip).collect()
+
+    def store_ip_compacted():
+        return R.ip_total(store.read_store(spark, compacted, ip=spread_ip), spread_ip).collect()
+
     def scan_ip():
         raw = prefilter_lines(read_lines(spark, text_dir), IP, "exact")
         return R.status_breakdown(parse(raw, fields=R.REPORT_FIELDS), IP, order="status").collect()
@@ -129,6 +148,8 @@ def main() -> None:
         "scan_double_gzip_global": scan_double_gzip_global,
         "store_top_ip": store_top_ip,
         "scan_status_map": scan_status_map,
+        "store_ip_20_appends": store_ip_20_appends,
+        "store_ip_compacted": store_ip_compacted,
     }
     timings.update(_timed_interleaved({**headline, **extra}, repeat))
 

@@ -5,9 +5,9 @@ Every report is a grouped aggregate: Spark computes a partial aggregate in each
 dominant status (one status often carries most of the traffic) therefore never sends its
 raw rows through one task.
 
-Shares divide by a scalar subquery over the *grouped* status rows: both reads of the
-aggregate share its exchange (``ReusedExchange``), so the raw records are scanned once, and
-no window gathers the groups in one task.
+Shares divide by a window sum over the *grouped* status rows where statuses are numbers
+(three digits: at most 1000 rows whatever the input), and by a scalar subquery over the same
+grouped rows where they are text of any kind. The raw records are scanned once either way.
 
 Sums are exact beyond 2^63: a byte count is summed in three parts of 21 bits, each a
 ``bigint`` sum that holds for 2^42 rows per group, and the parts are joined on the grouped
@@ -27,31 +27,29 @@ PART_BITS = 21
 SUM_TYPE = "decimal(38,0)"
 
 
-def _sum_parts(value: Column, name: str) -> list[Column]:
-    """Three partial sums of a ``bigint`` column, named after ``name``."""
-    mask = F.lit((1 << PART_BITS) - 1).cast("bigint")
+def _sum_parts(value: str, name: str) -> list[Column]:
+    """Three partial sums of the ``bigint`` SQL expression ``value``, named after ``name``."""
+    mask = (1 << PART_BITS) - 1
     return [
-        F.sum(value.bitwiseAND(mask)).alias(f"{name}_p0"),
-        F.sum(F.shiftright(value, PART_BITS).bitwiseAND(mask)).alias(f"{name}_p1"),
-        F.sum(F.shiftright(value, 2 * PART_BITS)).alias(f"{name}_p2"),
+        F.expr(f"sum(({value}) & {mask}L) AS {name}_p0"),
+        F.expr(f"sum(shiftright({value}, {PART_BITS}) & {mask}L) AS {name}_p1"),
+        F.expr(f"sum(shiftright({value}, {2 * PART_BITS})) AS {name}_p2"),
     ]
 
 
-def _joined(name: str, alias: str | None = None) -> Column:
-    """The sum whose parts are named after ``name``; NULL if no value was summed."""
-    part = lambda k: F.col(f"{name}_p{k}").cast("decimal(19,0)")
-    total = part(2) * F.lit(1 << 2 * PART_BITS).cast("decimal(13,0)") + part(1) * F.lit(1 << PART_BITS).cast(
-        "decimal(7,0)"
-    )
-    return (total + part(0)).cast(SUM_TYPE).alias(alias or name)
+def _joined(name: str, alias: str) -> str:
+    """SQL for the sum whose parts are named after ``name``; NULL if no value was summed."""
+    part = lambda k: f"CAST({name}_p{k} AS DECIMAL(19,0))"
+    whole = f"{part(2)} * {1 << 2 * PART_BITS}BD + {part(1)} * {1 << PART_BITS}BD + {part(0)}"
+    return f"CAST({whole} AS {SUM_TYPE}) AS {alias}"
 
 
 def _sum_by(df: DataFrame, keys: list, hits: bool = False) -> DataFrame:
     """``keys`` and the exact sum ``bytes`` of each group, plus its row count ``hits``."""
-    count = [F.count(F.lit(1)).alias("hits")] if hits else []
-    grouped = df.groupBy(*keys).agg(*_sum_parts(F.col("bytes").cast("bigint"), "bytes"), *count)
-    names = grouped.columns[: len(keys)]
-    return grouped.select(*(F.col(f"`{c}`") for c in names), _joined("bytes"), *(["hits"] if hits else []))
+    count = [F.expr("count(1) AS hits")] if hits else []
+    grouped = df.groupBy(*keys).agg(*_sum_parts("CAST(bytes AS BIGINT)", "bytes"), *count)
+    names = [f"`{c}`" for c in grouped.columns[: len(keys)]]
+    return grouped.selectExpr(*names, _joined("bytes", "bytes"), *(["hits"] if hits else []))
 
 
 ORDERS = ("bytes", "status", None)
@@ -76,14 +74,30 @@ def status_bytes(parsed: DataFrame) -> DataFrame:
     return _sum_by(parsed, ["status"])
 
 
-def _percent(part: Column, whole: Column) -> Column:
-    """``100 * (part / whole)`` as double; NULL when ``whole`` is 0 or NULL."""
-    return F.lit(100.0) * F.try_divide(part.cast("double"), whole.cast("double"))
+# ``100 * (part / whole)`` as double; NULL when ``whole`` is 0 or NULL.
+_PERCENT = "100D * try_divide(CAST({part} AS DOUBLE), CAST({whole} AS DOUBLE)) AS pct"
+
+# The total as a scalar subquery over the same grouped rows, which share one exchange.
+_SHARE = f"""
+WITH grouped AS (SELECT * FROM {{rows}})
+SELECT status, {{part}} AS bytes, {_PERCENT.format(part="{part}", whole="(SELECT sum({all}) FROM grouped)")}
+FROM grouped WHERE {{keep}}
+"""
 
 
-def _total_of(rows: DataFrame, column: str = "bytes") -> Column:
-    """The sum of ``column`` over grouped rows, as a scalar subquery."""
-    return rows.agg(F.sum(column).cast(SUM_TYPE)).scalar()
+def _with_share(rows: DataFrame, part: str, whole: str, keep: str) -> DataFrame:
+    """``(status, bytes, pct)``: ``part`` and its share of the sum of ``whole`` over all rows.
+
+    Numeric statuses have three digits, so a window over the grouped rows sees at most 1000
+    of them and saves a second job; statuses that are text (SerDe) have no such bound and
+    take the subquery.
+    """
+    if rows.schema["status"].dataType.typeName() != "string":
+        share = _PERCENT.format(part=part, whole="_total")
+        totals = rows.selectExpr("*", f"sum({whole}) OVER () AS _total").where(keep)
+        return totals.selectExpr("status", f"{part} AS bytes", share)
+    text = _SHARE.replace("{part}", part).replace("{all}", whole).replace("{keep}", keep)
+    return rows.sparkSession.sql(text, rows=rows)
 
 
 def status_breakdown(
@@ -107,18 +121,16 @@ def status_breakdown(
         raise ValueError(f"unknown denominator {denominator!r}")
     if selection is None or denominator == "selection":
         source = parsed if selection is None else parsed.where(selection)
-        rows = status_bytes(source)
-        out = rows.select("status", "bytes", _percent(F.col("bytes"), _total_of(rows)).alias("pct"))
+        out = _with_share(status_bytes(source), "bytes", "bytes", "true")
     else:
-        value = F.col("bytes").cast("bigint")
-        grouped = parsed.groupBy("status").agg(
-            *_sum_parts(F.when(selection, value), "sel"),
-            *_sum_parts(value, "all"),
-            F.count_if(selection).alias("_hits"),
+        value = "CAST(bytes AS BIGINT)"
+        grouped = parsed.withColumn("_in", selection).groupBy("status").agg(
+            *_sum_parts(f"CASE WHEN _in THEN {value} END", "sel"),
+            *_sum_parts(value, "whole"),
+            F.expr("count_if(_in) AS _hits"),
         )
-        rows = grouped.select("status", _joined("sel"), _joined("all"), "_hits")
-        pct = _percent(F.col("sel"), _total_of(rows, "all"))
-        out = rows.where("_hits > 0").select("status", F.col("sel").alias("bytes"), pct.alias("pct"))
+        rows = grouped.selectExpr("status", _joined("sel", "sel"), _joined("whole", "whole"), "_hits")
+        out = _with_share(rows, "sel", "whole", "_hits > 0")
     return _order(out, order)
 
 
