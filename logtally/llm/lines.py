@@ -1,10 +1,13 @@
 """Line dedup by a deletion-neighbourhood join over words.
 
-A line is its words (blank lines stay as they are). Two lines are near if one word edit
-(replace, insert or delete) turns one into the other and that edit is at most a fifth of
-the longer line: similarity 0.8 or more, so equal lines always, and lines of five or more
-words with one edit. Of equal lines the first stays (smallest document, then line); a line
-goes if any earlier line of the input is near.
+A line is its words (blank lines stay as they are). Two lines are near if at most ``edits``
+word edits (replace, insert or delete) turn one into the other and these are at most a
+fifth of the longer line. Equal lines are always near. By default ``edits`` is one: lines
+of five or more words with one edit, however long they are. With ``edits=None`` the bound
+grows with the line, which is word-edit similarity 0.8. Of equal lines the first stays
+(smallest document, then line); a line goes if any earlier line of the input is near.
+
+For one edit:
 
 1. Lines are hashed and grouped; per distinct line the smallest document remains.
 2. One edit leaves the first or the last half of the shorter line intact. Only distinct
@@ -17,6 +20,13 @@ goes if any earlier line of the input is near.
    earliest of them only, a shortened line with the full lines; the edit is verified on
    the texts, and the later line goes.
 
+For the growing bound every distinct line goes on, and prefix filtering finds the pairs. An
+edit touches at most two of a line's word pairs, so two lines within k edits share one of
+the first 2k + 1 different word pairs of each, in any order that is the same for all lines.
+The order is rarest first, by counts in 2**16 hash buckets, so a common passage is no key.
+Under each key all lines are compared with its earliest one; what is not near that is
+compared with all earlier lines that share a key. Edit distances are taken on the texts.
+
 Hashes of lines have 96 bits across documents. Everything is DataFrame functions; groups
 are counted by partial aggregates, and joins have a split key only where it is skewed.
 
@@ -27,12 +37,16 @@ results; a row of equal id counts as the same document; an empty table gives no
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logtally.llm.common import let, reliable, stored
 
 LEAST_WORDS = 5  # the longer line of a near pair
+PER_EDIT = 5  # words of the longer line for every edit of the growing bound
+BUCKETS = 1 << 16  # of word pairs, counted to find the rare ones
 MASK = (1 << 62) - 1
 # Runs of gap characters inside a line, and single ones that are not a space.
 INNER_GAP = r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]"
@@ -198,9 +212,89 @@ def _later(candidates: DataFrame) -> DataFrame:
     return verified.select(later.alias("id")).select("id.h", "id.check").distinct()
 
 
-def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _pairs_of_words(x: Column) -> Column:
+    """The different pairs of neighbouring words of a line, hashed."""
+    paired = lambda h: F.transform(
+        F.sequence(F.lit(0), F.size(h) - 2), lambda i: F.xxhash64(F.get(h, i), F.get(h, i + 1))
+    )
+    return F.array_distinct(let(F.transform(F.split(x, " "), lambda w: F.xxhash64(w)), paired))
+
+
+def _rarity(lines: DataFrame) -> bytes:
+    """One byte per hash bucket of word pairs, larger for buckets that more lines hold."""
+    pairs = lines.select(F.explode(_pairs_of_words(F.col("x"))).alias("g"))
+    counts = pairs.groupBy(F.pmod("g", F.lit(BUCKETS)).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    out = bytearray(BUCKETS)
+    for b, n in counts.collect():  # at most BUCKETS rows
+        out[b] = min(255, int(8 * math.log2(n)))
+    return bytes(out)
+
+
+def _lettered(x: Column, words: Column) -> Column:
+    """A line with every word as one character, its place in ``words``."""
+    code = lambda w: let(
+        F.array_position(words, w) + 0x100, lambda c: F.when(c < 0xD800, c).otherwise(c + 0x800)
+    )
+    digits = F.transform(F.split(x, " "), lambda w: F.lpad(F.hex(code(w)), 8, "0"))
+    return F.decode(F.unhex(F.array_join(digits, "")), "UTF-32")
+
+
+def _similar(pairs: DataFrame, text: DataFrame) -> DataFrame:
+    """The pairs (id, id2, order, order2, n, n2) whose texts are within the growing bound."""
+    x, y = (text.select(F.col("id").alias(f"t_{c}"), F.col("x").alias(c)) for c in "xy")
+    met = pairs.join(x, F.col("id") == F.col("t_x")).join(y, F.col("id2") == F.col("t_y"))
+    words = F.array_distinct(F.split(F.concat_ws(" ", "x", "y"), " "))
+    bound = F.floor(F.greatest("n", "n2") / PER_EDIT).cast("int")
+    edits = let(
+        words, lambda w: F.call_function("levenshtein", _lettered(F.col("x"), w), _lettered(F.col("y"), w), bound)
+    )
+    return met.where(edits >= 0).select("id", "id2", "order", "order2")
+
+
+def _later_similar(lines: DataFrame) -> DataFrame:
+    """``h, check`` of the lines (doc, i, h, check, x, n) within the growing bound of an
+    earlier one."""
+    rarity = F.lit(_rarity(lines))
+    rank = lambda g: F.substring(rarity, F.pmod(g, F.lit(BUCKETS)).cast("int") + 1, 1)
+    ranked = F.sort_array(F.transform(_pairs_of_words(F.col("x")), lambda g: F.struct(rank(g).alias("r"), g.alias("g"))))
+    # The other line has at most a quarter more words, so this bounds the edits of any pair.
+    most = F.floor(F.col("n") / (PER_EDIT - 1)).cast("int")
+    keys = lines.select("h", F.explode(F.slice(ranked, F.lit(1), 2 * most + 1)["g"]).alias("key")).repartition("key")
+    # Counted where they were dealt to: the keys are shuffled once, without the rest of the line.
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    met = keys.join(shared.select(F.col("key").alias("shared")), F.col("key") == F.col("shared")).select("key", "h")
+    order = F.struct(F.col("doc").isNull().alias("last"), F.col("doc").alias("doc"), F.col("i").alias("line"))
+    # Rows of equal id and line are one line, at its first place.
+    places = lines.groupBy(F.col("h").alias("h1"), "check", "n").agg(F.min(order).alias("order"))
+    met = met.distinct().join(places, F.col("h") == F.col("h1"))
+    met = reliable(met.select("key", F.struct("h", "check").alias("id"), "n", "order"))
+    text = lines.select(F.struct("h", "check").alias("id"), "x").dropDuplicates(["id"])
+    fits = F.abs(F.col("n") - F.col("n2")) <= F.floor(F.greatest("n", "n2") / PER_EDIT)
+
+    def near(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.where(fits & (F.col("order2") < F.col("order")))
+        pairs = pairs.select("id", "id2", "order", "order2", "n", "n2").dropDuplicates(["id", "id2"])
+        return _similar(pairs, text).select("id").distinct()
+
+    earliest = met.groupBy("key").agg(F.min(F.struct("order", "id", "n")).alias("e")).select(
+        F.col("key").alias("key2"), F.col("e.id").alias("id2"), F.col("e.order").alias("order2"), F.col("e.n").alias("n2")
+    )
+    first = reliable(near(met.join(earliest, F.col("key") == F.col("key2"))))
+    left = met.join(first.select(F.col("id").alias("done")), F.col("id") == F.col("done"), "left_anti")
+    others = met.select(
+        F.col("key").alias("key2"), F.col("id").alias("id2"), F.col("order").alias("order2"), F.col("n").alias("n2")
+    )
+    rest = near(left.join(others, F.col("key") == F.col("key2")))
+    return first.union(rest).select("id.h", "id.check")
+
+
+def removed_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int | None = 1
+) -> DataFrame:
     """``(doc, text_hash, near, gone)`` for every document that repeats or nearly repeats a
     line of an earlier place: how many of its lines are near ones, and their numbers."""
+    if edits not in (1, None):
+        raise ValueError("edits are one, or None for a fifth of the longer line")
     found = occurrences(docs, id_col, text_col)
     halves = found.withColumn("n", _count(F.col("x")))
     halves = halves.select("doc", "h", "check", *(c.alias(k) for k, c in _halves(F.col("x"), F.col("n")).items()))
@@ -210,10 +304,16 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         *(F.max(c).alias(c) for c in ("p1", "s1", "p2", "s2")),
     )
     distinct = stored(distinct, "lines")
-    picked = _candidates(distinct).select(F.col("h").alias("h2"), "check", "first", "p", "s")
     here = (F.col("h") == F.col("h2")) & F.col("doc").eqNullSafe(F.col("first"))
-    texts = found.drop("check").join(picked, here).select("doc", "i", "h", "check", "x", _count(F.col("x")).alias("n"), "p", "s")
-    near = _later(reliable(texts))
+    if edits is None:
+        every = distinct.select(F.col("h").alias("h2"), "check", "first")
+        texts = found.drop("check").join(every, here).select("doc", "i", "h", "check", "x", _count(F.col("x")).alias("n"))
+        # One edit may make five words four.
+        near = _later_similar(stored(texts.where(F.col("n") >= LEAST_WORDS - 1), "line-texts"))
+    else:
+        picked = _candidates(distinct).select(F.col("h").alias("h2"), "check", "first", "p", "s")
+        texts = found.drop("check").join(picked, here).select("doc", "i", "h", "check", "x", _count(F.col("x")).alias("n"), "p", "s")
+        near = _later(reliable(texts))
     # One verdict for a line that occurs again, one for a line near an earlier one.
     none = F.lit(None).cast(distinct.schema["first"].dataType)
     again = distinct.where("times > 1").select("h", "check", "first", F.lit(False).alias("near"))
@@ -227,12 +327,12 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
-def _marked(docs: DataFrame, id_col: str, text_col: str, *keep: Column) -> DataFrame:
+def _marked(docs: DataFrame, id_col: str, text_col: str, edits: int | None, *keep: Column) -> DataFrame:
     """``keep`` columns of every document, its ``own`` lines and the ``gone`` ones."""
     rows = docs.select(
         docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("hash"), own_lines(docs[text_col]).alias("own"), *keep
     )
-    gone = removed_lines(docs, id_col, text_col)
+    gone = removed_lines(docs, id_col, text_col, edits)
     joined = rows.join(gone, F.col("id").eqNullSafe(F.col("doc")) & (F.col("hash") == F.col("text_hash")), "left")
     # A repeat inside the document goes with or without its first line.
     gone = F.array_union("own.repeats", F.coalesce("gone", F.array().cast("array<int>")))
@@ -241,11 +341,13 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, *keep: Column) -> DataF
     ))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int | None = 1
+) -> DataFrame:
     """One row per document: id, ``n_lines`` (with a word), ``n_removed``, ``n_near`` (the
     different lines among them that nearly repeat an earlier one) and the ``removed`` line
     numbers, from 0, in order."""
-    marked = _marked(docs, id_col, text_col)
+    marked = _marked(docs, id_col, text_col, edits)
     return marked.select(
         F.col("id").alias(id_col),
         F.col("own.n").alias("n_lines"),
@@ -255,10 +357,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def deduped_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduped_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int | None = 1
+) -> DataFrame:
     """``docs`` with the removed lines taken out of the text, columns unchanged; a document
     that loses all its lines goes."""
-    marked = _marked(docs, id_col, text_col, F.struct("*").alias("row"))
+    marked = _marked(docs, id_col, text_col, edits, F.struct("*").alias("row"))
     text = F.col("row")[text_col]
     kept = let(
         F.split(text, "\n"),

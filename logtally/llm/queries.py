@@ -61,6 +61,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(_table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line dedup at word-edit similarity 0.8, for lines of every length."""
+    return lines.dedup_lines(_table(spark, sf_dir, "documents"), edits=None)
+
+
 # A conversation whose texts hold the marks of the template and of other ones.
 TRAP = "\\### Assistant: </turn> ok"
 
@@ -105,6 +110,7 @@ QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_line_dedup": op7_line_dedup,
+    "op7_line_dedup_similar": op7_line_dedup_similar,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_simhash": op10_simhash,

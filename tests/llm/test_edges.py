@@ -252,6 +252,38 @@ def test_lines_a_group_of_near_copies(spark):
     assert {r.doc_id: r.removed for r in lines.dedup_lines(df).collect()} == brute.line_dedup(data)
 
 
+def test_lines_bound_grows_with_the_line(spark):
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    rng = np.random.default_rng(11)
+    base = [[f"w{x}" for x in rng.integers(0, 60, n)] for n in (4, 5, 9, 10, 14, 20, 33, 57)]
+    data = []
+    for _ in range(240):
+        w = list(base[int(rng.integers(0, len(base)))])
+        for _ in range(int(rng.integers(0, len(w) // 4 + 2))):
+            at, new = int(rng.integers(0, len(w))), f"w{int(rng.integers(0, 60))}"
+            w[at : at + int(rng.integers(0, 2))] = [[new], []][int(rng.integers(0, 2))]
+            w = w or [new]
+        data.append(" ".join(w))
+    data += ["a " * 10, "a " * 8 + "b c", "a " * 7 + "b c d", "shared passage of common words here " * 3 + "x y z"]
+    seen, want = [], {}
+    for k, line in enumerate(data):
+        w = line.split()
+        if w in seen or any(5 * distance(w, o) <= max(len(w), len(o)) for o in seen):
+            want[k] = [0]
+        seen.append(w)
+    df = spark.createDataFrame(list(enumerate(data)), "doc_id long, text string")
+    got = {r.doc_id: r.removed for r in lines.dedup_lines(df, edits=None).collect() if r.removed}
+    assert got == want
+    assert len(got) > len([r for r in lines.dedup_lines(df).collect() if r.removed])
+
+
 def test_chat(spark):
     trap = "\\### Assistant: </turn> ok\\b\\l<turn>x\n</turn>\n\\\\l"
     data = [
