@@ -1,12 +1,14 @@
-"""SimHash near-duplicates by multi-index hashing.
-
-Two fingerprints at most two bits apart have a common neighbour at most one bit from
-each. So for every segment of a fingerprint the ball of radius one is enumerated inside
-that segment, the other segments as they are, and all variants go into one index:
-fingerprints that meet under a variant are candidates, and their complete distance is
-verified. Because a variant carries all segments, at most 65 different fingerprints can
-meet under it, however many near copies there are, and all of them lie within two bits of
-each other; linking each to the smallest keeps every connection without listing pairs.
+"""SimHash near-duplicates by a join of fingerprints on common neighbours.
+
+Two fingerprints at most d bits apart have a common neighbour at most d // 2 bits from one
+and d - d // 2 bits from the other. So every fingerprint is indexed under all its
+neighbours of the larger radius, and those that meet under a neighbour are linked to the
+smallest one within the smaller radius: all these links are at most d bits long, and no
+connection is lost though pairs are not listed. This stands in for multi-index hashing with
+one table per segment, whose buckets would hold all near copies of a text: under a whole
+neighbour at most 65 different fingerprints can meet for d = 2 (2,081 for 3 and 4), however
+many near copies there are. A fingerprint has as many keys: 65 for d = 1 and 2, 2,081 for 3
+and 4, 43,745 for 5 and 6.
 
 Documents are first reduced to distinct fingerprints; a group of copies is one of them.
 Components are found by contraction (see ``components``).
@@ -65,35 +67,32 @@ def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col:
     return rows.mapInArrow(run, f"id {kind}, text_hash long, fp long")
 
 
-def segment_variants(fp: Column, segments: int) -> Column:
-    """The fingerprint itself and, segment by segment, its variants one bit away."""
-    width = 64 // segments
-    flips = [
-        F.transform(
-            F.sequence(F.lit(s * width), F.lit((s + 1) * width - 1)),
-            lambda j: fp.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), j)),
-        )
-        for s in range(segments)
-    ]
-    return F.concat(F.array(fp), *flips)
+def ball(fp: Column, radius: int) -> Column:
+    """The fingerprint itself and all that differ from it in at most ``radius`` bits, once each."""
+    flip = lambda v, j: v.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), j))
+    # Bits are flipped in ascending order; ``free`` is the first one that may be next.
+    step = lambda e: F.transform(
+        F.sequence(e["free"], F.lit(63)), lambda j: F.struct(flip(e["v"], j).alias("v"), (j + 1).alias("free"))
+    )
+    ring, rings = F.array(F.struct(fp.alias("v"), F.lit(0).alias("free"))), [F.array(fp)]
+    for _ in range(radius):
+        ring = F.flatten(F.transform(F.filter(ring, lambda e: e["free"] < 64), step))
+        rings.append(F.transform(ring, lambda e: e["v"]))
+    return F.concat(*rings)
 
 
-def links(distinct: DataFrame, max_bits: int, segments: int = 4) -> DataFrame:
+def links(distinct: DataFrame, max_bits: int) -> DataFrame:
     """Links ``(a, b)`` between fingerprints (column ``fp``) at most ``max_bits`` apart:
     the same components as all such pairs, without listing them."""
-    if max_bits not in (0, 1, 2):
-        raise ValueError("fingerprints link at 0, 1 or 2 bits")
-    if segments not in (1, 2, 4, 8):
-        raise ValueError("segments must divide 64 into equal parts")
+    if max_bits < 0:
+        raise ValueError("fingerprints link at 0 or more bits")
     if max_bits == 0:
         return distinct.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
-    index = distinct.select("fp", F.explode(segment_variants(F.col("fp"), segments)).alias("key"))
-    met = Window.partitionBy("key")
-    # Two bits: any fingerprints that meet are linked. One bit: only with the key itself.
-    centre = F.min("fp") if max_bits == 2 else F.min(F.when(F.col("fp") == F.col("key"), F.col("key")))
-    pairs = index.withColumn("centre", centre.over(met)).where("fp <> centre")
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("centre"))) <= max_bits
-    return pairs.where(near).select(F.col("centre").alias("a"), F.col("fp").alias("b"))
+    inner = max_bits // 2
+    index = distinct.select("fp", F.explode(ball(F.col("fp"), max_bits - inner)).alias("key"))
+    close = F.bit_count(F.col("fp").bitwiseXOR(F.col("key"))) <= inner
+    centre = F.min(F.when(close, F.col("fp"))).over(Window.partitionBy("key"))
+    return index.withColumn("centre", centre).where("fp <> centre").select(F.col("centre").alias("a"), F.col("fp").alias("b"))
 
 
 def grouped(docs: DataFrame, words: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:

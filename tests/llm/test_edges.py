@@ -394,6 +394,30 @@ def test_simhash_links_in_dense_groups(spark, max_bits):
     assert {f: got.get(f, f) for f in fps} == {f: root(f) for f in fps}
 
 
+@pytest.mark.parametrize("max_bits", [3, 4])
+def test_simhash_links_beyond_two_bits(spark, max_bits):
+    rng = np.random.default_rng(5)
+    fps = {0, -1, -(2**63)}
+    for _ in range(8):
+        centre = int(rng.integers(-(2**63), 2**63 - 1))
+        for _ in range(12):
+            bits = sum(1 << int(b) for b in rng.choice(64, int(rng.integers(0, 6)), replace=False))
+            fps.add(((centre ^ bits) + 2**63) % 2**64 - 2**63)
+    fps = sorted(fps)
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    near = lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count() <= max_bits
+    pairs = simhash.links(df, max_bits).distinct().collect()
+    assert all(near(r.a, r.b) for r in pairs)
+    got = {r.node: r.component for r in components.components(simhash.links(df, max_bits)).collect()}
+    want = {f: f for f in fps}
+    while True:
+        new = {f: min(want[g] for g in fps if near(f, g)) for f in fps}
+        if new == want:
+            break
+        want = new
+    assert {f: got.get(f, f) for f in fps} == want
+
+
 def test_components_of_a_path_and_a_star(spark):
     path_links = [(i, i + 1) for i in range(200)]
     star = [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 1001)]
