@@ -251,8 +251,9 @@ def breakdown_of_ips_with_status(parsed: DataFrame, status: int) -> DataFrame:
     )
 
 
-def top_ips_breakdown(parsed: DataFrame, n: int) -> DataFrame:
-    """``(ip, status, bytes)`` for the ``n`` IPs with the most bytes, from one scan.
+def top_ips_breakdown(parsed: DataFrame, n: int | None) -> DataFrame:
+    """``(ip, status, bytes)`` for the ``n`` IPs with the most bytes, from one scan; for
+    all IPs, without a ranking, if ``n`` is None. A missing IP is never among them.
 
     The ranking and the breakdown read the same ``(ip, status)`` aggregate, so its
     shuffle is computed once and reused. The top-N keys (at most ``n`` distinct rows)
@@ -260,6 +261,8 @@ def top_ips_breakdown(parsed: DataFrame, n: int) -> DataFrame:
     join would be pushed below the aggregate by the optimizer and scan the input a
     second time.
     """
+    if n is None:
+        return _sum_by(parsed.where(F.col("ip") != ""), ["ip", "status"])
     grouped = _sum_by(parsed, ["ip", "status"])
     # A missing IP ('' or NULL) sorts last and is removed after the limit: a filter before
     # the aggregate would be pushed into it and the two aggregates would no longer match.

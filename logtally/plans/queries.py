@@ -287,8 +287,8 @@ def top_ips_breakdown_serde(spark, sf_dir):
 
 
 def top_ips_breakdown_serde_all(spark, sf_dir):
-    """More places than there are IPs: every IP, and none that is missing."""
-    return R.top_ips_breakdown(_serde(spark, sf_dir), 10_000_000)
+    """Every IP, and none that is missing."""
+    return R.top_ips_breakdown(_serde(spark, sf_dir), None)
 
 
 # --- store, files, tables, streaming ------------------------------------------------

@@ -138,6 +138,17 @@ def test_breakdown_of_ips_with_status_equals_key_list_path(small):
     assert want and got == want
 
 
+def test_top_ips_breakdown_of_all_ips(spark):
+    rows = [(f"10.0.{i % 50}.1", str(200 + i % 3), i) for i in range(300)] + [("", "200", 9), (None, "200", 9)]
+    parsed = spark.createDataFrame(rows, "ip string, status string, bytes long")
+    every = R.top_ips_breakdown(parsed, None)
+    large = R.top_ips_breakdown(parsed, 10_000_000)  # more places than there are IPs
+    assert sorted(map(tuple, every.collect())) == sorted(map(tuple, large.collect()))
+    assert every.select("ip").distinct().count() == 50
+    plan = every._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "Limit" not in plan and "SinglePartition" not in plan
+
+
 def test_top_ips_breakdown_leaves_out_missing_ips(spark, lines_df):
     lines = ['2.2.2.2 - - [x] "G" 200 5', '1.1.1.1 - - [x] "G" 200 4', "junk"]
     parsed = parse(lines_df(lines), "regexserde", "null")
