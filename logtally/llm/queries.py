@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtally.llm import bpe, chat, knn, lines, mixing, quality, sharding, simhash, substring
+from logtally.llm import bpe, chat, knn, lines, mixing, quality, sharding, simhash, substring, tokenfiles
 from logtally.llm.oracle import ORACLE
+from logtally.session import scratch_path
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -102,6 +103,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, max_bits=2)
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    tokenfiles.write_token_files(_table(spark, sf_dir, "documents"), path, tokenizer_path(), end_id=0)
+    back = tokenfiles.read_token_files(spark, path)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_bpe_codec": op2_bpe_codec,
@@ -114,4 +122,5 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_simhash": op10_simhash,
+    "op11_token_files": op11_token_files,
 }
