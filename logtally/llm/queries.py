@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtally.llm import bpe, chat, knn, lines, mixing, quality, sharding, simhash, substring, tokenfiles
+from logtally.llm import bpe, chat, knn, lines, merkle, mixing, quality, sharding, simhash, substring, tokenfiles
 from logtally.llm.oracle import ORACLE
 from logtally.session import scratch_path
 
@@ -110,6 +110,22 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, and a check of each against it in which some have
+    one character more than the manifest knows of."""
+    table = _table(spark, sf_dir, "documents")
+    doc_id, n_chars = F.col("doc_id"), F.col("n_chars")
+    leaf = lambda n: merkle.leaf_of(doc_id, F.col("source"), F.col("lang"), n, F.col("text"))
+    tampered = F.crc32(doc_id.cast("string").cast("binary")) % 7 == 0
+    rows = table.select("doc_id", "lang", leaf(n_chars).alias("leaf"), F.when(tampered, leaf(n_chars + 1)).alias("other"))
+    proven = merkle.manifest(rows, keep=("doc_id", "other"))
+    back = merkle.folded(F.coalesce("other", "leaf"), F.col("proof"))
+    out = proven.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), back.alias("folded_root")
+    )
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_bpe_codec": op2_bpe_codec,
@@ -123,4 +139,5 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_simhash": op10_simhash,
     "op11_token_files": op11_token_files,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
