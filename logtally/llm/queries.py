@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtally.llm import bpe, chat, knn, lines, merkle, mixing, quality, sharding, simhash, substring, tokenfiles
+from logtally.llm import bpe, chat, knn, lines, merkle, mixing, negatives, quality, sharding, simhash, substring, tokenfiles
 from logtally.llm.oracle import ORACLE
 from logtally.session import scratch_path
 
@@ -126,6 +126,13 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = negatives.mine(table.withColumn("label", moved), F.expr("vec_id % 100 = 0"), n_positives=5, k=5, low=80)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_bpe_codec": op2_bpe_codec,
@@ -140,4 +147,5 @@ QUERIES = {
     "op10_simhash": op10_simhash,
     "op11_token_files": op11_token_files,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_hard_negatives": op13_hard_negatives,
 }
