@@ -140,10 +140,78 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(co
 FROM d LEFT JOIN kept USING (r)
 """
 
+# CRC-32 of the decimal doc_id, bit by bit, and the fields of a leaf.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+ lambda c: CAST(ord(c) AS BIGINT))), lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+ lambda a, k: xor(a >> 1, 3988292384 * (a & 1)))))"""
+
+
+def _leaf(n_chars: str) -> str:
+    texts = (f"CAST({f} AS VARCHAR)" for f in ("doc_id", "source", "lang", n_chars, "text"))
+    return "sha256(" + " || ".join(f"coalesce(CAST(strlen({t}) AS VARCHAR) || ':' || {t}, '-')" for t in texts) + ")"
+
+
+MERKLE = f"""
+WITH RECURSIVE d AS (
+ SELECT *, CASE WHEN {_CRC} % 7 = 0 THEN {_leaf("(n_chars + 1)")} ELSE leaf END AS claim,
+  row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+ FROM (SELECT *, {_leaf("n_chars")} AS leaf FROM documents)),
+tree AS (
+ SELECT lang, 0 AS level, i, count(*) OVER (PARTITION BY lang) AS n, leaf AS node FROM d
+ UNION ALL
+ SELECT lang, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY i)) FROM tree WHERE n > 1
+ GROUP BY lang, level, i // 2, n),
+sub AS (SELECT lang, node, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i FROM tree WHERE n = 1),
+top AS (
+ SELECT 0 AS level, i, (SELECT count(*) FROM sub) AS n, node FROM sub
+ UNION ALL
+ SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY level, i // 2, n),
+up AS (
+ SELECT doc_id, lang, 0 AS level, i, claim AS node, '' AS others FROM d
+ UNION ALL
+ SELECT up.doc_id, up.lang, up.level + 1, up.i // 2, sha256(CASE WHEN s.node IS NULL THEN up.node WHEN s.i < up.i THEN s.node || up.node
+   ELSE up.node || s.node END), up.others || coalesce(s.node, '')
+ FROM up JOIN tree o ON o.lang IS NOT DISTINCT FROM up.lang AND o.level = up.level AND o.i = up.i AND o.n > 1
+ LEFT JOIN tree s ON s.lang IS NOT DISTINCT FROM up.lang AND s.level = up.level AND s.i = xor(up.i, 1)),
+in_sub AS (
+ SELECT up.doc_id, sub.node AS subroot, sub.i, up.node, up.others FROM up
+ JOIN tree o ON o.lang IS NOT DISTINCT FROM up.lang AND o.level = up.level AND o.i = up.i AND o.n = 1
+ JOIN sub ON sub.lang IS NOT DISTINCT FROM up.lang),
+above AS (
+ SELECT doc_id, subroot, 0 AS level, i, node, others FROM in_sub
+ UNION ALL
+ SELECT a.doc_id, a.subroot, a.level + 1, a.i // 2, sha256(CASE WHEN s.node IS NULL THEN a.node WHEN s.i < a.i THEN s.node || a.node
+   ELSE a.node || s.node END), a.others || coalesce(s.node, '')
+ FROM above a JOIN top o ON o.level = a.level AND o.i = a.i AND o.n > 1 LEFT JOIN top s ON s.level = a.level AND s.i = xor(a.i, 1))
+SELECT d.doc_id, d.leaf, a.subroot, r.node AS root, sha256(a.others) AS proof_sha256, a.node AS folded_root, a.node = r.node AS verified
+FROM d JOIN above a ON d.doc_id IS NOT DISTINCT FROM a.doc_id JOIN top r ON r.n = 1 AND r.level = a.level
+"""
+
+NEGATIVES = """
+WITH v AS (
+ SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+ WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+ SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+ FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+ SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+ QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+w AS (
+ SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+ FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM w WHERE rank <= 5
+"""
+
 ORACLE: dict[str, str] = {
     "op3_quality_rules": QUALITY,
     "op4_mixing": MIXING,
     "op6_exact_top_k": TOP_K,
     "op8_chat_formatting": CHAT,
     "op9_substring_dedup": SUBSTRING,
+    "op12_merkle_manifest": MERKLE,
+    "op13_hard_negatives": NEGATIVES,
 }
