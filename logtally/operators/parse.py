@@ -129,6 +129,37 @@ def parse(
     return out
 
 
+def parse_outcomes(
+    lines: DataFrame,
+    dialect: str = "combined",
+    on_bad_bytes: str | None = None,
+    line_col: str | None = None,
+) -> DataFrame:
+    """``(nine fields, line, reason, outcome)``, one row per line, the pattern evaluated once.
+
+    ``outcome`` is ``records`` (typed fields, ``line`` and ``reason`` NULL) or ``rejects`` (the
+    line and its reason, fields NULL). A line is rejected if it does not match, and under
+    the ``drop`` policy if its byte count is no integer. A status that is no number is NULL.
+    """
+    policy = on_bad_bytes or ("drop" if dialect == "combined" else "null")
+    evaluated, matched, values = _evaluate(lines, dialect, line_col, ())
+    bad = f"WHEN TRY_CAST({values['bytes']} AS BIGINT) IS NULL THEN 'bad_bytes' " if policy == "drop" else ""
+    typed = {
+        "status": f"TRY_CAST({values['status']} AS INT)",
+        "bytes": PF.typed_bytes_sql(values["bytes"], policy),
+    }
+    judged = evaluated.selectExpr(
+        "*", f"CASE WHEN NOT coalesce({matched}, false) THEN 'no_match' {bad}END AS reason"
+    )
+    kept = [f"CASE WHEN reason IS NULL THEN {typed.get(n, values[n])} END AS `{n}`" for n in P.FIELDS]
+    return judged.selectExpr(
+        *kept,
+        "CASE WHEN reason IS NOT NULL THEN _line END AS line",
+        "reason",
+        "CASE WHEN reason IS NULL THEN 'records' ELSE 'rejects' END AS outcome",
+    )
+
+
 def _checked(lines: DataFrame, dialect: str, line_col: str | None) -> DataFrame:
     """``(_line, _matched, bytes)``: what the reject rules read, packing one group only."""
     evaluated, matched, values = _evaluate(lines, dialect, line_col, (), ("bytes",))

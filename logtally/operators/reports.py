@@ -5,9 +5,12 @@ Every report is a grouped aggregate: Spark computes a partial aggregate in each
 dominant status (one status often carries most of the traffic) therefore never sends its
 raw rows through one task.
 
-Shares divide by a window sum over the *grouped* status rows where statuses are numbers
-(three digits: at most 1000 rows whatever the input), and by a scalar subquery over the same
-grouped rows where they are text of any kind. The raw records are scanned once either way.
+Shares divide by a window sum over the *grouped* status rows where statuses are numbers of
+three digits (at most 1000 rows whatever the input), and by a scalar subquery over the same
+grouped rows where they have no bound. The raw records are scanned once either way.
+
+The reports that group by IP or status take a store's terms (``store.read_terms``: sums and
+hits by IP and status) in place of records, with the same results.
 
 Sums are exact beyond 2^63: a byte count is summed in three parts of 21 bits, each a
 ``bigint`` sum that holds for 2^42 rows per group, and the parts are joined on the grouped
@@ -27,14 +30,31 @@ PART_BITS = 21
 SUM_TYPE = "decimal(38,0)"
 
 
-def _sum_parts(value: str, name: str) -> list[Column]:
-    """Three partial sums of the ``bigint`` SQL expression ``value``, named after ``name``."""
-    mask = (1 << PART_BITS) - 1
-    return [
-        F.expr(f"sum(({value}) & {mask}L) AS {name}_p0"),
-        F.expr(f"sum(shiftright({value}, {PART_BITS}) & {mask}L) AS {name}_p1"),
-        F.expr(f"sum(shiftright({value}, {2 * PART_BITS})) AS {name}_p2"),
-    ]
+_MASK = (1 << PART_BITS) - 1
+# The parts of a byte count, by the name of the sum they go into.
+_PARTS = {
+    "p0": f"({{value}}) & {_MASK}L",
+    "p1": f"shiftright({{value}}, {PART_BITS}) & {_MASK}L",
+    "p2": f"shiftright({{value}}, {2 * PART_BITS})",
+}
+_VALUE = "CAST(bytes AS BIGINT)"
+TERM_SUMS = [f"sum({part.format(value=_VALUE)}) AS bytes_{name}" for name, part in _PARTS.items()]
+# Metadata of a ``status`` column whose numbers may have more than three digits.
+OPEN_STATUSES = "logtally.open_statuses"
+
+
+def _is_terms(df: DataFrame) -> bool:
+    """Whether the rows are a store's terms (sums by IP and status) instead of records."""
+    return "bytes_p0" in df.columns
+
+
+def _sum_parts(df: DataFrame, name: str, condition: str | None = None) -> list[Column]:
+    """Three partial sums of the byte counts of ``df`` (where ``condition`` holds)."""
+    out = []
+    for part, value in _PARTS.items():
+        value = f"bytes_{part}" if _is_terms(df) else value.format(value=_VALUE)
+        out.append(F.expr(f"sum({f'CASE WHEN {condition} THEN {value} END' if condition else value}) AS {name}_{part}"))
+    return out
 
 
 def _joined(name: str, alias: str) -> str:
@@ -44,10 +64,13 @@ def _joined(name: str, alias: str) -> str:
     return f"CAST({whole} AS {SUM_TYPE}) AS {alias}"
 
 
+def _hits(df: DataFrame) -> Column:
+    return F.expr("coalesce(sum(hits), 0L) AS hits" if _is_terms(df) else "count(1) AS hits")
+
+
 def _sum_by(df: DataFrame, keys: list, hits: bool = False) -> DataFrame:
     """``keys`` and the exact sum ``bytes`` of each group, plus its row count ``hits``."""
-    count = [F.expr("count(1) AS hits")] if hits else []
-    grouped = df.groupBy(*keys).agg(*_sum_parts("CAST(bytes AS BIGINT)", "bytes"), *count)
+    grouped = df.groupBy(*keys).agg(*_sum_parts(df, "bytes"), *([_hits(df)] if hits else []))
     names = [f"`{c}`" for c in grouped.columns[: len(keys)]]
     return grouped.selectExpr(*names, _joined("bytes", "bytes"), *(["hits"] if hits else []))
 
@@ -88,11 +111,12 @@ FROM grouped WHERE {{keep}}
 def _with_share(rows: DataFrame, part: str, whole: str, keep: str) -> DataFrame:
     """``(status, bytes, pct)``: ``part`` and its share of the sum of ``whole`` over all rows.
 
-    Numeric statuses have three digits, so a window over the grouped rows sees at most 1000
-    of them and saves a second job; statuses that are text (SerDe) have no such bound and
-    take the subquery.
+    Parsed numeric statuses have three digits, so a window over the grouped rows sees at most
+    1000 of them and saves a second job; statuses that are text (SerDe), and those of a store
+    that took any, have no such bound and take the subquery.
     """
-    if rows.schema["status"].dataType.typeName() != "string":
+    status = rows.schema["status"]
+    if status.dataType.typeName() != "string" and not status.metadata.get(OPEN_STATUSES):
         share = _PERCENT.format(part=part, whole="_total")
         totals = rows.selectExpr("*", f"sum({whole}) OVER () AS _total").where(keep)
         return totals.selectExpr("status", f"{part} AS bytes", share)
@@ -123,10 +147,9 @@ def status_breakdown(
         source = parsed if selection is None else parsed.where(selection)
         out = _with_share(status_bytes(source), "bytes", "bytes", "true")
     else:
-        value = "CAST(bytes AS BIGINT)"
         grouped = parsed.withColumn("_in", selection).groupBy("status").agg(
-            *_sum_parts(f"CASE WHEN _in THEN {value} END", "sel"),
-            *_sum_parts(value, "whole"),
+            *_sum_parts(parsed, "sel", "_in"),
+            *_sum_parts(parsed, "whole"),
             F.expr("count_if(_in) AS _hits"),
         )
         rows = grouped.selectExpr("status", _joined("sel", "sel"), _joined("whole", "whole"), "_hits")
@@ -168,7 +191,7 @@ def ip_bytes(parsed: DataFrame) -> DataFrame:
 
 def ip_hits(parsed: DataFrame) -> DataFrame:
     """``(ip, hits)``: number of records per IP."""
-    return parsed.groupBy("ip").agg(F.count(F.lit(1)).alias("hits"))
+    return parsed.groupBy("ip").agg(_hits(parsed))
 
 
 def top_ips(parsed: DataFrame, n: int) -> DataFrame:
@@ -236,6 +259,11 @@ def ip_list_breakdown(
     return out
 
 
+def status_bytes_by_ip(parsed: DataFrame) -> DataFrame:
+    """``(ip, status, bytes)`` of every IP."""
+    return _sum_by(parsed, ["ip", "status"])
+
+
 def breakdown_of_ips_with_status(parsed: DataFrame, status: int) -> DataFrame:
     """``(ip, status, bytes)`` for every IP that has at least one record of ``status``.
 
@@ -345,6 +373,6 @@ def sum_identical(parsed: DataFrame) -> DataFrame:
 __all__ = [
     "status_bytes", "status_breakdown", "status_total", "status_range_total", "status_range",
     "ip_total", "ip_bytes", "ip_hits", "top_ips", "top_ip", "total_bytes", "distinct_values",
-    "ip_list_breakdown", "breakdown_of_ips_with_status", "top_ips_breakdown", "line_status_maps", "status_map", "merge_status_maps", "sum_identical",
+    "ip_list_breakdown", "breakdown_of_ips_with_status", "status_bytes_by_ip", "top_ips_breakdown", "line_status_maps", "status_map", "merge_status_maps", "sum_identical",
     "IDENTITY_COLUMNS", "REPORT_FIELDS",
 ]

@@ -272,3 +272,24 @@ ORACLE.update({
     "managed_table": ORACLE["hive_style_breakdown"],
 })
 ORACLE["store_spread_ips"] = ORACLE["big_sum_ips"]
+
+ORACLE.update({
+    "store_failed_rewrite": _q(f"SELECT {FIELDS_SQL} FROM usable WHERE status < 400"),
+    "store_tiers": ORACLE["store_roundtrip"],
+    "store_compacted_ip_list": _LIST,
+    "store_compacted_ip_frame": _FRAME,
+    "store_terms_breakdown": ORACLE["status_breakdown_global"],
+    "store_terms_top_ip": ORACLE["top_ip"],
+    "store_terms_ips": ORACLE["ip_bytes"],
+    "store_terms_distinct_ips": ORACLE["distinct_ips"],
+    "store_breakdown_serde": HARD + _breakdown(
+        "(SELECT TRY_CAST(status AS INTEGER) AS status, bytes FROM serde WHERE request IS NOT NULL)",
+        "bytes DESC NULLS LAST, status DESC NULLS LAST",
+    ),
+    "ingest_rejects": ORACLE["rejects_hard"],
+    "ingest_rejects_serde": HARD + (
+        f"SELECT line, reason FROM (SELECT line, CASE WHEN NOT coalesce(regexp_matches(line, '{H}'), false) "
+        f"THEN 'no_match' WHEN TRY_CAST(regexp_extract(line, '{H}', 7) AS BIGINT) IS NULL THEN 'bad_bytes' END "
+        "AS reason FROM log_lines) r WHERE reason IS NOT NULL"
+    ),
+})

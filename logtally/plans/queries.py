@@ -359,6 +359,92 @@ def store_spread_ips(spark, sf_dir):
     return R.ip_bytes(store.read_store(spark, path))
 
 
+def store_failed_rewrite(spark, sf_dir):
+    """A re-write of a segment whose job fails leaves its rows as they were."""
+    path, rows = scratch_path(spark, "store"), _usable(spark, sf_dir)
+    store.append(rows.where("status < 400"), path, segment="a")
+    broken = rows.withColumn("bytes", F.expr("CAST(raise_error('stopped on purpose') AS BIGINT)"))
+    try:
+        store.append(broken, path, segment="a")
+    except Exception as failure:
+        if "stopped on purpose" not in str(failure):
+            raise
+    return store.read_store(spark, path)
+
+
+def _store_in_parts(spark, sf_dir) -> str:
+    """A store of four segments, each merged with its tier, but for the last; the second was
+    written twice, the second time after it was merged."""
+    path, lines = scratch_path(spark, "store"), _lines(spark, sf_dir)
+    for k in (0, 1, 2, 1, 3):
+        part = lines.where(F.crc32(F.col("line").cast("binary")) % 4 == k)
+        store.ingest_lines(part, path, segment=f"part-{k}")
+        if k < 3:
+            store.compact(spark, path)
+    return path
+
+
+def store_tiers(spark, sf_dir):
+    """Records of a store of several runs, one of which holds rows that no longer count."""
+    return store.read_store(spark, _store_in_parts(spark, sf_dir))
+
+
+def store_compacted_ip_list(spark, sf_dir):
+    """The explicit list against a compacted store: at most one bucket an IP is opened."""
+    path = _store_of(spark, sf_dir)
+    store.compact(spark, path)
+    return R.ip_list_breakdown(store.read_store(spark, path, ips=IP_LIST), IP_LIST)
+
+
+def store_compacted_ip_frame(spark, sf_dir):
+    """The key table against a compacted store: its buckets are chosen at run time."""
+    path = _store_of(spark, sf_dir)
+    store.compact(spark, path)
+    records = store.read_store(spark, path, ips=_ip_frame(spark, sf_dir))
+    return R.status_bytes_by_ip(records)
+
+
+def store_terms_breakdown(spark, sf_dir):
+    """Bytes and share by status from the store's terms: no records are read."""
+    return R.status_breakdown(store.read_terms(spark, _store_in_parts(spark, sf_dir)))
+
+
+def store_terms_top_ip(spark, sf_dir):
+    return R.top_ip(store.read_terms(spark, _store_in_parts(spark, sf_dir)))
+
+
+def store_terms_ips(spark, sf_dir):
+    """Bytes and hits of every IP from the store's terms."""
+    return R.ip_bytes(store.read_terms(spark, _store_in_parts(spark, sf_dir)))
+
+
+def store_terms_distinct_ips(spark, sf_dir):
+    return R.distinct_values(store.read_terms(spark, _store_in_parts(spark, sf_dir)), "ip")
+
+
+def store_breakdown_serde(spark, sf_dir):
+    """SerDe records, whose statuses have no bound, from the store: the total is a scalar
+    subquery."""
+    path = scratch_path(spark, "store")
+    store.ingest_lines(_hard(spark, sf_dir), path, "regexserde", "null")
+    return R.status_breakdown(store.read_store(spark, path))
+
+
+def ingest_rejects(spark, sf_dir):
+    """The lines that an ingest kept no record of, from the same pass as the records."""
+    path = scratch_path(spark, "store")
+    store.ingest_lines(_hard(spark, sf_dir), path)
+    return store.read_rejects(spark, path).select("line", "reason")
+
+
+def ingest_rejects_serde(spark, sf_dir):
+    """The same in the SerDe dialect, after a compaction."""
+    path = scratch_path(spark, "store")
+    store.ingest_lines(_hard(spark, sf_dir), path, "regexserde", "drop")
+    store.compact(spark, path)
+    return store.read_rejects(spark, path).select("line", "reason")
+
+
 def double_gzip_to_store(spark, sf_dir):
     """Double-gzip files straight into the store, decoded and parsed in one pass."""
     out, path = scratch_path(spark, "double-gzip"), scratch_path(spark, "store")
@@ -520,6 +606,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "store_replace_segment": store_replace_segment,
     "store_replace_compacted": store_replace_compacted,
     "store_spread_ips": store_spread_ips,
+    "store_failed_rewrite": store_failed_rewrite,
+    "store_tiers": store_tiers,
+    "store_compacted_ip_list": store_compacted_ip_list,
+    "store_compacted_ip_frame": store_compacted_ip_frame,
+    "store_terms_breakdown": store_terms_breakdown,
+    "store_terms_top_ip": store_terms_top_ip,
+    "store_terms_ips": store_terms_ips,
+    "store_terms_distinct_ips": store_terms_distinct_ips,
+    "store_breakdown_serde": store_breakdown_serde,
+    "ingest_rejects": ingest_rejects,
+    "ingest_rejects_serde": ingest_rejects_serde,
     "double_gzip_to_store": double_gzip_to_store,
     "managed_table": managed_table,
 }

@@ -25,6 +25,23 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under ``path``."""
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Make sure that a file exists."""
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()
+
+
 def create_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a new file; fails if it exists (two writers cannot both create it)."""
     fs, p = _fs(spark, path)
