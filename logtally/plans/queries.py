@@ -20,7 +20,7 @@ from ..operators import sinks, store
 from ..operators.parse import clean_lines, parse, parse_counts, rejects
 from ..operators.select import prefilter_lines
 from ..session import scratch_path
-from ..sources import tables
+from ..sources import accesslog, tables
 from ..sources.double_gzip import read_double_gzip, write_double_gzip
 from ..sources.fixtures import hard_lines, log_lines
 from ..sources.text import read_lines
@@ -530,6 +530,26 @@ def managed_table(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+def accesslog_view(spark, sf_dir):
+    """A report in SQL over a catalog view of raw files, read through the data source."""
+    files = scratch_path(spark, "raw-logs")
+    sinks.write_text(_lines(spark, sf_dir).repartition(3), files)
+    name = accesslog.create_log_view(spark, "logtally_raw_" + files.rsplit("-", 1)[-1], files)
+    return spark.sql(
+        "SELECT ip, status, CAST(sum(bytes) AS DECIMAL(38,0)) AS bytes "
+        f"FROM {name} WHERE status >= 300 AND ip LIKE '10.%' GROUP BY ip, status"
+    )
+
+
+def accesslog_serde(spark, sf_dir):
+    """All fields of all lines in the SerDe dialect, from gzip files."""
+    files = scratch_path(spark, "raw-logs")
+    sinks.write_text(_hard(spark, sf_dir).where("line IS NOT NULL").repartition(3), files, compression="gzip")
+    accesslog.register(spark)
+    options = {"files": files, "dialect": "regexserde", "onBadBytes": "null", "pushdown": "true"}
+    return spark.read.format(accesslog.NAME).options(**options).load()
+
+
 def streaming_ingest(spark, sf_dir):
     """Lines land as text files; a streaming query appends them to the store."""
     from ..streaming.ingest import ingest
@@ -617,6 +637,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "store_breakdown_serde": store_breakdown_serde,
     "ingest_rejects": ingest_rejects,
     "ingest_rejects_serde": ingest_rejects_serde,
+    "accesslog_view": accesslog_view,
+    "accesslog_serde": accesslog_serde,
     "double_gzip_to_store": double_gzip_to_store,
     "managed_table": managed_table,
 }
