@@ -295,4 +295,5 @@ ORACLE.update({
     "accesslog_view": _q(_IP_STATUS.format(src="usable", where="status >= 300 AND ip LIKE '10.%'")),
     "accesslog_serde": HARD + f"SELECT {FIELDS_SQL} FROM (SELECT s.* FROM ({_fields_serde('(SELECT line FROM log_lines WHERE line IS NOT NULL)')}) s) "
     .replace("FROM (SELECT s.*", "FROM (SELECT s.* REPLACE (TRY_CAST(bytes AS BIGINT) AS bytes)"),
+    "double_gzip_members": ORACLE["double_gzip_roundtrip"],
 })

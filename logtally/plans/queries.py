@@ -487,6 +487,13 @@ def double_gzip_roundtrip(spark, sf_dir):
     return read_double_gzip(spark, out).select("line")
 
 
+def double_gzip_members(spark, sf_dir):
+    """Two files of many gzip members, whose members are dealt to tasks."""
+    out = scratch_path(spark, "double-gzip")
+    write_double_gzip(_lines(spark, sf_dir), out, files=2, member_bytes=20_000)
+    return read_double_gzip(spark, out, split_members=True).select("line")
+
+
 def text_source_roundtrip(spark, sf_dir):
     out = scratch_path(spark, "text-gz")
     sinks.write_text(_lines(spark, sf_dir).repartition(4), out, compression="gzip")
@@ -639,6 +646,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_rejects_serde": ingest_rejects_serde,
     "accesslog_view": accesslog_view,
     "accesslog_serde": accesslog_serde,
+    "double_gzip_members": double_gzip_members,
     "double_gzip_to_store": double_gzip_to_store,
     "managed_table": managed_table,
 }
