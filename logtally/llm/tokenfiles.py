@@ -33,7 +33,9 @@ import json
 import os
 import re
 import struct
+import sys
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,14 +44,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logtally.llm.bpe import worker_state
+from logtally.llm.bpe import byte_chars, little, worker_state
 from logtally.llm.common import by_value
 
-BLOCK = 1024
+BLOCK = 4096
 PERCENT = 95
 FILE_IDS = 1 << 25
 FILE_DOCS = 1 << 20
-BATCH_IDS = 1 << 20
+BATCH_IDS = 1 << 18
 READ_BYTES = 1 << 25  # bytes of files that one reading task takes, on average
 
 MAGIC = b"TOKPFOR1"
@@ -60,9 +62,9 @@ TRAILER, TRAILER_SIZE = "<5Q8s", struct.calcsize("<5Q8s")
 # digits up to white space or ASCII punctuation, else white space and all that follows it
 # up to the next. (U+001C..U+001F are white space to Python, not to the tokenizers.)
 SPACE, SOLID, PUNCT = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]", r"!-/:-@\[-`{-~"
-PIECE = rf"{SPACE}*[0-9A-Za-zÀ-ÖØ-öø-ÿ]+(?![^\s{PUNCT}]|[\x1c-\x1f])|{SPACE}*{SOLID}+|{SPACE}+"
+PIECE = rf"{SPACE}*+[0-9A-Za-zÀ-ÖØ-öø-ÿ]++(?![^\s{PUNCT}]|[\x1c-\x1f])|{SPACE}*{SOLID}+|{SPACE}+"
 MEMO = 1 << 19
-SLICE = 128  # documents encoded together
+SLICE = 256  # documents encoded together
 MEMO_CHARS = 48
 
 
@@ -91,11 +93,15 @@ def unpack_block(raw: bytes | memoryview, at: int = 0) -> np.ndarray:
     base, n, width, n_over = struct.unpack_from(HEAD, raw, at)
     at += HEAD_SIZE
     size = (n * width + 7) // 8
-    bits = np.unpackbits(np.frombuffer(raw, np.uint8, size, at), count=n * width, bitorder="little")
-    small, room = ("<u2", 16) if width <= 16 else ("<u4", 32)
-    whole = np.zeros((n, room), np.uint8)
-    whole[:, :width] = bits.reshape(n, width)
-    ids = np.packbits(whole, axis=1, bitorder="little").reshape(-1).view(small).astype(np.uint32)
+    # Value i starts at bit i * width: the bytes it touches, joined, shifted and masked.
+    bits = np.arange(n, dtype=np.int64) * width
+    from_byte, touched = bits >> 3, (width + 14) // 8
+    held = np.zeros(size + touched, np.uint64)
+    held[:size] = np.frombuffer(raw, np.uint8, size, at)
+    whole = held[from_byte] if touched else np.zeros(n, np.uint64)
+    for k in range(1, touched):
+        whole |= held[from_byte + k] << np.uint64(8 * k)
+    ids = (whole >> (bits & 7).astype(np.uint64) & np.uint64((1 << width) - 1)).astype(np.uint32)
     if n_over:
         over = np.frombuffer(raw, "<u2", n_over, at + size)
         high = np.frombuffer(raw, "<u4", n_over, at + size + 2 * n_over)
@@ -137,7 +143,7 @@ class TokenFile:
         self.n_ids += len(ids)
         self.waiting.append(ids)
         self.n_waiting += len(ids)
-        if self.n_waiting >= 64 * BLOCK:
+        if self.n_waiting >= 16 * BLOCK:
             self._flush(False)
 
     def _flush(self, last: bool) -> None:
@@ -213,31 +219,37 @@ def read_ids(path: str, first: int, n: int) -> np.ndarray:
 # Encoding.
 
 
+def separable(spec: str) -> tuple[bool, list[str]]:
+    """Whether no rule of a tokenizer file looks past a piece's end, and its special strings."""
+    tok = json.loads(spec)
+    pre, added = tok["pre_tokenizer"] or {}, tok["added_tokens"]
+    plain = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+    alone = all(
+        not (t["single_word"] or t["lstrip"] or t["rstrip"]) and re.fullmatch(r"<\|\w+\|>", t["content"]) for t in added
+    )
+    whole = tok["normalizer"] is None and not tok["model"].get("ignore_merges")
+    return bool(plain and alone and whole), sorted((t["content"] for t in added), key=len, reverse=True)
+
+
 class PieceEncoder:
     """Texts to ids (little-endian 32-bit) by the tokenizers library, which is asked once
     for each distinct piece while the memo holds it: at most twice ``MEMO`` short pieces,
-    the half that was not asked for lately going first. Tokenizers whose rules could see
-    past a piece's end are given whole texts."""
+    the half that was not asked for lately going first. A word of letters behind a space is
+    one pre-token, so the library's model takes it as it is. Tokenizers whose rules could
+    see past a piece's end are given whole texts."""
 
-    def __init__(self, spec: str) -> None:
+    def __init__(self, spec: str, exact: bool, specials: list[str]) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_str(spec)
-        self.model.no_truncation()
-        self.model.no_padding()
-        tok = json.loads(spec)
-        pre = tok["pre_tokenizer"] or {}
-        plain = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
-        specials = sorted((t["content"] for t in tok["added_tokens"]), key=len, reverse=True)
-        alone = all(
-            not (t["single_word"] or t["lstrip"] or t["rstrip"]) and re.fullmatch(r"<\|\w+\|>", t["content"])
-            for t in tok["added_tokens"]
-        )
-        self.exact = plain and alone and not tok["normalizer"]
+        self.library = Tokenizer.from_str(spec)
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.model, self.exact = self.library.model, exact
         # The library cuts special strings out before anything else.
         self.special = re.compile("(" + "|".join(map(re.escape, specials)) + ")") if specials else None
         self.find = re.compile(PIECE).findall
+        self.shown = dict(enumerate(byte_chars()))
         self.newer, self.older = {}, {}
 
     def cut(self, text: str) -> list[str]:
@@ -248,36 +260,26 @@ class PieceEncoder:
         parts = self.special.split(text)  # special strings at odd places
         return [p for i, part in enumerate(parts) for p in ([part] if i % 2 else self.find(part))]
 
-    def learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """The ids of some pieces. Words of letters behind a space stay pre-tokens of their
-        own in any row of them, so one call of the library gives the ids of all."""
-        words = [p for p in pieces if p[0] == " " and p[1:].isalpha()] if self.exact else []
-        found = {}
-        if words:
-            held = self.model.encode("".join(words), add_special_tokens=False)
-            ids = np.array(held.ids, "<u4").tobytes()
-            # Tokens of word i: those whose number of the pre-token is i.
-            ends = 4 * np.searchsorted(np.array(held.word_ids), np.arange(len(words)), "right")
-            at = 0
-            for p, end in zip(words, ends.tolist(), strict=True):
-                found[p] = ids[at:end]
-                at = end
-        rest = [p for p in pieces if p not in found]
-        for p, held in zip(rest, self.model.encode_batch(rest, add_special_tokens=False), strict=True):
-            found[p] = np.array(held.ids, "<u4").tobytes()
-        return found
+    def learn(self, piece: str) -> bytes:
+        """The ids of a piece."""
+        if self.exact and piece[0] == " " and piece[1:].isalpha():
+            if piece.isascii():
+                shown = self.shown[32] + piece[1:]
+            else:
+                shown = piece.encode().decode("latin-1").translate(self.shown)
+            return little(array("I", [t.id for t in self.model.tokenize(shown)]))
+        return little(array("I", self.library.encode(piece, add_special_tokens=False).ids))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         cuts = [self.cut(t) for t in texts]
         if len(self.newer) >= MEMO:
             self.older, self.newer = self.newer, {}
         newer, older = self.newer, self.older
-        new = [p for p in set().union(*cuts) if p not in newer]
-        seen = {p: older[p] for p in new if p in older}
-        learnt = seen | self.learn([p for p in new if p not in seen])
-        newer.update(learnt)
+        new = set().union(*cuts).difference(newer)
+        for p in new:
+            newer[p] = older.get(p) or self.learn(p)
         out = [b"".join(map(newer.__getitem__, c)) for c in cuts]
-        for p in learnt:
+        for p in new:
             if len(p) > MEMO_CHARS:
                 del newer[p]
         return out
@@ -291,14 +293,15 @@ def write_token_files(
     all earlier files."""
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as f:
-        spec = spark.sparkContext.broadcast(f.read())
+        text = f.read()
+    spec, rules = spark.sparkContext.broadcast(text), separable(text)
     # The tie-break is a column of the sort, not of the rows that go to Python.
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     keyed = rows.withColumn("tie", F.xxhash64("text"))
     dealt = keyed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
 
     def write(batches):
-        encoder = worker_state(f"pieces:{tokenizer}", lambda: PieceEncoder(spec.value))
+        encoder = worker_state(f"pieces:{tokenizer}", lambda: PieceEncoder(spec.value, *rules))
         part, seq, out, end = TaskContext.get().partitionId(), 0, None, np.array([end_id], "<u4").tobytes()
 
         def closed():
@@ -341,19 +344,23 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     tasks = max(1, -(-size // READ_BYTES), min(manifest.count(), spark.sparkContext.defaultParallelism))
 
     def read(batches):
+        # A worker that wrote files before need not hold its tokenizer any longer.
+        worker_state("pieces", dict)
+        for key in [k for k in sys.modules["_corpus_worker_state"].__dict__ if k.startswith("pieces:")]:
+            del sys.modules["_corpus_worker_state"].__dict__[key]
         for b in batches:
             for file, start in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 with OpenTokenFile(f"{path}/{file}") as f:
                     for first, to, ids in f.spans():
                         at = f.starts[first : to + 1]
                         null = np.arange(first, to) < f.nulls
-                        raw = memoryview(ids.astype("<u4").tobytes())
-                        cuts = 4 * (at - at[0])
+                        # The documents' ids lie one behind the other, as a binary column's do.
+                        held = [None, pa.py_buffer((4 * (at - at[0])).astype("<i4")), pa.py_buffer(ids.astype("<u4"))]
                         cols = [
                             pa.array(f.docs[first:to].astype(np.int64), pa.int64(), mask=null),
                             pa.array(start + at[:-1], pa.int64()),
                             pa.array(np.diff(at), pa.int64()),
-                            pa.array([raw[x:y] for x, y in zip(cuts, cuts[1:], strict=False)], pa.binary()),
+                            pa.Array.from_buffers(pa.binary(), to - first, held),
                         ]
                         yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "start", "n_tokens", "ids"])
 
