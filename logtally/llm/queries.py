@@ -55,7 +55,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _table(spark, sf_dir, "embeddings")
-    return knn.top_k(table, table.where("vec_id % 100 = 0"), k=10)
+    return knn.top_k(table, F.expr("vec_id % 100 = 0"), k=10)
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import hashlib
+import math
 import zlib
 from collections import Counter
 
@@ -176,21 +177,56 @@ def test_mixing_hits_capped_and_reshared_targets(spark):
         assert abs(sum(r["size"] * r.times for r in got if r.source == s) - target[s]) <= 5
 
 
+def knn_brute(data, k):
+    """Every query row's best other rows, in Python's integers."""
+    rows = [
+        (i, [math.floor(1024 * float(np.float64(e))) for e in x])
+        for i, x in data
+        if i is not None and x is not None and all(e is not None and math.isfinite(e) for e in x)
+    ]
+    out = []
+    for at, (i, q) in enumerate(rows):
+        if i % 100 == 0:
+            scored = sorted(
+                (-sum(a * b for a, b in zip(q, x, strict=True)), j)
+                for n, (j, x) in enumerate(rows)
+                if n != at and len(x) == len(q)
+            )
+            out += [(i, r, j, max(-(2**63), min(2**63 - 1, -s))) for r, (s, j) in enumerate(scored[:k], 1)]
+    return sorted(out)
+
+
 def test_knn(spark):
     nan, inf = float("nan"), float("inf")
     data = [(i, [0.5, -0.25]) for i in range(30)] + [(100, [1.0, 1.0]), (101, None), (102, [1.0, None]), (200, [nan, 0.0])]
     data += [(300, [inf, 1.0]), (400, [3.0]), (500, []), (None, [1.0, 1.0]), (100, [1.0, 1.0]), (600, [-0.0005, 0.0])]
-    df = spark.createDataFrame(data, "vec_id long, embedding array<float>").withColumn("id", F.lit("clash"))
-    got = knn.top_k(df, df.where("vec_id % 100 = 0"), k=5, shard_rows=7, block_rows=2).collect()
-    by = {}
-    for r in sorted(got, key=lambda r: (r.query_id, r["rank"])):
-        by.setdefault(r.query_id, []).append((r.vec_id, r.score))
-    assert set(by) == {0, 100, 600}  # 400 and 500 have no candidate of their length
-    assert by[0] == [(i, 512 * 512 + 256 * 256) for i in range(1, 6)]
-    assert by[100] == [(i, 1024 * 512 - 1024 * 256) for i in range(5)]
-    assert by[600] == [(i, -512) for i in range(5)]
-    empty = df.limit(0)
-    assert knn.top_k(empty, empty).collect() == []
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>").withColumns({c: F.lit("clash") for c in ("id", "row", "x")})
+    got = knn.top_k(df, F.expr("vec_id % 100 = 0"), k=5, shard_rows=7, block_rows=2).collect()
+    assert sorted(map(tuple, got)) == knn_brute(data, 5)
+    assert {r.query_id for r in got} == {0, 100, 600}  # 400 and 500 have no candidate of their length
+    assert knn.top_k(df.limit(0), F.expr("vec_id % 100 = 0")).collect() == []
+
+
+@pytest.mark.parametrize("power", [8, 22, 27, 40, 60])
+def test_knn_large_components(spark, power):
+    """Scores and box bounds beyond 62 bits, few large rows among small ones, repeated ids."""
+    rng = np.random.default_rng(power)
+    data = [(int(i) % 150, (rng.integers(-8, 9, 4) * (2.0**power if i % 7 == 0 else 0.125)).tolist()) for i in range(220)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3)
+    got = knn.top_k(df, F.expr("vec_id % 100 = 0"), k=6, shard_rows=50, block_rows=3)
+    exact = power < 60
+    want = knn_brute(data, 6)
+    got = sorted(map(tuple, got.collect()))
+    assert got == want if exact else [r[:2] + r[3:] for r in got] == [r[:2] + r[3:] for r in want]
+
+
+def test_knn_wide_vectors(spark):
+    """Sums over many components that pass a long although each product is small."""
+    dim, big = 256, 2.0**18 - 1
+    data = [(0, [big] * dim), (1, [big] * dim), (2, [-big] * dim), (3, [1.0] * dim), (5, [2.0**18] * dim), (5, [1.0] * dim)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = knn.top_k(df, F.expr("vec_id = 0"), k=5, shard_rows=2, block_rows=1)
+    assert sorted(map(tuple, got.collect())) == [r for r in knn_brute(data, 5) if r[0] == 0]
 
 
 def test_knn_prunes_and_finds_all():
