@@ -57,11 +57,15 @@ def _sum_parts(df: DataFrame, name: str, condition: str | None = None) -> list[C
     return out
 
 
-def _joined(name: str, alias: str) -> str:
+def exact_bytes(name: str) -> str:
     """SQL for the sum whose parts are named after ``name``; NULL if no value was summed."""
     part = lambda k: f"CAST({name}_p{k} AS DECIMAL(19,0))"
     whole = f"{part(2)} * {1 << 2 * PART_BITS}BD + {part(1)} * {1 << PART_BITS}BD + {part(0)}"
-    return f"CAST({whole} AS {SUM_TYPE}) AS {alias}"
+    return f"CAST({whole} AS {SUM_TYPE})"
+
+
+def _joined(name: str, alias: str) -> str:
+    return f"{exact_bytes(name)} AS {alias}"
 
 
 def _hits(df: DataFrame) -> Column:

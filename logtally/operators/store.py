@@ -5,6 +5,7 @@ Layout::
     <path>/segment=<id>/gen=<n>/outcome=records|rejects/part-*.parquet   one append
     <path>/run=<id>/outcome=..|../ip_bucket=<n>/part-*.parquet           segments merged
     <path>/_terms/..                     per segment and run: hits and bytes by (ip, status)
+    <path>/_ips/..                       the same by ip, the largest sums first
     <path>/_live/<segment>@<gen>@<bytes>@<statuses>                      published appends
     <path>/_current/<number>.json                                        the runs, what they hold
 
@@ -27,6 +28,9 @@ Layout::
   filter of ``ip``, so pushed filters skip row groups.
 * **Terms.** Each segment and run has a small dictionary of its (ip, status) pairs with
   hits and byte sums; :func:`read_terms` answers reports without reading records.
+* **Top IPs.** Of the sums by IP, each sorted by bytes, :func:`top_entries` reads only those
+  that can matter: if the n-th best IP has at least B bytes in all and there are S
+  dictionaries, an IP below B / S in each of them is not among the n best.
 * ``vacuum`` deletes what is merged or replaced, and forgets it: pointers and readers
   know only what is still there.
 
@@ -52,7 +56,7 @@ from pyspark.sql import types as T
 from ..functions.patterns import FIELDS
 from ..sources import hadoop_fs
 from .parse import parse_outcomes
-from .reports import OPEN_STATUSES, TERM_SUMS
+from .reports import OPEN_STATUSES, TERM_SUMS, exact_bytes
 
 RECORD = [T.StructField(f, {"status": T.IntegerType(), "bytes": T.LongType()}.get(f, T.StringType())) for f in FIELDS]
 TEXTS = [T.StructField(f, T.StringType()) for f in ("line", "reason")]
@@ -65,7 +69,10 @@ TERM_SCHEMA = "ip string, status int, hits long, counted long, bytes_p0 long, by
 IP_BUCKETS = 64  # of a run at least
 BUCKET_BYTES = 1 << 32
 TIER = 2.0
-POINTERS, LIVE, TERMS, NAMES = "_current", "_live", "_terms", "_names"
+IP_SCHEMA = "ip string, top long, hits long, bytes_p0 long, bytes_p1 long, bytes_p2 long"
+HEAD = 4  # entries read per asked IP to find a lower bound
+
+POINTERS, LIVE, TERMS, IPS, NAMES = "_current", "_live", "_terms", "_ips", "_names"
 GENERATED = r"s\d{20}-[0-9a-f]{8}"
 FILE_OPTIONS = {
     "parquet.bloom.filter.enabled#ip": "true",
@@ -180,7 +187,7 @@ def _write_segment(rows: DataFrame, path: str, segment: str, named: bool, open_s
     folder = f"{path}/segment={segment}/gen={gen}"
     rows.sortWithinPartitions("outcome", "status", "ip").write.options(**FILE_OPTIONS).partitionBy("outcome").parquet(folder)
     written = spark.read.schema(SEGMENT_SCHEMA).option("basePath", path).parquet(folder)
-    _terms_of(written).write.parquet(f"{path}/{TERMS}/segment={segment}/gen={gen}")
+    _write_terms(_terms_of(written), path, f"segment={segment}/gen={gen}")
     kind = "open" if open_statuses else "three"
     marker = f"{segment}@{gen}@{hadoop_fs.size_of(spark, folder)}@{kind}"
     hadoop_fs.create_text(spark, f"{path}/{LIVE}/{marker}", "")
@@ -347,6 +354,45 @@ def _terms(spark: SparkSession, path: str, state: State, runs: list[dict]) -> Da
     return terms
 
 
+def _write_terms(terms: DataFrame, path: str, folder: str) -> None:
+    """Write a dictionary, and its sums by IP in descending order."""
+    spark = terms.sparkSession
+    terms.write.parquet(f"{path}/{TERMS}/{folder}")
+    written = spark.read.schema(TERM_SCHEMA).parquet(f"{path}/{TERMS}/{folder}").where("ip <> ''")
+    parts = ("hits", "bytes_p0", "bytes_p1", "bytes_p2")
+    sums = written.groupBy("ip").agg(*(F.sum(c).alias(c) for c in parts))
+    top = f"CAST(coalesce(least({exact_bytes('bytes')}, {2**63 - 1}BD), 0BD) AS BIGINT) AS top"
+    ranked = sums.selectExpr("ip", top, *parts).repartitionByRange(F.desc("top")).sortWithinPartitions(F.desc("top"))
+    ranked.write.parquet(f"{path}/{IPS}/{folder}")
+
+
+def top_entries(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """Rows ``(ip, hits, bytes_p0 .. p2)`` of every IP that can be among the ``n`` with the
+    most bytes, for :func:`logtally.operators.reports.top_ips` and ``top_ip``.
+
+    Three steps over the sums by IP: the largest entries of all dictionaries give a lower
+    bound of the n-th best IP's bytes; entries of at least that bound divided by the number
+    of dictionaries name the candidates (a pushed filter on sorted files); the candidates'
+    entries are read whole. IPs that have less in every dictionary sum up to less than the
+    bound. Where rows of a run were replaced since, or some sum is negative, bounds do not
+    hold, and all terms are read.
+    """
+    state = _state(spark, path)
+    runs = state.pointer["runs"]
+    folders = [f"segment={s}/gen={g.gen}" for s, g in state.live.items()] + [f"run={r['id']}" for r in runs]
+    if not folders or any(state.hidden(r) for r in runs):
+        return read_terms(spark, path)
+    entries = spark.read.schema(IP_SCHEMA).parquet(*(f"{path}/{IPS}/{f}" for f in folders))
+    least = entries.agg(F.min("top")).first()[0]  # from the files' statistics or one column
+    if least is not None and least < 0:
+        return read_terms(spark, path)
+    head = entries.select("ip", F.col("top").cast("decimal(38,0)").alias("top")).orderBy(F.desc("top")).limit(HEAD * n)
+    known = head.groupBy("ip").agg(F.sum("top").alias("bytes")).orderBy(F.desc("bytes")).limit(n).collect()
+    bound = int(known[-1]["bytes"]) if n and len(known) == n else 0
+    wanted = entries.where(F.col("top") >= min(bound // len(folders), 2**63 - 1)).select("ip").distinct()
+    return entries.drop("top").join(wanted, "ip", "left_semi")
+
+
 def read_terms(spark: SparkSession, path: str) -> DataFrame:
     """``(ip, status, hits, counted, bytes_p0 .. p2)``: one row per pair of the whole store. The
     reports that group by IP or status take it in place of records.
@@ -400,7 +446,7 @@ def compact(
     rows = rows.withColumn("ip_bucket", ip_bucket(key, buckets)).hint("rebalance", F.col("outcome"), F.col("ip_bucket"))
     folder, order = f"{out}/run={name}", ("outcome", "ip_bucket", "ip", "status")
     rows.sortWithinPartitions(*order).write.options(**FILE_OPTIONS).partitionBy(*order[:2]).parquet(folder)
-    _merged_terms(_terms(spark, path, state, chosen)).write.parquet(f"{out}/{TERMS}/run={name}")
+    _write_terms(_merged_terms(_terms(spark, path, state, chosen)), out, f"run={name}")
     is_open = any(g.open for g in state.live.values()) or any(r["open"] for r in chosen)
     run = {"id": name, "buckets": buckets, "bytes": hadoop_fs.size_of(spark, folder), "replaced": [], "open": is_open}
     if target:
@@ -430,7 +476,8 @@ def vacuum(spark: SparkSession, path: str) -> list[str]:
         hadoop_fs.delete(spark, f"{path}/{LIVE}/{gen.marker}")
         if segment not in state.live:
             hadoop_fs.delete(spark, f"{path}/segment={segment}")
-            hadoop_fs.delete(spark, f"{path}/{TERMS}/segment={segment}")
+            for kept in (TERMS, IPS):
+                hadoop_fs.delete(spark, f"{path}/{kept}/segment={segment}")
         deleted.append(folder)
     for run in state.pointer["dead"]:
         _forget(spark, path, f"run={run}")
@@ -446,8 +493,8 @@ def vacuum(spark: SparkSession, path: str) -> list[str]:
 
 
 def _forget(spark: SparkSession, path: str, folder: str) -> None:
-    hadoop_fs.delete(spark, f"{path}/{folder}")
-    hadoop_fs.delete(spark, f"{path}/{TERMS}/{folder}")
+    for place in (folder, f"{TERMS}/{folder}", f"{IPS}/{folder}"):
+        hadoop_fs.delete(spark, f"{path}/{place}")
 
 
 def sweep(spark: SparkSession, path: str) -> list[str]:

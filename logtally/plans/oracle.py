@@ -282,6 +282,8 @@ ORACLE.update({
     "store_terms_top_ip": ORACLE["top_ip"],
     "store_terms_ips": ORACLE["ip_bytes"],
     "store_terms_distinct_ips": ORACLE["distinct_ips"],
+    "store_top_ips_pruned": ORACLE["top_ips_10"],
+    "store_top_ip_pruned": ORACLE["top_ip"],
     "store_breakdown_serde": HARD + _breakdown(
         "(SELECT TRY_CAST(status AS INTEGER) AS status, bytes FROM serde WHERE request IS NOT NULL)",
         "bytes DESC NULLS LAST, status DESC NULLS LAST",

@@ -422,6 +422,18 @@ def store_terms_distinct_ips(spark, sf_dir):
     return R.distinct_values(store.read_terms(spark, _store_in_parts(spark, sf_dir)), "ip")
 
 
+def store_top_ips_pruned(spark, sf_dir):
+    """The top IPs from the store's sums by IP, of which only the large ones are read."""
+    path = _store_of(spark, sf_dir)
+    store.compact(spark, path)
+    return R.top_ips(store.top_entries(spark, path, TOP_N), TOP_N)
+
+
+def store_top_ip_pruned(spark, sf_dir):
+    path = _store_of(spark, sf_dir)
+    return R.top_ip(store.top_entries(spark, path, 1))
+
+
 def store_breakdown_serde(spark, sf_dir):
     """SerDe records, whose statuses have no bound, from the store: the total is a scalar
     subquery."""
@@ -641,6 +653,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "store_terms_top_ip": store_terms_top_ip,
     "store_terms_ips": store_terms_ips,
     "store_terms_distinct_ips": store_terms_distinct_ips,
+    "store_top_ips_pruned": store_top_ips_pruned,
+    "store_top_ip_pruned": store_top_ip_pruned,
     "store_breakdown_serde": store_breakdown_serde,
     "ingest_rejects": ingest_rejects,
     "ingest_rejects_serde": ingest_rejects_serde,

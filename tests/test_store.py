@@ -211,6 +211,30 @@ def test_terms_equal_the_records(spark, lines_df):
     assert store.read_terms(spark, scratch_path(spark, "t-none")).collect() == []
 
 
+def test_top_ips_read_few_entries(spark, lines_df):
+    """The exact top IPs of three dictionaries, with ties; most entries are never candidates."""
+    path = scratch_path(spark, "t-top")
+    rnd = random.Random(8)
+    for k in range(3):
+        some = [line(f"10.{i % 250}.{i // 250}.1", 200, rnd.randrange(50)) for i in range(3000)]
+        some += [line(f"20.0.0.{i}", 404, 100_000 * (1 + i % 4), f"/{k}") for i in range(12)]
+        some += [line("30.0.0.1", 200, 2**62), line("30.0.0.1", 200, 2**62), line("30.0.0.2", 200, 0)]
+        store.ingest_lines(lines_df([*some, 'h - u [x] "G /d" 200 7']), path, segment=f"s{k}")
+        if k == 1:
+            store.compact(spark, path)
+    want = {n: R.top_ips(store.read_store(spark, path), n).collect() for n in (1, 3, 7, 5000)}
+    assert want[1][0].bytes == 6 * 2**62
+    for n, rows in want.items():
+        entries = store.top_entries(spark, path, n)
+        assert R.top_ips(entries, n).collect() == rows
+        assert n > 12 or entries.count() <= 13 * 3  # of some 6,000
+    assert R.top_ip(store.top_entries(spark, path, 1)).collect() == R.top_ip(store.read_store(spark, path)).collect()
+    store.ingest_lines(lines_df([line("1.1.1.1", 200, -5), line("2.2.2.2", 200, 3)]), path, segment="s0")  # replaced in a run
+    for n in (1, 3, 7):
+        assert R.top_ips(store.top_entries(spark, path, n), n).collect() == R.top_ips(store.read_store(spark, path), n).collect()
+    assert R.top_ips(store.top_entries(spark, scratch_path(spark, "t-none"), 3), 3).collect() == []
+
+
 def test_share_of_many_statuses_gathers_no_groups(spark, lines_df):
     path = scratch_path(spark, "t-open")
     store.append(spark.range(20_000).selectExpr(
