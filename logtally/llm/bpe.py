@@ -8,8 +8,9 @@ pre-token is a linked list of symbols and a heap of adjacent pairs; the lowest-r
 is popped and merged until none is left, and the count is symbols minus merges. Both take
 ``O(n log n)`` in a pre-token's length, so a text without any space is no special case.
 
-Texts stream through ``mapInArrow`` in Arrow batches; the tokenizer file (of fixed size)
-is broadcast, its tables are built once per Python worker, and short pre-tokens are kept
+Texts stream through ``mapInArrow`` in Arrow batches, of which a worker holds ``SLICE`` texts or
+``SLICE_BYTES`` at once (or one longer text); encoding and decoding in one step keeps one
+Python worker a task. The tokenizer file (of fixed size) is broadcast, its tables are built once per Python worker, and short pre-tokens are kept
 in a memo of at most twice ``MEMO`` entries, the least lately used half going first.
 
 Defined results: a null text is encoded like an empty one (no ids); repeated rows are
@@ -27,6 +28,7 @@ from array import array
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +44,7 @@ PRE_TOKEN = (
 MEMO = 1 << 17
 MEMO_CHARS = 48
 SLICE = 512
+SLICE_BYTES = 1 << 22
 ID_BITS = 20
 NEVER = 1 << 62  # the rank of a pair that does not merge
 
@@ -219,11 +222,19 @@ def little(ids: array) -> bytes:
     return ids.tobytes()
 
 
-def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches in parts of at most ``SLICE`` rows, so few texts are Python objects at once."""
+def slices(batches: Iterator[pa.RecordBatch], text: int = -1) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``SLICE`` rows and ``SLICE_BYTES`` of column ``text`` (or
+    one row), so few texts are Python objects at once."""
     for b in batches:
-        for at in range(0, b.num_rows, SLICE):
-            yield b.slice(at, SLICE)
+        sizes = pc.fill_null(pc.binary_length(b.column(text)), 0).to_pylist()
+        at = held = 0
+        for i, size in enumerate(sizes):
+            if i > at and (i - at >= SLICE or held + size > SLICE_BYTES):
+                yield b.slice(at, i - at)
+                at, held = i, 0
+            held += size
+        if at < len(sizes):
+            yield b.slice(at)
 
 
 def worker_state(key: str, build: Callable[[], object]) -> object:
@@ -281,6 +292,28 @@ def decode_documents(
     return rows.mapInArrow(run, ", ".join([*kept, "decoded string"]))
 
 
+def roundtrip_documents(
+    docs: DataFrame, tokenizer: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
+    """The ``keep`` columns, ``n_tokens``, ``ids`` and ``decoded``, the text of the ids: encoding
+    and decoding in one step."""
+    load = _load(docs, tokenizer)
+
+    def run(batches):
+        model = load()
+        for b in slices(batches):
+            ids = [model.encode(t or "") for t in b.column(b.num_columns - 1).to_pylist()]
+            cols = [b.column(i) for i in range(b.num_columns - 1)]
+            cols += [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+            cols.append(pa.array([model.decode(x) for x in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    rows = docs.select(*(docs[c] for c in keep), docs[text_col].alias("bpe_text"))
+    names = [*keep, "n_tokens", "ids", "decoded"]
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
+    return rows.mapInArrow(run, ", ".join([*kept, "n_tokens long", "ids binary", "decoded string"]))
+
+
 def count_tokens(
     docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 512
 ) -> DataFrame:
@@ -290,7 +323,7 @@ def count_tokens(
 
     def run(batches):
         model = load()
-        for b in slices(batches):
+        for b in slices(batches, 1):
             counts = [model.count(t or "") for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array(counts, pa.int64())], names=["id", "n_bytes", "n_tokens"]

@@ -32,11 +32,9 @@ def tokenizer_path() -> str:
 
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
-    encoded = bpe.encode_documents(_table(spark, sf_dir, "documents"), path)
-    digest = F.sha2("ids", 256).alias("ids_sha256")
-    decoded = bpe.decode_documents(encoded.select("doc_id", "n_tokens", digest, "ids"), path, ("doc_id", "n_tokens", "ids_sha256"))
-    return decoded.select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    coded = bpe.roundtrip_documents(_table(spark, sf_dir, "documents"), path)
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
     )
 
 
