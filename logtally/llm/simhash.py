@@ -1,14 +1,18 @@
-"""SimHash near-duplicates by a join of fingerprints on common neighbours.
-
-Two fingerprints at most d bits apart have a common neighbour at most d // 2 bits from one
-and d - d // 2 bits from the other. So every fingerprint is indexed under all its
-neighbours of the larger radius, and those that meet under a neighbour are linked to the
-smallest one within the smaller radius: all these links are at most d bits long, and no
-connection is lost though pairs are not listed. This stands in for multi-index hashing with
-one table per segment, whose buckets would hold all near copies of a text: under a whole
-neighbour at most 65 different fingerprints can meet for d = 2 (2,081 for 3 and 4), however
-many near copies there are. A fingerprint has as many keys: 65 for d = 1 and 2, 2,081 for 3
-and 4, 43,745 for 5 and 6.
+"""SimHash near-duplicates by multi-index hashing.
+
+A fingerprint is cut into segments, so many that two fingerprints at most d bits apart differ
+in at most one bit of some segment. There is one table per segment: every fingerprint lies
+in the bucket of its segment's value, and is sought in the buckets of the values in a
+small Hamming ball around it (the value, and each with one more bit set; of two values a
+bit apart one finds the other). What meets in a bucket is verified on all 64 bits.
+
+All near copies of a text meet in one bucket, where pairs would grow with the square. A
+bucket of more than ``HOT`` fingerprints is split exactly, by whole neighbours: two
+fingerprints at most d bits apart have a common neighbour at most d // 2 bits from one and
+d - d // 2 bits from the other. Each is listed under its neighbours of the larger radius
+(65 for d = 1 and 2, 2,081 for 3 and 4), and those that meet under one are linked to the
+smallest within the smaller radius. At most as many meet there as there are neighbours, all
+links are at most d bits long, and no connection is lost though pairs are not listed.
 
 Documents are first reduced to distinct fingerprints; a group of copies is one of them.
 Components are found by contraction (see ``components``).
@@ -31,6 +35,7 @@ from logtally.llm.components import components
 
 SEED = 42
 BLOCK = 1 << 15  # shingles whose bits are counted at once
+HOT = 128  # rows of a bucket that are compared pair by pair
 
 
 def fingerprint(text: str | None, words: int = 3) -> int:
@@ -81,17 +86,54 @@ def ball(fp: Column, radius: int) -> Column:
     return F.concat(*rings)
 
 
-def links(distinct: DataFrame, max_bits: int) -> DataFrame:
+def _places(fp: Column, segment: int, a: int, b: int, seek: bool) -> Column:
+    """Where a fingerprint lies and, with ``seek``, is sought in the table of bits ``a`` to ``b``."""
+    entry = lambda v, own: F.struct(F.lit(segment).alias("segment"), v.alias("value"), F.lit(own).alias("own"))
+    bit = lambda j: F.call_function("shiftleft", F.lit(1).cast("long"), j)
+    value = F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1))
+    own = F.array(entry(value, True))
+    if not seek:
+        return own
+    clear = F.filter(F.sequence(F.lit(0), F.lit(b - a - 1)), lambda j: value.bitwiseAND(bit(j)) == 0)
+    return F.concat(own, F.transform(clear, lambda j: entry(value.bitwiseOR(bit(j)), False)))
+
+
+def tables(fp: Column, max_bits: int) -> Column:
+    """Where a fingerprint lies (``own``) and is sought: ``(segment, value, own)`` of every table."""
+    number = max(2, -(-(max_bits + 1) // 2))
+    edges = [64 * k // number for k in range(number + 1)]
+    pairs = zip(edges, edges[1:], strict=False)
+    return F.concat(*(_places(fp, k, a, b, max_bits >= number) for k, (a, b) in enumerate(pairs)))
+
+
+def links(distinct: DataFrame, max_bits: int, hot: int = HOT) -> DataFrame:
     """Links ``(a, b)`` between fingerprints (column ``fp``) at most ``max_bits`` apart:
-    the same components as all such pairs, without listing them."""
+    the same components as all such pairs."""
     if max_bits < 0:
         raise ValueError("fingerprints link at 0 or more bits")
     if max_bits == 0:
         return distinct.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
+    rows = distinct.select("fp", F.explode(tables(F.col("fp"), max_bits)).alias("t")).select("fp", "t.*")
+    sizes = rows.groupBy(F.col("segment").alias("of_segment"), F.col("value").alias("of_value")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("own").alias("held")
+    )
+    here = (F.col("segment") == F.col("of_segment")) & (F.col("value") == F.col("of_value"))
+    met = reliable(rows.join(sizes.where("n > 1 AND held"), here).select("segment", "value", "fp", "own", "n"))
+    few = met.where(F.col("n") <= hot)
+    mine = few.where("own").select(F.col("segment").alias("of_segment"), F.col("value").alias("of_value"), F.col("fp").alias("a"))
+    pairs = few.withColumnRenamed("fp", "b").join(mine, here)
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
+    pairs = pairs.where(near & ((F.col("a") < F.col("b")) | ~F.col("own"))).select("a", "b")
+    many = met.where(F.col("n") > hot)
+    return pairs.union(neighbour_links(many, max_bits, ("segment", "value")))
+
+
+def neighbour_links(rows: DataFrame, max_bits: int, within: tuple[str, ...]) -> DataFrame:
+    """Links between fingerprints of one bucket (columns ``within``) by their common neighbours."""
     inner = max_bits // 2
-    index = distinct.select("fp", F.explode(ball(F.col("fp"), max_bits - inner)).alias("key"))
+    index = rows.select(*within, "fp", F.explode(ball(F.col("fp"), max_bits - inner)).alias("key"))
     close = F.bit_count(F.col("fp").bitwiseXOR(F.col("key"))) <= inner
-    centre = F.min(F.when(close, F.col("fp"))).over(Window.partitionBy("key"))
+    centre = F.min(F.when(close, F.col("fp"))).over(Window.partitionBy(*within, "key"))
     return index.withColumn("centre", centre).where("fp <> centre").select(F.col("centre").alias("a"), F.col("fp").alias("b"))
 
 

@@ -401,8 +401,8 @@ def test_simhash(docs, none, rows):
     assert simhash.near_duplicates(none).collect() == [] and simhash.deduped_documents(none).collect() == []
 
 
-@pytest.mark.parametrize("max_bits", [0, 1, 2])
-def test_simhash_links_in_dense_groups(spark, max_bits):
+@pytest.mark.parametrize(("max_bits", "hot"), [(0, 1), (1, 1), (1, 1000), (2, 1), (2, 20), (2, 1000), (3, 30)])
+def test_simhash_links_in_dense_groups(spark, max_bits, hot):
     rng = np.random.default_rng(3)
     fps = set()
     for _ in range(6):
@@ -414,7 +414,7 @@ def test_simhash_links_in_dense_groups(spark, max_bits):
             fps.add(f)
     fps = sorted(fps)
     df = spark.createDataFrame([(f,) for f in fps], "fp long")
-    got = {r.node: r.component for r in components.components(simhash.links(df, max_bits)).collect()}
+    got = {r.node: r.component for r in components.components(simhash.links(df, max_bits, hot)).collect()}
     parent = {f: f for f in fps}
 
     def root(f):
