@@ -1,10 +1,18 @@
 """Chat formatting by event-sourced reconstruction.
 
-A conversation is a log of events ordered by ``seq``: ``start`` opens a message with its
-role, ``delta`` appends text, ``edit`` replaces the message's text, ``regenerate`` drops
-it so that later deltas write it anew. Folding needs only each message's last reset: its
-text is what ``start``/``edit``/``regenerate`` left plus the deltas after it. Messages
-are folded first, one small group each, then laid out in order per conversation.
+A conversation is a log of events with one ``seq`` for the whole conversation; events of its
+messages may interleave. ``start`` opens a message with its role, ``delta`` appends text,
+``edit`` replaces ``size`` code points from ``at`` on (without ``at``: the whole text),
+``regenerate`` drops the text so that later deltas write it anew. A message is folded from
+its last reset (a start, a regeneration or an edit of the whole text) on, in order of
+``seq``; conversations are laid out by the sequence of their messages' starts.
+
+Any log of these columns can be folded and rendered: message names are only compared for
+equality, a message without a start begins with its first event, other kinds of events
+change nothing, an edit beyond the end appends. ``conversation_events`` makes such a log
+from a table of final turns: user messages are first sent with a wrong opening and then
+edited there, assistant messages are regenerated, and the last event of each message comes
+after those of the next one.
 
 The template writes a turn as ``<turn>ROLE newline TEXT</turn> newline``. Inside role and
 text ``\\`` becomes ``\\b`` and ``<`` becomes ``\\l`` (in roles a newline ``\\n``), so no
@@ -19,11 +27,12 @@ one output row, so its size is bounded by what a row can hold (2 GB).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OPEN, CLOSE = "<turn>", "</turn>\n"
 CHUNK = 512  # code points of one streamed delta
+EVENTS = 1 << 40  # numbers kept free for the events of one message
 ASSISTANT = "assistant"
 
 
@@ -44,83 +53,103 @@ def unescape_role(role: Column) -> Column:
 
 
 def conversation_events(conversations: DataFrame) -> DataFrame:
-    """The event log behind a table of final turns: ``(conv_id, message, seq, kind, role,
-    text)``. Every message streams in deltas; an assistant message is first drafted from
-    its opening chunk and regenerated, a user message is first sent without its last chunk
-    and then edited. ``message`` orders the messages of a conversation."""
+    """The event log behind a table of final turns: ``(conv_id, message, seq, kind, role, at,
+    size, text)``. Turns are numbered by turn, role and text."""
     c = conversations
-    text = F.coalesce(c["text"], F.lit(""))
-    message = F.struct(
+    rows = c.select(
+        c["conv_id"].alias("conv_id"),
         c["turn"].alias("turn"),
         F.coalesce(c["role"], F.lit("")).alias("role"),
-        F.xxhash64(text).alias("text_hash"),
-        F.monotonically_increasing_id().alias("row"),
+        F.coalesce(c["text"], F.lit("")).alias("t"),
     )
-    rows = c.select(c["conv_id"].alias("conv_id"), message.alias("message"), text.alias("t"))
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "t")
+    rows = rows.withColumn("message", F.row_number().over(order).cast("long"))
     pieces = F.transform(
         F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.char_length("t") - 1) / CHUNK).cast("int"))),
         lambda i: F.substr("t", i * CHUNK + 1, F.lit(CHUNK)),
     )
-    event = lambda kind, text: F.struct(F.lit(kind).alias("kind"), text.alias("text"))
-    empty = F.lit("")
-    deltas = F.transform("p", lambda x: event("delta", x))
+    none = F.lit(None).cast("int")
+
+    def event(kind: str, text: Column, at: Column = none, size: Column = none) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), text.alias("text"), at.alias("at"), size.alias("size"))
+
+    empty, first = F.lit(""), F.substr("t", F.lit(1), F.lit(1))
+    deltas = lambda p: F.transform(p, lambda x: event("delta", x))
+    wrong = F.concat(F.array(F.concat(F.lit("?"), F.substr(F.get("p", F.lit(0)), F.lit(2)))), F.slice("p", 2, F.size("p")))
     log = (
         F.when(
-            F.col("message.role") == ASSISTANT,
+            F.col("role") == ASSISTANT,
             F.concat(
                 F.array(event("start", empty), event("delta", F.get("p", F.lit(0))), event("regenerate", empty)),
-                deltas,
+                deltas(F.col("p")),
             ),
         )
         .when(
-            F.col("message.role") == "user",
-            F.concat(
-                F.array(event("start", empty)),
-                F.slice(deltas, 1, F.size("p") - 1),
-                F.array(event("edit", F.col("t"))),
-            ),
+            F.col("role") == "user",
+            F.concat(F.array(event("start", empty)), deltas(wrong), F.array(event("edit", first, F.lit(0), F.lit(1)))),
         )
-        .otherwise(F.concat(F.array(event("start", empty)), deltas))
-    )
-    rows = rows.withColumn("p", pieces)
-    return rows.select("conv_id", "message", F.posexplode(log).alias("seq", "e")).select(
-        "conv_id", "message", "seq", "e.kind", F.col("message.role").alias("role"), "e.text"
+        .otherwise(F.concat(F.array(event("start", empty)), deltas(F.col("p"))))
     )
+    rows = rows.withColumn("p", pieces).withColumn("log", log)
+    rows = rows.select("conv_id", "message", "role", F.size("log").alias("n"), F.posexplode("log").alias("k", "e"))
+    # The last event comes in the middle of the next message's numbers, behind its events.
+    last = (F.col("k") == F.col("n") - 1) & (F.col("k") > 0)
+    seq = (F.col("message") + last.cast("long")) * EVENTS + F.when(last, F.lit(EVENTS // 2)).otherwise(F.col("k"))
+    return rows.select("conv_id", "message", seq.alias("seq"), "e.kind", "role", "e.at", "e.size", "e.text")
 
 
 def fold_events(events: DataFrame) -> DataFrame:
-    """``(conv_id, message, role, text)``: the final state of every message."""
-    reset = F.max(F.when(F.col("kind") != "delta", F.col("seq")))
-    folded = events.groupBy("conv_id", "message").agg(
+    """``(conv_id, message, start, role, text)``: the final state of every message, and the
+    ``seq`` it began with. ``at`` and ``size`` may be missing."""
+    none = F.lit(None).cast("int")
+    at, size = (F.col(c).cast("int") if c in events.columns else none for c in ("at", "size"))
+    log = events.select(
+        "conv_id", "message", "seq", "kind", "role", at.alias("at"), F.greatest(F.coalesce(size, F.lit(0)), F.lit(0)).alias("size"),
+        F.coalesce("text", F.lit("")).alias("text"),
+    )
+    whole = F.col("kind").isin("start", "regenerate") | ((F.col("kind") == "edit") & F.col("at").isNull())
+    folded = log.groupBy("conv_id", "message").agg(
         F.max("role").alias("role"),
-        F.coalesce(reset, F.lit(-1)).alias("reset"),
-        F.collect_list(F.struct("seq", "text")).alias("log"),
+        F.coalesce(F.min(F.when(F.col("kind") == "start", F.col("seq"))), F.min("seq")).alias("start"),
+        F.coalesce(F.max(F.when(whole, F.col("seq"))), F.min("seq")).alias("reset"),
+        F.collect_list(F.struct("seq", "kind", "at", "size", "text")).alias("log"),
     )
-    left = F.filter("log", lambda e: e["seq"] >= F.col("reset"))
-    text = F.array_join(F.transform(F.sort_array(left), lambda e: e["text"]), "")
-    return folded.select("conv_id", "message", F.coalesce("role", F.lit("")).alias("role"), text.alias("text"))
+    left = F.sort_array(F.filter("log", lambda e: e["seq"] >= F.col("reset")))
+
+    def step(text: Column, e: Column) -> Column:
+        place = F.greatest(e["at"], F.lit(0))
+        edited = F.concat(F.substr(text, F.lit(1), place), e["text"], F.substr(text, place + e["size"] + 1))
+        return (
+            F.when(e["kind"] == "delta", F.concat(text, e["text"]))
+            .when((e["kind"] == "edit") & e["at"].isNotNull(), edited)
+            .when(e["kind"].isin("start", "edit", "regenerate"), e["text"])
+            .otherwise(text)
+        )
+
+    text = F.aggregate(left, F.lit(""), step)
+    return folded.select("conv_id", "message", "start", F.coalesce("role", F.lit("")).alias("role"), text.alias("text"))
 
 
 def render(messages: DataFrame) -> DataFrame:
-    """``(conv_id, n_turns, formatted, loss_mask)``, one row per conversation."""
+    """``(conv_id, n_turns, formatted, loss_mask)``, one row per conversation: its messages by
+    their starts."""
     head = F.concat(F.lit(OPEN), escape_role(F.col("role")), F.lit("\n"))
     turns = messages.select(
         "conv_id",
-        "message",
+        "start",
         head.alias("head"),
         escape(F.col("text")).alias("body"),
         (F.col("role") == ASSISTANT).alias("learn"),
     ).select(
         "conv_id",
-        "message",
-        "body",
+        "start",
         F.concat("head", "body", F.lit(CLOSE)).alias("rendered"),
         F.struct(
             F.char_length("head").alias("skip"),
             F.when(F.col("learn"), F.char_length("body")).otherwise(0).alias("take"),
         ).alias("mask"),
     )
-    order = F.struct("message.turn", "message.role", "body", "message.row", "rendered", "mask")
+    order = F.struct("start", "rendered", "mask")
     laid = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(order)).alias("x"))
     return laid.select(
         "conv_id",

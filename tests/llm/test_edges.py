@@ -349,6 +349,61 @@ def test_chat_events_fold(spark):
     assert got == {1: ("user", "Bye!"), 2: ("assistant", "final")}
 
 
+def fold_brute(log):
+    """Final messages of one conversation's events, by the sequence of their starts."""
+    texts, roles, starts = {}, {}, {}
+    for seq, message, kind, role, at, size, text in sorted(log, key=lambda e: e[0]):
+        now, text = texts.setdefault(message, ""), text or ""
+        roles[message] = max(filter(None, (roles.get(message), role)), default=None)
+        starts.setdefault(message, []).append((kind != "start", seq))
+        if kind == "delta":
+            texts[message] = now + text
+        elif kind == "edit" and at is not None:
+            texts[message] = now[:at] + text + now[at + (size or 0) :]
+        elif kind in ("start", "edit", "regenerate"):
+            texts[message] = text
+    return [(roles[m] or "", texts[m]) for m in sorted(starts, key=lambda m: min(starts[m])[1])]
+
+
+def test_chat_foreign_logs(spark):
+    """Logs that this module did not make: messages named by text, events of several messages
+    interleaved, partial edits, several regenerations, unknown kinds, no start."""
+    rng = np.random.default_rng(6)
+    logs = {}
+    for conv in range(40):
+        seqs = rng.permutation(1000)[: int(rng.integers(1, 30))].tolist()
+        log, begun = [], set()
+        for seq in sorted(seqs):
+            m = f"m{rng.integers(4)}"
+            kind = "start" if m not in begun and rng.random() < 0.9 else str(rng.choice(["delta", "delta", "edit", "regenerate", "note"]))
+            begun.add(m)
+            at = int(rng.integers(0, 9)) if kind == "edit" and rng.random() < 0.7 else None
+            text = None if kind in ("start", "regenerate") else "".join(rng.choice(list("ab<\\é"), int(rng.integers(0, 6))))
+            role = ("user", "assistant")[int(m[1]) % 2] if kind == "start" else None
+            log.append((seq, m, kind, role, at, None if at is None else int(rng.integers(0, 4)), text))
+        logs[conv] = log
+    rows = [(conv, *e) for conv, log in logs.items() for e in log]
+    schema = "conv_id long, seq long, message string, kind string, role string, at int, size int, text string"
+    df = spark.createDataFrame(rows, schema).repartition(7)
+    got = {r.conv_id: r for r in chat.read_back(chat.render(chat.fold_events(df))).collect()}
+    for conv, log in logs.items():
+        want = fold_brute(log)
+        assert [tuple(t) for t in got[conv].turns] == want, conv
+        assert got[conv].loss_text == "".join(x for role, x in want if role == "assistant")
+
+
+def test_chat_events_interleave(spark):
+    """The events made from turns: numbered per conversation, earlier deltas count."""
+    df = spark.createDataFrame([(1, 0, "user", "abc"), (1, 1, "assistant", "d" * 1200), (1, 2, "user", "")], "conv_id int, turn int, role string, text string")
+    events = sorted(chat.conversation_events(df).collect(), key=lambda e: e.seq)
+    assert len({e.seq for e in events}) == len(events)
+    order = [e.message for e in events]
+    assert order != sorted(order)  # a message's last event comes after the next one's start
+    assert [e.text for e in events if e.message == 1] == ["", "?bc", "a"]
+    turns = chat.read_back(chat.format_conversations(df)).first().turns
+    assert [tuple(t) for t in turns] == [("user", "abc"), ("assistant", "d" * 1200), ("user", "")]
+
+
 def test_substring(docs, none, rows):
     known = [(r[0], r[1]) for r in rows if r[0] is not None]
     want = brute.substring_dedup(known)
