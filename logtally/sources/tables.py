@@ -28,7 +28,8 @@ def create_log_table(
     if location:
         # The location must exist; an empty text write creates it and leaves data alone.
         spark.createDataFrame([], "line string").write.mode("ignore").text(location)
-        where = f" LOCATION '{location}'"
+        escaped = location.replace("\\", "\\\\").replace("'", "\\'")
+        where = f" LOCATION '{escaped}'"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {_quote(name)} (line STRING) USING text{where}")
     return name
 

@@ -174,6 +174,15 @@ def test_tables_load_overwrite_and_sql(spark, lines_df):
     assert os.path.isdir(location.replace("file:", ""))  # external: files survive the drop
 
 
+def test_table_location_with_a_quote(spark, lines_df):
+    location = scratch_path(spark, "t-it's a table")
+    name = tables.create_log_table(spark, "logtally_t_quote", location=location)
+    tables.load_lines(spark, name, lines_df(LINES))
+    assert sorted(r.line for r in spark.table(name).collect()) == sorted(LINES)
+    tables.drop_table(spark, name)
+    assert read_lines(spark, location).count() == len(LINES)
+
+
 def test_store_takes_serde_records(spark, lines_df):
     """SerDe records (strings, ``-`` allowed) are typed on the way in; the store reads back."""
     lines = [
