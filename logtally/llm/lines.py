@@ -70,16 +70,38 @@ def _again(s: Column, e: Column, k: Column) -> Column:
     return F.coalesce(F.get(s, k - 1)["h"] == e["h"], F.lit(False))
 
 
-def own_lines(text: Column) -> Column:
-    """``n``, the lines with a word, and ``repeats``, the numbers of those that repeat an
-    earlier line of the same text."""
-    return let(
-        _entries(_plain(text)),
-        lambda s: F.struct(
-            F.size(s).cast("long").alias("n"),
-            F.transform(F.filter(s, lambda e, k: _again(s, e, k)), lambda e: e["i"]).alias("repeats"),
-        ),
-    )
+def parsed_documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The lines of all documents, cut once and written without their texts. One row per
+    document and different line (one without a line, if it has none): ``doc``, ``text_hash``;
+    hashes ``h`` and ``check`` and number ``i`` of the line and the hashes of its halves; in a
+    document's first row also ``n``, its lines with a word, and ``repeats``, the numbers of
+    those that repeat an earlier one."""
+    ints = "array<int>"
+
+    def lines(plain: Column, s: Column) -> Column:
+        repeats = F.transform(F.filter(s, lambda e, k: _again(s, e, k)), lambda e: e["i"])
+        each = F.transform(
+            F.filter(s, lambda e, k: ~_again(s, e, k)),
+            lambda e, k: F.struct(
+                e["h"].alias("h"),
+                e["i"].alias("i"),
+                F.trim(F.get(plain, e["i"])).alias("x"),
+                F.when(k == 0, F.size(s).cast("long")).alias("n"),
+                F.when(k == 0, repeats).alias("repeats"),
+            ),
+        )
+        nothing = {"h": "long", "i": "int", "x": "string"}
+        none = [F.lit(None).cast(t).alias(c) for c, t in nothing.items()]
+        empty = F.array(F.struct(*none, F.lit(0).cast("long").alias("n"), F.array().cast(ints).alias("repeats")))
+        return F.when(F.size(s) == 0, empty).otherwise(each)
+
+    # One generator, so that the lines are cut once whatever is read of them.
+    found = let(_plain(docs[text_col]), lambda plain: let(_entries(plain), lambda s: lines(plain, s)))
+    rows = docs.select(docs[id_col].alias("doc"), F.xxhash64(docs[text_col]).alias("text_hash"), F.explode(found).alias("e"))
+    x = F.col("e.x")
+    halves = (F.when(x.isNotNull(), c).alias(k) for k, c in _halves(x, _count(x)).items())
+    check = F.when(x.isNotNull(), F.hash(x)).alias("check")
+    return stored(rows.select("doc", "text_hash", "e.h", check, "e.i", *halves, "e.n", "e.repeats"), "line-hashes")
 
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -289,16 +311,16 @@ def _later_similar(lines: DataFrame) -> DataFrame:
 
 
 def removed_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int | None = 1
+    docs: DataFrame, parsed: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int | None = 1
 ) -> DataFrame:
     """``(doc, text_hash, near, gone)`` for every document that repeats or nearly repeats a
-    line of an earlier place: how many of its lines are near ones, and their numbers."""
+    line of an earlier place: how many of its lines are near ones, and their numbers.
+    ``parsed`` is what :func:`parsed_documents` gave for ``docs``."""
     if edits not in (1, None):
         raise ValueError("edits are one, or None for a fifth of the longer line")
     found = occurrences(docs, id_col, text_col)
-    halves = found.withColumn("n", _count(F.col("x")))
-    halves = halves.select("doc", "h", "check", *(c.alias(k) for k, c in _halves(F.col("x"), F.col("n")).items()))
-    distinct = halves.groupBy("h", "check").agg(
+    lines = parsed.where(F.col("h").isNotNull())
+    distinct = lines.groupBy("h", "check").agg(
         F.min("doc").alias("first"),
         F.count(F.lit(1)).alias("times"),
         *(F.max(c).alias(c) for c in ("p1", "s1", "p2", "s2")),
@@ -318,7 +340,7 @@ def removed_lines(
     none = F.lit(None).cast(distinct.schema["first"].dataType)
     again = distinct.where("times > 1").select("h", "check", "first", F.lit(False).alias("near"))
     verdict = again.union(near.select("h", "check", none, F.lit(True))).toDF("vh", "vc", "first", "near")
-    met = found.select("doc", "text_hash", "h", "check", "i").join(
+    met = lines.select("doc", "text_hash", "h", "check", "i").join(
         verdict, (F.col("h") == F.col("vh")) & (F.col("check") == F.col("vc"))
     )
     later = F.col("first").isNotNull() & (F.col("doc").isNull() | (F.col("doc") > F.col("first")))
@@ -327,18 +349,16 @@ def removed_lines(
     )
 
 
-def _marked(docs: DataFrame, id_col: str, text_col: str, edits: int | None, *keep: Column) -> DataFrame:
-    """``keep`` columns of every document, its ``own`` lines and the ``gone`` ones."""
-    rows = docs.select(
-        docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("hash"), own_lines(docs[text_col]).alias("own"), *keep
-    )
-    gone = removed_lines(docs, id_col, text_col, edits)
-    joined = rows.join(gone, F.col("id").eqNullSafe(F.col("doc")) & (F.col("hash") == F.col("text_hash")), "left")
+def _marked(docs: DataFrame, id_col: str, text_col: str, edits: int | None) -> DataFrame:
+    """``(id, hash, n, near, gone)`` of every document: its lines with a word, the near ones
+    among them, and the numbers of all that go."""
+    parsed = parsed_documents(docs, id_col, text_col)
+    gone = removed_lines(docs, parsed, id_col, text_col, edits)
+    own = parsed.where(F.col("n").isNotNull()).select(F.col("doc").alias("id"), F.col("text_hash").alias("hash"), "n", "repeats")
+    joined = own.join(gone, F.col("id").eqNullSafe(F.col("doc")) & (F.col("hash") == F.col("text_hash")), "left")
     # A repeat inside the document goes with or without its first line.
-    gone = F.array_union("own.repeats", F.coalesce("gone", F.array().cast("array<int>")))
-    return joined.select("id", "own", F.coalesce("near", F.lit(0)).alias("near"), F.sort_array(gone).alias("gone"), *(
-        F.col(c) for c in joined.columns if c == "row"
-    ))
+    gone = F.array_union("repeats", F.coalesce("gone", F.array().cast("array<int>")))
+    return joined.select("id", "hash", "n", F.coalesce("near", F.lit(0)).alias("near"), F.sort_array(gone).alias("gone"))
 
 
 def dedup_lines(
@@ -350,7 +370,7 @@ def dedup_lines(
     marked = _marked(docs, id_col, text_col, edits)
     return marked.select(
         F.col("id").alias(id_col),
-        F.col("own.n").alias("n_lines"),
+        F.col("n").alias("n_lines"),
         F.size("gone").cast("long").alias("n_removed"),
         F.col("near").cast("long").alias("n_near"),
         F.col("gone").alias("removed"),
@@ -362,7 +382,11 @@ def deduped_documents(
 ) -> DataFrame:
     """``docs`` with the removed lines taken out of the text, columns unchanged; a document
     that loses all its lines goes."""
-    marked = _marked(docs, id_col, text_col, edits, F.struct("*").alias("row"))
+    marked = _marked(docs, id_col, text_col, edits).dropDuplicates(["id", "hash"])
+    rows = docs.select(
+        docs[id_col].alias("doc"), F.xxhash64(docs[text_col]).alias("text_hash"), F.struct("*").alias("row")
+    )
+    marked = rows.join(marked, F.col("doc").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")))
     text = F.col("row")[text_col]
     kept = let(
         F.split(text, "\n"),
@@ -374,7 +398,7 @@ def deduped_documents(
         ),
     )
     kept = F.when(F.size("gone") == 0, text).otherwise(kept)
-    left = marked.where((F.size("gone") == 0) | (F.size("gone") < F.col("own.n")))
+    left = marked.where((F.size("gone") == 0) | (F.size("gone") < F.col("n")))
     return left.select("row", kept.alias("text_left")).select(
         *(F.col("text_left").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns)
     )
