@@ -104,6 +104,13 @@ def main() -> None:
     t0 = time.perf_counter()
     store.compact(spark, spread, compacted)
     timings["compact_spread"] = round(time.perf_counter() - t0, 4)
+    # In place: merging a small append leaves the large run alone.
+    first = store_paths[0]
+    store.compact(spark, first)
+    store.ingest_lines(hard_lines(spark, sf_dir).where("event_id % 1000 = 0").select("line"), first)
+    t0 = time.perf_counter()
+    store.compact(spark, first)
+    timings["compact_small_append"] = round(time.perf_counter() - t0, 4)
     spread_ip = store.read_store(spark, spread).where("ip <> '9.9.9.9'").first().ip
 
     def store_ip_20_appends():
@@ -135,6 +142,12 @@ def main() -> None:
     def store_top_ip():
         return R.top_ip(store.read_store(spark, store_path)).collect()
 
+    def store_terms_global():
+        return R.status_breakdown(store.read_terms(spark, store_path)).collect()
+
+    def store_top_ip_pruned():
+        return R.top_ip(store.top_entries(spark, store_path, 1)).collect()
+
     def scan_status_map():
         return R.status_map(parse(read_lines(spark, text_dir), fields=R.REPORT_FIELDS)).collect()
 
@@ -149,6 +162,8 @@ def main() -> None:
         "store_top_ip": store_top_ip,
         "scan_status_map": scan_status_map,
         "store_ip_20_appends": store_ip_20_appends,
+        "store_terms_global": store_terms_global,
+        "store_top_ip_pruned": store_top_ip_pruned,
         "store_ip_compacted": store_ip_compacted,
     }
     timings.update(_timed_interleaved({**headline, **extra}, repeat))

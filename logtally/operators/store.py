@@ -223,7 +223,7 @@ def ingest_lines(
     lines: DataFrame,
     path: str,
     dialect: str = "combined",
-    on_bad_bytes: str | None = None,
+    on_bad_bytes: str | None = "drop",
     segment: str | None = None,
     partitions: int | None = None,
 ) -> str:

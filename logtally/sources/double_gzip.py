@@ -295,7 +295,9 @@ def _read_members(files: DataFrame, batch_lines: int) -> DataFrame:
     return read.where("place = 0").select("line", "path").unionByName(pieces.mapInArrow(_rejoin, LINE_SCHEMA))
 
 
-def _write_partition(batches: Iterator[pd.DataFrame], out_dir: str, line_col: str, level: int, member_bytes: int | None):
+def _write_partition(
+    batches: Iterator[pd.DataFrame], out_dir: str, line_col: str, level: int, member_bytes: int | None = None
+):
     from pyspark import TaskContext
 
     ctx = TaskContext.get()
