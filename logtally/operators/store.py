@@ -69,6 +69,9 @@ TERM_SCHEMA = "ip string, status int, hits long, counted long, bytes_p0 long, by
 IP_BUCKETS = 64  # of a run at least
 BUCKET_BYTES = 1 << 32
 TIER = 2.0
+TASK_BYTES = 1 << 28  # of rows in memory that a task of a compaction sorts, at most on average
+LEAST_TASK_BYTES = 1 << 24  # the same where there are more cores than tasks
+ROW_BYTES = 160  # of a row in memory besides its texts
 IP_SCHEMA = "ip string, top long, hits long, bytes_p0 long, bytes_p1 long, bytes_p2 long"
 HEAD = 4  # entries read per asked IP to find a lower bound
 
@@ -420,6 +423,32 @@ def _tier(state: State) -> list[dict]:
     return chosen
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows with ``outcome`` and ``ip_bucket`` dealt to tasks that hold about equal bytes in memory,
+    neighbouring buckets together and large ones in several tasks.
+
+    Sizes of shuffled blocks say little here: equal lines shrink a hundredfold in them. So
+    the rows' own bytes are added up by bucket first. A row's place in its bucket comes from
+    its place in the input, so neither a hot IP nor one repeated line is a key.
+    """
+    spark = rows.sparkSession
+    texts = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType)]
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(ROW_BYTES)).cast("long")
+    sizes = rows.groupBy("outcome", "ip_bucket").agg(F.sum(size).alias("held"))
+    groups, before = [], 0
+    for outcome, bucket, held in sorted(map(tuple, sizes.collect())):  # at most two rows a bucket
+        groups.append((outcome, bucket, before, held))
+        before += held
+    most = min(TASK_BYTES, max(LEAST_TASK_BYTES, before // spark.sparkContext.defaultParallelism))
+    tasks = max(1, -(-before // most))
+    places = spark.createDataFrame(groups, "outcome string, ip_bucket int, before long, held long")
+    # Drawn before the join, so that it follows the rows as they are read.
+    placed = rows.withColumn("_drawn", F.rand(0)).join(F.broadcast(places), ["outcome", "ip_bucket"], "left")
+    task = F.floor((F.col("before") + F.col("_drawn") * F.col("held")) / F.lit(before / tasks if before else 1.0))
+    task = F.least(F.coalesce(task, F.lit(0)), F.lit(tasks - 1)).cast("int")
+    return placed.withColumn("_task", task).repartitionById(tasks, "_task").select(*rows.columns)
+
+
 def compact(
     spark: SparkSession, path: str, target: str | None = None, buckets: int | None = None, full: bool = False
 ) -> str | None:
@@ -427,9 +456,9 @@ def compact(
     (None if there is nothing to merge).
 
     In place, or all of them into the store at ``target``; ``full`` merges every run. Rows keep
-    their segment's name. The hash exchange is a rebalance: adaptive execution splits a
-    bucket that is large (a hot IP) and joins small ones, so files follow the advisory
-    partition size, not the buckets.
+    their segment's name. Tasks get about ``TASK_BYTES`` of rows in memory each, parts of a
+    large bucket (a hot IP) or several small ones, so neither files nor the memory of a sort
+    follow the buckets.
     """
     state = _state(spark, path)
     pointer, out = state.pointer, target or path
@@ -443,7 +472,7 @@ def compact(
     name = new_segment_id()
     rows = _rows(spark, path, state, chosen, None)
     key = F.when(F.col("outcome") == "records", F.col("ip")).otherwise(F.col("line"))
-    rows = rows.withColumn("ip_bucket", ip_bucket(key, buckets)).hint("rebalance", F.col("outcome"), F.col("ip_bucket"))
+    rows = _dealt(rows.withColumn("ip_bucket", ip_bucket(key, buckets)))
     folder, order = f"{out}/run={name}", ("outcome", "ip_bucket", "ip", "status")
     rows.sortWithinPartitions(*order).write.options(**FILE_OPTIONS).partitionBy(*order[:2]).parquet(folder)
     _write_terms(_merged_terms(_terms(spark, path, state, chosen)), out, f"run={name}")

@@ -289,3 +289,25 @@ def test_files_of_an_append_follow_its_tasks(spark, lines_df):
     (segment,) = [n for n in os.listdir(path.removeprefix("file:")) if n.startswith("segment=")]
     found = [f for _, _, names in os.walk(f"{path.removeprefix('file:')}/{segment}") for f in names if f.endswith(".parquet")]
     assert len(found) <= 6
+
+
+def test_a_compaction_deals_a_hot_ip_to_many_tasks(spark, lines_df, monkeypatch):
+    """Half of the rows are one line, which shrinks to nothing in a shuffle: no task of the
+    compaction gets many more rows than its share of the bytes in memory."""
+    monkeypatch.setattr(store, "TASK_BYTES", 1 << 17)
+    monkeypatch.setattr(store, "LEAST_TASK_BYTES", 1 << 16)
+    path = scratch_path(spark, "t-hot-run")
+    same = [line("9.9.9.9", 200, 7)] * 6000
+    lines = [line(f"10.{i % 3}.{i % 40}.{i % 7}", 200 + i % 3, i) for i in range(5900)]
+    store.ingest_lines(lines_df(same + lines + ["no record"] * 100).coalesce(1), path)
+    want = sorted(map(tuple, store.read_store(spark, path).collect()))
+    run = store.compact(spark, path)
+    found = spark.read.parquet(f"{path}/run={run}").selectExpr("_metadata.file_path AS f", "ip")
+    tasks = found.groupBy(F.regexp_extract("f", r"part-(\d+)", 1)).agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("ip") == "9.9.9.9", 1)).alias("hot")
+    )
+    rows = tasks.collect()
+    assert sum(r["n"] for r in rows) == 12000 and max(r["n"] for r in rows) < 1500
+    assert sum(r["hot"] > 0 for r in rows) > 4
+    assert sorted(map(tuple, store.read_store(spark, path).collect())) == want
+    assert store.read_rejects(spark, path).count() == 100
