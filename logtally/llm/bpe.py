@@ -222,14 +222,16 @@ def little(ids: array) -> bytes:
     return ids.tobytes()
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: int = -1) -> Iterator[pa.RecordBatch]:
-    """The batches in parts of at most ``SLICE`` rows and ``SLICE_BYTES`` of column ``text`` (or
+def slices(
+    batches: Iterator[pa.RecordBatch], text: int = -1, most: int = SLICE, most_bytes: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``most`` rows and ``most_bytes`` of column ``text`` (or
     one row), so few texts are Python objects at once."""
     for b in batches:
         sizes = pc.fill_null(pc.binary_length(b.column(text)), 0).to_pylist()
         at = held = 0
         for i, size in enumerate(sizes):
-            if i > at and (i - at >= SLICE or held + size > SLICE_BYTES):
+            if i > at and (i - at >= most or held + size > most_bytes):
                 yield b.slice(at, i - at)
                 at, held = i, 0
             held += size

@@ -29,6 +29,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import re
@@ -40,12 +41,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logtally.llm.bpe import byte_chars, little, worker_state
-from logtally.llm.common import by_value
+from logtally.llm.bpe import byte_chars, little, slices, worker_state
+from logtally.llm.common import GAP_CHARS, by_value
 
 BLOCK = 4096
 PERCENT = 95
@@ -63,11 +65,35 @@ TRAILER, TRAILER_SIZE = "<5Q8s", struct.calcsize("<5Q8s")
 # up to the next. (U+001C..U+001F are white space to Python, not to the tokenizers.)
 SPACE, SOLID, PUNCT = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]", r"!-/:-@\[-`{-~"
 PIECE = rf"{SPACE}*+[0-9A-Za-zÀ-ÖØ-öø-ÿ]++(?![^\s{PUNCT}]|[\x1c-\x1f])|{SPACE}*{SOLID}+|{SPACE}+"
+# Bytes by kind: 1 white space, 2 punctuation, 3 letters and digits, 4 parts of characters
+# beyond ASCII, 0 others.
+KINDS = np.zeros(256, np.uint8)
+KINDS[[0x20, *range(0x09, 0x0E)]] = 1
+KINDS[[b for b in range(0x21, 0x7F)]] = 2
+KINDS[[b for b in range(0x21, 0x7F) if chr(b).isalnum()]] = 3
+KINDS[0x80:] = 4
 MEMO = 1 << 19
-SLICE = 256  # documents encoded together
+SLICE_BYTES = 1 << 22  # of texts encoded together
 MEMO_CHARS = 48
 
 
+def cuts(raw: np.ndarray) -> np.ndarray:
+    """Where in the bytes of texts a piece may begin: at white space behind a character that
+    is none, and at ASCII punctuation behind a letter or digit. No pre-token of the pattern
+    spans such a place, and none looks past it."""
+    kind = KINDS[raw]
+    before, here = kind[:-1], kind[1:]
+    first = np.zeros(len(raw), bool)
+    first[1:] = ((here == 1) & (before > 1)) | ((here == 2) & (before == 3))
+    # Behind the last byte of another character: not if this may be white space of two or
+    # three bytes.
+    wide = np.flatnonzero((here == 1) & (before == 4)) + 1
+    if len(wide):
+        last = raw[np.maximum(wide - 2, 0)]
+        first[wide] = ~((last == 0xC2) | (last == 0x9A) | (last == 0x80) | (last == 0x81))
+    return first
+
+
 # Blocks.
 
 
@@ -233,7 +259,7 @@ def separable(spec: str) -> tuple[bool, list[str]]:
 
 class PieceEncoder:
     """Texts to ids (little-endian 32-bit) by the tokenizers library, which is asked once
-    for each distinct piece while the memo holds it: at most twice ``MEMO`` short pieces,
+    for each different piece while the memo holds it: at most twice ``MEMO`` short pieces,
     the half that was not asked for lately going first. A word of letters behind a space is
     one pre-token, so the library's model takes it as it is. Tokenizers whose rules could
     see past a piece's end are given whole texts."""
@@ -260,29 +286,85 @@ class PieceEncoder:
         parts = self.special.split(text)  # special strings at odd places
         return [p for i, part in enumerate(parts) for p in ([part] if i % 2 else self.find(part))]
 
+    def tokens(self, shown: str) -> bytes:
+        """The ids of one pre-token, its bytes as the vocabulary shows them."""
+        return little(array("I", [t.id for t in self.model.tokenize(shown)]))
+
+    def word(self, piece: str) -> bytes | None:
+        """The ids of a piece of one ASCII white space, or none, and letters; None for others. A
+        space is part of the word's pre-token, other white space is one of its own."""
+        gap, letters = piece[0], piece[1:]
+        if not (self.exact and letters.isalpha()):
+            return None
+        ascii = piece.isascii()
+        if gap == " ":
+            shown = letters if ascii else letters.encode().decode("latin-1").translate(self.shown)
+            return self.tokens(self.shown[32] + shown)
+        if ascii and gap in GAP_CHARS:
+            return self.tokens(self.shown[ord(gap)]) + self.tokens(letters)
+        return self.tokens(piece) if ascii and gap.isalpha() else None
+
     def learn(self, piece: str) -> bytes:
         """The ids of a piece."""
-        if self.exact and piece[0] == " " and piece[1:].isalpha():
-            if piece.isascii():
-                shown = self.shown[32] + piece[1:]
-            else:
-                shown = piece.encode().decode("latin-1").translate(self.shown)
-            return little(array("I", [t.id for t in self.model.tokenize(shown)]))
-        return little(array("I", self.library.encode(piece, add_special_tokens=False).ids))
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        cuts = [self.cut(t) for t in texts]
+        return self.word(piece) or little(array("I", self.library.encode(piece, add_special_tokens=False).ids))
+
+    def whole(self, piece: str) -> bytes:
+        """The ids of a text between two cuts, by its pieces."""
+        parts = self.cut(piece)
+        if len(parts) == 1:
+            return self.learn(piece)
+        newer, older, out = self.newer, self.older, []
+        for p in parts:
+            ids = newer.get(p)
+            if ids is None:
+                ids = older.get(p) or self.learn(p)
+                if len(p) <= MEMO_CHARS:
+                    newer[p] = ids
+            out.append(ids)
+        return b"".join(out)
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: empty), one behind the other, and where each text's
+        begin, with their end: the texts are cut as bytes, and of equal pieces one is asked for."""
+        flat = pc.fill_null(texts.cast(pa.large_string()), "")
+        _, ends, held = flat.buffers()
+        ends = np.frombuffer(ends, "<i8", len(flat) + 1, 8 * flat.offset)
+        raw = np.frombuffer(held, np.uint8)[ends[0] : ends[-1]] if held else np.zeros(0, np.uint8)
+        ends = ends - ends[0]
+        if not len(raw):
+            return np.zeros(0, "<u4"), np.zeros(len(ends), np.int64)
+        first = cuts(raw) if self.exact else np.zeros(len(raw), bool)
+        if self.exact and self.special is not None:
+            # Special strings may hold places like cuts; their texts are cut by characters.
+            for i in np.flatnonzero(pc.match_substring(flat, "<|").to_numpy(zero_copy_only=False)):
+                first[ends[i] : ends[i + 1]] = False
+        first[ends[:-1][ends[:-1] < len(raw)]] = True
+        at = np.append(np.flatnonzero(first), len(raw))
+        of_text = np.searchsorted(at, ends)  # the number of each text's first piece
+        buffers = [None, pa.py_buffer(at.astype("<i4")), pa.py_buffer(raw)]
+        pieces = pa.Array.from_buffers(pa.string(), len(at) - 1, buffers).dictionary_encode()
+        which = pieces.indices.to_numpy()
         if len(self.newer) >= MEMO:
             self.older, self.newer = self.newer, {}
         newer, older = self.newer, self.older
-        new = set().union(*cuts).difference(newer)
-        for p in new:
-            newer[p] = older.get(p) or self.learn(p)
-        out = [b"".join(map(newer.__getitem__, c)) for c in cuts]
-        for p in new:
-            if len(p) > MEMO_CHARS:
-                del newer[p]
-        return out
+        found = pieces.dictionary.to_pylist()
+        known = list(map(newer.get, found))
+        for i, ids in enumerate(known):
+            if ids is None:
+                p = found[i]
+                known[i] = ids = older.get(p) or self.word(p) or self.whole(p)
+                if len(p) <= MEMO_CHARS:
+                    newer[p] = ids
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        from_id, sizes = np.cumsum(size) - size, size[which]
+        to = np.append(0, np.cumsum(sizes))
+        place = np.repeat(from_id[which] - to[:-1], sizes)
+        place += np.arange(to[-1])
+        return np.frombuffer(b"".join(known), "<u4")[place], to[of_text]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        ids, at = self.encode_column(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in itertools.pairwise(at.tolist())]
 
 
 def write_token_files(
@@ -302,17 +384,17 @@ def write_token_files(
 
     def write(batches):
         encoder = worker_state(f"pieces:{tokenizer}", lambda: PieceEncoder(spec.value, *rules))
-        part, seq, out, end = TaskContext.get().partitionId(), 0, None, np.array([end_id], "<u4").tobytes()
+        part, seq, out, end = TaskContext.get().partitionId(), 0, None, np.array([end_id], "<u4")
 
         def closed():
             size = out.close()
             held = [os.path.basename(out.path), part, seq, len(out.docs), out.n_ids, size]
             return pa.RecordBatch.from_arrays([pa.array([x]) for x in held], names=names)
 
-        for b in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
-            encoded = encoder.encode_all([t or "" for t in b.column(1).to_pylist()])
-            for doc, raw in zip(b.column(0).to_pylist(), encoded, strict=True):
-                ids = np.frombuffer(raw + end, "<u4")
+        for b in (part for b in batches for part in slices(iter([b]), 1, len(b), SLICE_BYTES)):
+            held, at = encoder.encode_column(b.column(1))
+            for i, doc in enumerate(b.column(0).to_pylist()):
+                ids = np.concatenate((held[at[i] : at[i + 1]], end))
                 if out is not None and (out.n_ids + len(ids) > FILE_IDS or len(out.docs) >= FILE_DOCS):
                     yield closed()
                     out, seq = None, seq + 1

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
@@ -137,3 +138,39 @@ def test_edges(spark, library, monkeypatch):
     empty = scratch_path(spark, "token-files-test")
     tokenfiles.write_token_files(docs.limit(0), empty, PATH)
     assert tokenfiles.read_token_files(spark, empty).collect() == []
+
+
+GAPS = [" ", "  ", "   ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", " ", " ", " ", " ", "　", " \n ", "\n\n"]
+PARTS = ["a", "Word", "word", "it's", "x'", "'s", "12", "a1", "é", "р", "с", "ß", "中", "́", "👍", ".", ",.", "-", "<|", "<|endoftext|>", "_", "\x00"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(GAPS + PARTS), max_size=14).map("".join) | st.none(), max_size=5))
+def test_columns_encode_like_whole_texts(texts):
+    """Texts of one column, sliced out of a larger one: cut as bytes, equal pieces once."""
+    enc, lib = _held()
+    column = pa.array(["before", *texts, "after"], pa.string()).slice(1, len(texts))
+    ids, at = enc.encode_column(column)
+    want = [lib.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == want
+
+
+def test_equal_pieces_are_looked_up_once(library, monkeypatch):
+    """A column's pieces are cut and counted as bytes: characters are only searched in what
+    is new, and words behind a line's end are no texts to the library."""
+    with open(PATH, encoding="utf-8") as f:
+        spec = f.read()
+    fresh, asked = tokenfiles.PieceEncoder(spec, *tokenfiles.separable(spec)), []
+
+    class Counted:
+        def encode(self, text, **rest):
+            asked.append(text)
+            return library.encode(text, **rest)
+
+    fresh.library = Counted()
+    find, cut = fresh.find, []
+    monkeypatch.setattr(fresh, "find", lambda text: cut.append(text) or find(text))
+    word = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    text = "".join(f"{gap}{word(i)}" for _ in range(3) for i in range(500) for gap in (" ", ".\n"))
+    assert ids_of(fresh.encode_all([text])[0]) == library.encode(text, add_special_tokens=False).ids
+    assert len(asked) < 5 and sum(map(len, cut)) < 20
